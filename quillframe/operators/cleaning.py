@@ -196,7 +196,7 @@ def custom_clean_batches(
         for batch in batches:
             result = clean_data(batch)
             if not isinstance(result, pd.DataFrame):
-                raise TableError(f"The cleaning function must return a DataFrame, not {type(result).__name__}.")
+                raise TypeError(f"The cleaning function must return a DataFrame, not {type(result).__name__}.")
             yield result
 
     return df.mapInPandas(run, schema)

@@ -113,8 +113,14 @@ def with_row_key(df: DataFrame, name: str = "_row_key") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with header rows, one per partition; gaps are written as empty fields."""
-    df.write.options(**_DIALECT, header="true", nullValue="", emptyValue='""').csv(path)
+    """A folder of CSV files with header rows, one per partition.
+
+    Gaps are written as empty fields, and times by their text, which keeps the microseconds.
+    """
+    texts = [
+        quoted(f.name).cast("string").alias(f.name) if is_moment(f.dataType) else quoted(f.name) for f in df.schema.fields
+    ]
+    df.select(*texts).write.options(**_DIALECT, header="true", nullValue="", emptyValue='""').csv(path)
 
 
 def head(df: DataFrame, n: int, order_by: Sequence[str] = ()) -> DataFrame:
