@@ -209,7 +209,6 @@ def column_profiles(spark, folder):
 def whole_profile(spark, folder):
     record = P.profile(doubled_events(spark, folder), order_by=["event_id"])
     keys = ("rows", "columns", "cells", "target", "task", "date_column", "missing_cells", "duplicate_rows")
-    record = {**record, "target": "event_type"} if record["target"] == "event_type" else record
     kinds = "rows bigint, columns bigint, cells bigint, target string, task string, date_column string, missing_cells bigint, duplicate_rows bigint"
     return spark.createDataFrame([tuple(record[k] for k in keys)], kinds)
 

@@ -1,6 +1,6 @@
 """Bottom-up clustering of any number of rows, in two levels.
 
-Spark reduces the rows to at most 1,000 weighted groups: the distinct points themselves if there are
+Spark reduces the rows to at most 512 weighted groups: the distinct points themselves if there are
 no more than that, else the clusters of a k-means. The groups are then merged pair by pair on the
 driver, whose input is thus bounded, and every row gets the cluster of its group. With distinct points
 as groups the result is exact; with k-means groups it is an approximation on all rows.
@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from quillframe.errors import TableError
 from quillframe.operators.features import FEATURES
 
-GROUPS = 1000
+GROUPS = 512
+GROUP_ROUNDS = 5  # the groups only need to be small, not optimal
 LINKAGES = ("ward", "complete", "average", "single")
 
 
@@ -56,7 +57,7 @@ class Agglomerative:
         return label
 
     def _fit_groups(self, df: DataFrame, output: str) -> Callable[[DataFrame], DataFrame]:
-        model = KMeans(k=self.groups, seed=self.seed, maxIter=20, featuresCol=FEATURES, predictionCol="_group").fit(df)
+        model = KMeans(k=self.groups, seed=self.seed, maxIter=GROUP_ROUNDS, featuresCol=FEATURES, predictionCol="_group").fit(df)
         centres = model.clusterCenters()
         sizes = {row["_group"]: row["count"] for row in model.transform(df).groupBy("_group").count().collect()}
         used = sorted(sizes)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quillframe.errors import TableError
 from quillframe.functions.sizing import broadcast_if_small, settle
 from quillframe.functions.types import as_number, data_type, is_number, quoted
-from quillframe.operators.frequency import top_values, value_counts
+from quillframe.operators.frequency import facts_and_top
 from quillframe.operators.quantiles import exact_quantiles
 
 MAX_CATEGORIES = 50  # fixed value: one-hot outputs per column, the last for rare categories if there are more
@@ -65,7 +65,7 @@ class CategoryFeature:
 class FeaturePlan:
     numeric: list[NumericFeature]
     categorical: list[CategoryFeature]
-    training_counts: DataFrame | None = field(default=None, repr=False)
+    known: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     @property
     def names(self) -> list[str]:
@@ -81,8 +81,8 @@ class FeaturePlan:
         for i, feature in enumerate(self.categorical):
             seen = F.lit(True)
             if feature.has_rare and not training:
-                known = self._training_categories(feature.name).select(F.col("text").alias(f"_s{i}"))
-                prepared = prepared.join(broadcast_if_small(known), F.col(f"_t{i}") == F.col(f"_s{i}"), "left")
+                known = broadcast_if_small(settle(self.known[feature.name].select(F.col("text").alias(f"_s{i}"))))
+                prepared = prepared.join(known, F.col(f"_t{i}") == F.col(f"_s{i}"), "left")
                 seen = F.col(f"_s{i}").isNotNull()
             nominal = {"ml_attr": {"type": "nominal", "num_vals": feature.size}}
             slot = feature.slot(F.col(f"_t{i}"), seen)
@@ -101,17 +101,14 @@ class FeaturePlan:
         vectors = VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(prepared)
         return vectors.select(*[quoted(n) for n in df.columns], FEATURES)
 
-    def _training_categories(self, name: str) -> DataFrame:
-        return self.training_counts.where((F.col("column") == name) & F.col("present"))
-
 
 def fit_features(train: DataFrame, columns: Sequence[str]) -> FeaturePlan:
     """Medians, means, deviations, modes and labels of the training rows. Columns without any value are left out."""
     numeric = _fit_numeric(train, [n for n in columns if is_number(data_type(train, n))])
-    categorical, counts = _fit_categorical(train, [n for n in columns if not is_number(data_type(train, n))])
+    categorical, known = _fit_categorical(train, [n for n in columns if not is_number(data_type(train, n))])
     if not numeric and not categorical:
         raise TableError("No usable feature column is left beside the target.")
-    return FeaturePlan(numeric, categorical, counts)
+    return FeaturePlan(numeric, categorical, known)
 
 
 def _fit_numeric(train: DataFrame, names: list[str]) -> list[NumericFeature]:
@@ -123,25 +120,22 @@ def _fit_numeric(train: DataFrame, names: list[str]) -> list[NumericFeature]:
     return [NumericFeature(n, m, s["mean"], s["dev"]) for (n, m), s in zip(medians.items(), seen)]
 
 
-def _fit_categorical(train: DataFrame, names: list[str]) -> tuple[list[CategoryFeature], DataFrame | None]:
+def _fit_categorical(train: DataFrame, names: list[str]) -> tuple[list[CategoryFeature], dict[str, DataFrame]]:
+    """The features, and for columns with rare categories the table of all that occur in training."""
+    features, known = [], {}
     if not names:
-        return [], None
-    counts = settle(value_counts(train, names))
-    sizes = {
-        row["column"]: row["distinct"]
-        for row in counts.where("present").groupBy("column").agg(F.count(F.lit(1)).alias("distinct")).collect()
-    }
-    ranked: dict[str, list[tuple[int, str]]] = {name: [] for name in names}
-    for row in top_values(counts, MAX_CATEGORIES).select("column", "place", "text").collect():
-        ranked[row["column"]].append((row["place"], row["text"]))
-    features = []
+        return features, known
+    found = {row["column"]: row for row in facts_and_top(train, names, MAX_CATEGORIES).collect()}
     for name in names:
-        labels = [text for _, text in sorted(ranked[name])]
-        if labels:
-            has_rare = sizes[name] > MAX_CATEGORIES
-            kept = labels[: MAX_CATEGORIES - 1] if has_rare else labels
-            features.append(CategoryFeature(name, labels[0], sorted(kept), has_rare))
-    return features, counts
+        labels = [entry["value"] for entry in (found[name]["top"] or [])] if name in found else []
+        if not labels:
+            continue
+        has_rare = found[name]["distinct"] > MAX_CATEGORIES
+        kept = labels[: MAX_CATEGORIES - 1] if has_rare else labels
+        features.append(CategoryFeature(name, labels[0], sorted(kept), has_rare))
+        if has_rare:
+            known[name] = train.where(quoted(name).isNotNull()).select(quoted(name).cast("string").alias("text")).distinct()
+    return features, known
 
 
 def label_order(df: DataFrame, label: str) -> list[str]:

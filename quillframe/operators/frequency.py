@@ -94,9 +94,31 @@ def top_values(counts: DataFrame, k: int) -> DataFrame:
     Spark limits each task to its own ``k`` best rows per column before the shuffle, so a column with
     billions of distinct values does not land in one task.
     """
-    order = Window.partitionBy("column").orderBy(F.desc("n"), *SLOTS)
-    ranked = counts.where("present").withColumn("place", F.row_number().over(order))
-    return ranked.where(F.col("place") <= k)
+    # Missing cells are ranked last instead of filtered first. A filter on `present` would move below the
+    # counting and make it differ from the counting for other figures, which Spark then could not share.
+    order = Window.partitionBy("column").orderBy(F.desc("present"), F.desc("n"), *SLOTS)
+    ranked = counts.withColumn("place", F.row_number().over(order))
+    return ranked.where((F.col("place") <= k) & F.col("present"))
+
+
+def column_facts(counts: DataFrame) -> DataFrame:
+    """``column, ordinal, rows, missing, distinct`` for every column of a frequency table."""
+    return counts.groupBy("column", "ordinal").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(~F.col("present"), F.col("n"))), F.lit(0)).alias("missing"),
+        F.count_if("present").alias("distinct"),
+    )
+
+
+def facts_and_top(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+    """:func:`column_facts` with ``top``, the ``k`` most frequent values as ``(place, text, n)``.
+
+    Both sides of the join read the same counted table, whose shuffle Spark runs once.
+    """
+    counts = value_counts(df, columns)
+    entry = F.struct("place", F.col("text").alias("value"), "n")
+    top = top_values(counts, k).groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("top"))
+    return column_facts(counts).join(top, "column", "left")
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -50,7 +50,11 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     The size is the square of the number of labels by definition; :func:`confusion_counts` leaves the
     zeros out.
     """
-    counts = confusion_counts(df, actual, predicted)
+    return matrix_of(confusion_counts(df, actual, predicted))
+
+
+def matrix_of(counts: DataFrame) -> DataFrame:
+    """:func:`confusion_matrix` from confusion counts."""
     label_rows = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
     all_labels = label_rows.agg(F.array_sort(F.collect_set("label"))).scalar()
     grid = label_rows.select(F.col("label").alias("actual"), F.explode(all_labels).alias("predicted"))
@@ -61,7 +65,11 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def classification_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """One row: ``accuracy, precision, recall, f1_score``, weighted by class size; 0 where a ratio is undefined."""
-    counts = confusion_counts(df, actual, predicted)
+    return scores_of(confusion_counts(df, actual, predicted))
+
+
+def scores_of(counts: DataFrame) -> DataFrame:
+    """:func:`classification_metrics` from confusion counts."""
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
     sides = counts.select(
         F.inline(

@@ -8,6 +8,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +23,7 @@ LABEL = "label"
 PREDICTION = "prediction"
 WEIGHT = "_weight"
 MAX_BINS = 256
+NODE_MEMORY = 512  # megabytes of split statistics per pass over the rows; more saves passes on wide levels
 MAX_DEPTH = 30  # the deepest tree that Spark trains
 
 
@@ -153,6 +155,7 @@ def _fit_tree(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     _refuse(params, "min_samples_split", (2,))
     common = {
         "featuresCol": FEATURES, "labelCol": LABEL, "predictionCol": PREDICTION, "seed": seed, "maxBins": MAX_BINS,
+        "maxMemoryInMB": NODE_MEMORY,
         "maxDepth": _depth(params), "minInstancesPerNode": int(params["min_samples_leaf"]),
         "impurity": "gini" if params["criterion"] in ("auto", "gini") else "entropy",
     }
@@ -254,6 +257,7 @@ def _fit_forest(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     _refuse(params, "min_samples_split", (2,))
     model = RandomForestRegressor(
         featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION, seed=seed, maxBins=MAX_BINS,
+        maxMemoryInMB=NODE_MEMORY,
         numTrees=int(params["n_estimators"]), maxDepth=_depth(params),
         minInstancesPerNode=int(params["min_samples_leaf"]), bootstrap=bool(params["bootstrap"]),
         featureSubsetStrategy=_feature_share(params["max_features"]),
@@ -272,15 +276,19 @@ def _fit_kmeans(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     """The best of ``n_init`` starts by training cost."""
     _refuse(params, "init", ("k-means++", "random"))
     starts = 1 if params["n_init"] == "auto" else int(params["n_init"])
+    clusters = _check_clusters(params, rows)
+    kept = None if train.is_cached else train.select(FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     best = None
     for start in range(max(1, starts)):
         model = KMeans(
-            featuresCol=FEATURES, predictionCol=PREDICTION, k=_check_clusters(params, rows), seed=seed + start,
+            featuresCol=FEATURES, predictionCol=PREDICTION, k=clusters, seed=seed + start,
             maxIter=int(params["max_iter"]), tol=float(params["tol"]),
             initMode="random" if params["init"] == "random" else "k-means||",
-        ).fit(train)
+        ).fit(train if kept is None else kept)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
+    if kept is not None:
+        kept.unpersist()
     return Fitted(best.transform, float(best.summary.trainingCost))
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.functions.types import as_number
 
-BRACKET_VALUES = 200_000
-SKETCH_ACCURACY = 20_000
+BRACKET_VALUES = 50_000
+SKETCH_ACCURACY = 10_000
 
 
 @dataclass

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.errors import TableError
 from quillframe.functions.hashing import HASH_BITS, HASH_RANGE, seeded_hash
-from quillframe.functions.sizing import broadcast_if_small, settle
+from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle
 from quillframe.functions.types import quoted
 from quillframe.operators.projection import rows_with_target
 
@@ -102,8 +102,38 @@ def random_split(
     return hashed.withColumn(SPLIT, _side(cut.reached(hashed))).drop(_HASH)
 
 
+@dataclass(frozen=True)
+class ClassSizes:
+    """The rows per class, written once, and what its totals say."""
+
+    table: DataFrame
+    rows: int
+    classes: int
+    smallest: int
+    largest: int
+    small: bool
+
+    def near(self, df: DataFrame) -> DataFrame:
+        """A table with one row per class, marked for broadcast if the class names were measured small."""
+        return F.broadcast(df) if self.small else df
+
+
+def class_sizes(df: DataFrame, label: str) -> ClassSizes:
+    """Count the classes of a label; rows without a label are left out."""
+    counted = rows_with_target(df, label).groupBy(quoted(label).alias("_class")).agg(F.count(F.lit(1)).alias("rows"))
+    table = settle(counted)
+    seen = table.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("classes"),
+        F.coalesce(F.min("rows"), F.lit(0)).alias("smallest"),
+        F.coalesce(F.max("rows"), F.lit(0)).alias("largest"),
+        (F.coalesce(F.sum(F.octet_length(F.col("_class").cast("string")) + 64), F.lit(0)) <= BROADCAST_BYTES).alias("small"),
+    ).first()
+    return ClassSizes(table, *seen)
+
+
 def stratified_split(
-    df: DataFrame, label: str, train_pct: int, key: Sequence[str] = (), seed: int = 42
+    df: DataFrame, label: str, train_pct: int, key: Sequence[str] = (), seed: int = 42, sizes: ClassSizes | None = None
 ) -> DataFrame:
     """Split each class in the same proportion, ``floor(rows * pct / 100)`` training rows in all.
 
@@ -114,19 +144,17 @@ def stratified_split(
     df = rows_with_target(df, label)
     ties = _tie_keys(df, key)
     hashed = _hashed(df, key, seed)
-    quota = settle(_class_quotas(df, label, train_pct))
-    largest = quota.agg(F.max("rows")).first()[0] or 0
-    cuts = settle(_class_cuts(hashed, label, quota, _bits(largest), ties))
-    cuts = broadcast_if_small(cuts)
-    marked = hashed.join(cuts, quoted(label).eqNullSafe(F.col("_class")), "left")
+    sizes = sizes or class_sizes(df, label)
+    quota = _class_quotas(sizes, train_pct)
+    cuts = broadcast_if_small(settle(_class_cuts(hashed, label, sizes, quota, ties)))
+    marked = hashed.join(cuts, quoted(label) == F.col("_class"), "left")
     reached = F.coalesce(_order(marked, ties) <= F.col("_cut"), F.lit(False))
     return marked.select(*[quoted(n) for n in df.columns], _side(reached).alias(SPLIT))
 
 
-def can_stratify(df: DataFrame, label: str) -> bool:
+def can_stratify(sizes: ClassSizes) -> bool:
     """Whether there are rows and every class has at least two."""
-    fewest = rows_with_target(df, label).groupBy(quoted(label)).count().agg(F.min("count")).first()[0]
-    return fewest is not None and fewest >= 2
+    return sizes.smallest >= 2
 
 
 def split_parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -187,41 +215,32 @@ def _cut(hashed: DataFrame, take: int, total: int, ties: Sequence[str]) -> _Cut:
     return _Cut(last.asDict(), ties)
 
 
-def _class_quotas(df: DataFrame, label: str, pct: int) -> DataFrame:
-    """``_class, rows, take``: training rows owed to each class."""
-    sizes = df.groupBy(quoted(label).alias("_class")).agg(F.count(F.lit(1)).alias("rows"))
-    shares = settle(
-        sizes.select(
-            "_class",
-            "rows",
-            F.floor(F.col("rows") * pct / 100).alias("whole"),
-            (F.col("rows") * pct % 100).alias("rest"),
-        )
-    )
-    total, whole = shares.agg(F.sum("rows"), F.sum("whole")).first()
-    owed = (total or 0) * pct // 100 - (whole or 0)
+def _class_quotas(sizes: ClassSizes, pct: int) -> DataFrame:
+    """``_class, take``: training rows owed to each class."""
+    whole, rest = F.floor(F.col("rows") * pct / 100), F.col("rows") * pct % 100
+    owed = sizes.rows * pct // 100 - (sizes.table.agg(F.sum(whole)).first()[0] or 0)
     if not owed:
-        return shares.select("_class", "rows", F.col("whole").alias("take"))
-    more = shares.orderBy(F.desc("rest"), "_class").limit(owed).select(F.col("_class").alias("_more"))
-    with_more = shares.join(broadcast_if_small(settle(more)), F.col("_class").eqNullSafe(F.col("_more")), "left")
-    return with_more.select(
-        "_class", "rows", (F.col("whole") + F.col("_more").isNotNull().cast("bigint")).alias("take")
-    )
+        return sizes.table.select("_class", whole.alias("take"))
+    more = sizes.table.orderBy(rest.desc(), "_class").limit(owed).select(F.col("_class").alias("_more"))
+    with_more = sizes.table.join(sizes.near(more), F.col("_class") == F.col("_more"), "left")
+    return with_more.select("_class", (whole + F.col("_more").isNotNull().cast("bigint")).alias("take"))
 
 
-def _class_cuts(hashed: DataFrame, label: str, quota: DataFrame, bits: int, ties: Sequence[str]) -> DataFrame:
+def _class_cuts(
+    hashed: DataFrame, label: str, sizes: ClassSizes, quota: DataFrame, ties: Sequence[str]
+) -> DataFrame:
     """``_class, _cut``: the last training row of each class that has any."""
-    rows = hashed.select(quoted(label).alias("_class"), _order(hashed, ties).alias("_row"), _bucket(bits).alias(_BUCKET))
+    bucket = _bucket(_bits(sizes.largest))
+    rows = hashed.select(quoted(label).alias("_class"), _order(hashed, ties).alias("_row"), bucket.alias(_BUCKET))
     counts = rows.groupBy("_class", _BUCKET).agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("_class").orderBy(_BUCKET))
-    running = counts.withColumn("upto", upto).join(broadcast_if_small(quota), "_class")
+    running = counts.withColumn("upto", upto).join(sizes.near(quota), "_class")
     at = running.where((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
-    cut_buckets = settle(at.select("_class", _BUCKET, (F.col("take") - (F.col("upto") - F.col("n"))).alias("owed")))
-    candidates = rows.join(broadcast_if_small(cut_buckets), ["_class", _BUCKET])
+    cut_buckets = at.select("_class", _BUCKET, (F.col("take") - (F.col("upto") - F.col("n"))).alias("owed"))
+    candidates = rows.join(sizes.near(cut_buckets), ["_class", _BUCKET])
     place = F.row_number().over(Window.partitionBy("_class").orderBy("_row"))
-    return (
-        candidates.withColumn("place", place).where(F.col("place") == F.col("owed")).select("_class", F.col("_row").alias("_cut"))
-    )
+    last = candidates.withColumn("place", place).where(F.col("place") == F.col("owed"))
+    return last.select("_class", F.col("_row").alias("_cut"))
 
 
 def _side(chosen: Column) -> Column:

@@ -24,7 +24,7 @@ from quillframe.operators.models import (
 )
 from quillframe.operators.projection import rows_with_any_feature, rows_with_target
 from quillframe.operators.sampling import (
-    BUDGET_ALIASES, can_stratify, hash_sample, random_split, require_rows, split_parts, stratified_split, within_budget,
+    BUDGET_ALIASES, can_stratify, class_sizes, hash_sample, random_split, require_rows, split_parts, stratified_split, within_budget,
 )
 from quillframe.plans.profile import detect_task
 
@@ -158,10 +158,12 @@ def compare_models(
     keep = list(dict.fromkeys([*key, *features, target]))
     rows = df.select(*[quoted(c) for c in keep])
     sampled = within_budget(rows, mode, key, seed)
+    processed = available
     if sampled is not rows:
         sampled = settle(sampled)
+        processed = sampled.count()
     run = _run_clustering if shared == "clustering" else _run_supervised
-    models, processed = run(sampled, target, features, shared, wanted, train_pct, seed, list(key))
+    models = run(sampled, target, features, shared, wanted, train_pct, seed, list(key))
     return Comparison(
         id=uuid.uuid4().hex,
         target=target,
@@ -202,11 +204,11 @@ def _figures(*tables: DataFrame) -> dict[str, float]:
 def _run_supervised(
     df: DataFrame, target: str, features: list[str], task: str, requests: Sequence[ModelRequest],
     train_pct: int, seed: int, key: list[str],
-) -> tuple[list[ModelResult], int]:
-    processed = df.count()
+) -> list[ModelResult]:
     used = require_rows(rows_with_target(df, target))
-    if task == "classification" and can_stratify(used, target):
-        split = stratified_split(used, target, train_pct, key, seed)
+    sizes = class_sizes(used, target) if task == "classification" else None
+    if sizes is not None and can_stratify(sizes):
+        split = stratified_split(used, target, train_pct, key, seed, sizes)
     else:
         split = random_split(used, train_pct, key, seed, exact=True)
     train, test = split_parts(split)
@@ -236,7 +238,7 @@ def _run_supervised(
     finally:
         train_ready.unpersist()
         test_ready.unpersist()
-    return results, processed
+    return results
 
 
 def _prepared(plan: FeaturePlan, part: DataFrame, target: str, task: str, key: list[str], training: bool) -> DataFrame:
@@ -258,10 +260,11 @@ def _supervised_figures(
 ) -> tuple[dict[str, float], list[dict[str, Any]]]:
     """Test metrics, the same figure on the training rows for built-in models, and the chart's rows."""
     if task == "classification":
-        tables = [M.classification_metrics(scored, "actual", "predicted")]
+        counts = settle(M.confusion_counts(scored, "actual", "predicted"))
+        tables = [M.scores_of(counts)]
         if built_in:
             tables.append(M.accuracy(fit_side, "actual", "predicted").withColumnRenamed("accuracy", "training_accuracy"))
-        chart = M.confusion_matrix(scored, "actual", "predicted").orderBy("actual", "predicted")
+        chart = M.matrix_of(counts).orderBy("actual", "predicted")
     else:
         tables = [M.regression_metrics(scored, "actual", "predicted")]
         if built_in:
@@ -274,8 +277,7 @@ def _supervised_figures(
 def _run_clustering(
     df: DataFrame, target: str, features: list[str], task: str, requests: Sequence[ModelRequest],
     train_pct: int, seed: int, key: list[str],
-) -> tuple[list[ModelResult], int]:
-    processed = df.count()
+) -> list[ModelResult]:
     results = []
     plans: dict[bool, tuple[DataFrame, int]] = {}
     try:
@@ -299,7 +301,7 @@ def _run_clustering(
     finally:
         for ready, _ in plans.values():
             ready.unpersist()
-    return results, processed
+    return results
 
 
 def _clustering_figures(

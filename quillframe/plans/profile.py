@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -13,11 +14,10 @@ from quillframe.errors import TableError
 from quillframe.functions.convert import DATE_FORMATS, to_datetime
 from quillframe.functions.missing import fold_nan
 from quillframe.functions.names import plain_name
-from quillframe.functions.sizing import settle
 from quillframe.functions.types import (
     as_number, category_columns, data_type, is_moment, is_number, number_columns, quoted, refuse_nested,
 )
-from quillframe.operators.frequency import top_values, value_counts
+from quillframe.operators.frequency import column_facts, facts_and_top, top_values, value_counts
 from quillframe.operators.quantiles import exact_quantiles
 from quillframe.operators.reports import duplicate_rows
 from quillframe.sources.tables import preview, require_content
@@ -78,17 +78,6 @@ def top_texts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def column_facts(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """``column, ordinal, rows, missing, distinct`` for every column."""
-    counts = counts if counts is not None else value_counts(df)
-    per_column = counts.groupBy("column", "ordinal").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(~F.col("present"), F.col("n"))), F.lit(0)).alias("missing"),
-        F.count_if("present").alias("distinct"),
-    )
-    return per_column
-
-
 def datetime_columns(df: DataFrame, order_by: Sequence[str] = (), formats: Sequence[str] = DATE_FORMATS) -> list[str]:
     """Columns that hold dates: by type, or by name if most of their first values parse.
 
@@ -129,7 +118,7 @@ def _is_identifier(name: str) -> bool:
 
 def rank_targets(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """``column, ordinal, score, reasons``: how likely each column is the one to predict."""
-    facts = facts if facts is not None else column_facts(df)
+    facts = facts if facts is not None else column_facts(value_counts(df))
     last = len(df.columns) - 1
     by_name = []
     for ordinal, name in enumerate(df.columns):
@@ -192,24 +181,23 @@ def detect_task(df: DataFrame, target: str) -> DataFrame:
         raise TableError(f"There is no column '{target}'.")
     values = df.where(quoted(target).isNotNull()).groupBy(quoted(target)).agg(F.count(F.lit(1)).alias("n"))
     counted = values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("present"), F.count(F.lit(1)).alias("distinct"))
-    return counted.select(
-        F.lit(target).alias("target"),
-        "present",
-        "distinct",
-        task_of(F.lit(is_number(data_type(df, target))), F.col("present"), F.col("distinct")).alias("task"),
-    )
+    present, distinct = F.greatest(F.col("present"), F.lit(1)), F.col("distinct")
+    most = F.greatest(F.lit(CLASSES_AT_LEAST), F.least(F.lit(CLASSES_AT_MOST), F.floor(F.sqrt(present))))
+    classes = F.lit(True)
+    if is_number(data_type(df, target)):
+        classes = (distinct <= most) & (distinct / present <= CLASS_SHARE)
+    task = F.when(distinct < 2, "unknown").when(classes, "classification").otherwise("regression")
+    return counted.select(F.lit(target).alias("target"), "present", "distinct", task.alias("task"))
 
 
-def task_of(numeric: Column, present: Column, distinct: Column) -> Column:
-    rows = F.greatest(present, F.lit(1))
-    classes = F.greatest(F.lit(CLASSES_AT_LEAST), F.least(F.lit(CLASSES_AT_MOST), F.floor(F.sqrt(rows))))
-    repeated = (distinct <= classes) & (distinct / rows <= CLASS_SHARE)
-    return (
-        F.when(distinct < 2, "unknown")
-        .when(~numeric, "classification")
-        .when(repeated, "classification")
-        .otherwise("regression")
-    )
+def task_of(numeric: bool, present: int, distinct: int) -> str:
+    """The rule of :func:`detect_task` for figures that are known already."""
+    if distinct < 2:
+        return "unknown"
+    if not numeric:
+        return "classification"
+    most = max(CLASSES_AT_LEAST, min(CLASSES_AT_MOST, math.isqrt(max(1, present))))
+    return "classification" if distinct <= most and distinct / max(1, present) <= CLASS_SHARE else "regression"
 
 
 def feature_types(df: DataFrame) -> DataFrame:
@@ -219,25 +207,19 @@ def feature_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, ordinal int, kind string")
 
 
-def column_profiles(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+def column_profiles(df: DataFrame) -> DataFrame:
     """One row per column: type, missing, distinct, and either numeric figures or top values."""
-    counts = counts if counts is not None else value_counts(df)
-    facts = column_facts(df, counts)
-    types = df.sparkSession.createDataFrame(
-        [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "column string, dtype string"
-    )
-    texts = category_columns(df)
-    top = (
-        top_values(counts.where(F.col("column").isin(texts)), TOP_VALUES)
-        .groupBy("column")
-        .agg(F.array_sort(F.collect_list(F.struct("place", F.col("text").alias("value"), "n"))).alias("top_values"))
-    )
+    kinds = [(f.name, f.dataType.simpleString(), not is_number(f.dataType)) for f in df.schema.fields]
+    types = df.sparkSession.createDataFrame(kinds, "column string, dtype string, is_text boolean")
     pct = F.round(F.col("missing") / F.greatest(F.col("rows"), F.lit(1)) * 100, 2)
     return (
-        facts.withColumn("missing_pct", pct)
-        .join(types, "column")
+        facts_and_top(df, df.columns, TOP_VALUES)
+        .join(F.broadcast(types), "column")  # one row per column name
         .join(numeric_summary(df).drop("ordinal"), "column", "left")
-        .join(top, "column", "left")
+        .select(
+            "column", "ordinal", "dtype", "rows", "missing", pct.alias("missing_pct"), "distinct",
+            "mean", "std", "min", "median", "max", F.when(F.col("is_text"), F.col("top")).alias("top_values"),
+        )
         .orderBy("ordinal")
     )
 
@@ -252,23 +234,24 @@ def profile(
 ) -> dict[str, Any]:
     """The whole profile as one record; every figure covers the whole table.
 
-    The table is read for the value frequencies (written once to the checkpoint folder and used for
-    counts, top values and ranking), for the numeric figures and for the row digests. ``target``,
-    ``columns`` and ``date_column`` override what was found. The record has a fixed number of entries
-    per column, however many rows there are.
+    The table is read for the value frequencies (one shuffle for counts and top values of all columns),
+    for the numeric figures and for the row digests. ``target``, ``columns`` and ``date_column`` override
+    what was found. The record has a fixed number of entries per column, however many rows there are.
     """
     started = time.perf_counter()
     refuse_nested(df)
+    spark = df.sparkSession
     df = require_content(fold_nan(df))
-    counts = settle(value_counts(df))
-    columns_found = [row.asDict(recursive=True) for row in column_profiles(df, counts).collect()]
-    ranked = rank_targets(df, column_facts(df, counts))
+    found = [row.asDict(recursive=True) for row in column_profiles(df).collect()]
+    facts = spark.createDataFrame(
+        [(c["column"], c["ordinal"], c["rows"], c["missing"], c["distinct"]) for c in found],
+        "column string, ordinal int, rows bigint, missing bigint, distinct bigint",
+    )
+    ranked = rank_targets(df, facts)
     best = [row.asDict() for row in best_targets(ranked).collect()]
     chosen = choose_target(ranked).first()
-    copies = duplicate_rows(df).first()
-    rows = copies["rows"]
+    rows, gaps = found[0]["rows"], sum(c["missing"] for c in found)
     cells = rows * len(df.columns)
-    gaps = sum(c["missing"] for c in columns_found)
     dates = datetime_columns(df, order_by)
     record = {
         "name": name,
@@ -285,14 +268,16 @@ def profile(
         "date_column": dates[0] if dates else None,
         "missing_cells": gaps,
         "missing_pct": round(gaps / max(1, cells) * 100, 2),
-        "duplicate_rows": copies["duplicate_rows"],
-        "column_profiles": columns_found,
+        "duplicate_rows": duplicate_rows(df).first()["duplicate_rows"],
+        "column_profiles": found,
         "preview": [row.asDict() for row in preview(df, order_by).collect()],
         "created_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
     }
     record = override(df, record, target, columns, date_column)
     if "task" not in record:
-        record["task"] = _task_from(df, record)
+        seen = next(c for c in found if c["column"] == record["target"])
+        numeric = is_number(data_type(df, record["target"]))
+        record["task"] = task_of(numeric, seen["rows"] - seen["missing"], seen["distinct"])
     record["profile_seconds"] = round(time.perf_counter() - started, 3)
     return record
 
@@ -321,10 +306,3 @@ def override(
             raise TableError(f"There is no column '{date_column}'.")
         changed["date_column"] = date_column
     return changed
-
-
-def _task_from(df: DataFrame, record: dict[str, Any]) -> str:
-    facts = next(c for c in record["column_profiles"] if c["column"] == record["target"])
-    present = F.lit(facts["rows"] - facts["missing"])
-    numeric = F.lit(is_number(data_type(df, record["target"])))
-    return df.sparkSession.range(1).select(task_of(numeric, present, F.lit(facts["distinct"])).alias("task")).first()[0]
