@@ -1,10 +1,10 @@
-"""Row conditions with two-valued logic.
+"""Row conditions in which a missing value satisfies ``!=`` and fails every other comparison.
 
-``field("Score") > 2`` describes a comparison; ``&`` and ``|`` combine comparisons. A condition is
-bound to a table with :meth:`Condition.on`, which gives a column that is true or false, never NULL:
-a missing value satisfies ``!=`` and fails every other comparison. Literals take the column's type
-(see :func:`quillframe.functions.literals.typed_literal`). Bound conditions are plain column
-expressions, so Catalyst pushes them into the scan like any other filter.
+``field("Score") > 2`` describes a comparison; ``&`` and ``|`` combine comparisons. Literals take the
+column's type (see :func:`quillframe.functions.literals.typed_literal`). A condition is bound to a
+table in two ways. :meth:`Condition.on` gives a column that is true or false, never NULL.
+:meth:`Condition.filter_on` leaves a failed comparison NULL, which a filter drops as well: there is no
+negation, so NULL and false lead to the same rows, and only the bare comparison is pushed into the scan.
 """
 
 from __future__ import annotations
@@ -23,16 +23,16 @@ from quillframe.functions.types import data_type, quoted
 
 @dataclass(frozen=True, eq=False)
 class Condition:
-    bind: Callable[[DataFrame], Column]
+    filter_on: Callable[[DataFrame], Column]
 
     def on(self, df: DataFrame) -> Column:
-        return self.bind(df)
+        return F.coalesce(self.filter_on(df), F.lit(False))
 
     def __and__(self, other: Condition) -> Condition:
-        return Condition(lambda df: self.on(df) & other.on(df))
+        return Condition(lambda df: self.filter_on(df) & other.filter_on(df))
 
     def __or__(self, other: Condition) -> Condition:
-        return Condition(lambda df: self.on(df) | other.on(df))
+        return Condition(lambda df: self.filter_on(df) | other.filter_on(df))
 
 
 EVERY_ROW = Condition(lambda df: F.lit(True))
@@ -67,9 +67,7 @@ class Field:
     def _ordered(self, compare: Callable[[Any, Any], Any], value: Any) -> Condition:
         if value is None:
             raise TableError("NULL can only be compared with == or !=.")
-        return Condition(
-            lambda df: F.coalesce(compare(self._column(df), self._literal(df, value)), F.lit(False))
-        )
+        return Condition(lambda df: compare(self._column(df), self._literal(df, value)))
 
     def _column(self, df: DataFrame) -> Column:
         if self.name not in df.columns:
@@ -86,4 +84,4 @@ def field(name: str) -> Field:
 
 
 def keep_rows(df: DataFrame, condition: Condition = EVERY_ROW) -> DataFrame:
-    return df.where(condition.on(df))
+    return df.where(condition.filter_on(df))
