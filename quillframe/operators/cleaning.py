@@ -51,7 +51,8 @@ def fill_missing(
         fillings = _averages(df, numbers, method)
         names = [n for n in names if n not in numbers] + list(fillings)
     elif method == "mode":
-        found = {row["column"]: row for row in modes(df, names).collect()}
+        names = _gapped(df, names)
+        found = {row["column"]: row for row in modes(df, names).collect()} if names else {}
         fillings = {n: slot_literal(data_type(df, n), found[n]) for n in names if n in found}
     for name in names:
         if name not in fillings:
@@ -59,6 +60,11 @@ def fill_missing(
     return _replaced(df, {n: F.coalesce(quoted(n), filling) for n, filling in fillings.items()})
 
 
+def _gapped(df: DataFrame, names: list[str]) -> list[str]:
+    gaps = df.agg(*[F.count_if(quoted(n).isNull()).alias(f"g{i}") for i, n in enumerate(names)]).first()
+    return [n for n, count in zip(names, gaps) if count]
+
+
 def _averages(df: DataFrame, numbers: list[str], method: str) -> dict[str, Column]:
     """A filling for each column that has both gaps and values."""
     if not numbers:

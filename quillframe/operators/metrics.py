@@ -21,6 +21,7 @@ from quillframe.functions.types import quoted
 
 SCORE_ROWS = 10_000  # fixed value: most rows for scores that compare rows with one another
 SAMPLE_PAIRS = 80  # fixed value: actual-against-predicted pairs kept for a chart
+MAX_LABELS = 10_000
 DIGITS = 5  # fixed value: decimal places of reported metrics
 SAMPLE_BYTES = 512 << 20
 
@@ -56,7 +57,7 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def matrix_of(counts: DataFrame) -> DataFrame:
     """:func:`confusion_matrix` from confusion counts."""
     label_rows = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
-    all_labels = label_rows.agg(F.array_sort(F.collect_set("label"))).scalar()
+    all_labels = _all_of(label_rows, F.col("label"), MAX_LABELS, "A full confusion matrix has too many labels; use confusion_counts.")
     grid = label_rows.select(F.col("label").alias("actual"), F.explode(all_labels).alias("predicted"))
     return grid.join(counts, ["actual", "predicted"], "left").select(
         "actual", "predicted", F.coalesce("n", F.lit(0)).alias("n")
@@ -202,15 +203,13 @@ def inertia(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFra
 
 def calinski_harabasz(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFrame:
     """One row: ``calinski_harabasz_score``; NULL unless there are two clusters and fewer than rows."""
-    clusters = _cluster_moments(_points(df, features, label))
-    k, n = F.count(F.lit(1)), F.sum("n")
-    # The centre of all rows is the size-weighted mean of the cluster centres, taken place by place.
-    weighted = clusters.select("n", "within", "centre", F.posexplode("centre").alias("place", "x"))
-    totals = clusters.agg(k.alias("k"), n.alias("n"), F.sum("within").alias("within"))
-    per_place = weighted.groupBy("place").agg(
-        (F.sum(F.col("n") * F.col("x") * F.col("x")) - F.pow(F.sum(F.col("n") * F.col("x")), 2) / F.sum("n")).alias("between")
+    points = _points(df, features, label)
+    totals = _cluster_moments(points).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("within").alias("within")
     )
-    figures = totals.select("k", "n", "within", per_place.agg(F.sum("between")).scalar().alias("between"))
+    # What lies between the clusters is the spread of all rows around their one centre, less that within the clusters.
+    spread = _cluster_moments(points.withColumn("label", F.lit(0))).agg(F.first("within")).scalar()
+    figures = totals.select("k", "n", "within", (spread - F.col("within")).alias("between"))
     score = F.when(F.col("within") == 0, F.lit(1.0)).otherwise(
         F.try_divide(
             F.col("between") * (F.col("n") - F.col("k")), F.col("within") * (F.col("k") - 1)
@@ -233,7 +232,8 @@ def davies_bouldin(df: DataFrame, features: Sequence[str] | str, label: str) ->
         .groupBy("label")
         .agg(F.avg(_distance(F.col("x"), F.col("centre"))).alias("scatter"), F.count(F.lit(1)).alias("n"), F.first("centre").alias("centre"))
     )
-    others = scatter.agg(F.collect_list(F.struct("label", "scatter", "centre"))).scalar()
+    entry = F.struct("label", "scatter", "centre")
+    others = _all_of(scatter, entry, SCORE_ROWS, "The Davies-Bouldin score compares all pairs of clusters; there are too many.")
 
     def likeness(other: Column) -> Column:
         apart = _distance(F.col("centre"), other["centre"])
@@ -324,6 +324,12 @@ def _cluster_moments(points: DataFrame) -> DataFrame:
     return summary.select("label", n.alias("n"), vector_to_array(F.col("s.mean")).alias("centre"), within.alias("within"))
 
 
+def _all_of(df: DataFrame, entry: Column, limit: int, complaint: str) -> Column:
+    """The entries of a small table as one array; an error, not a cut, if there are more than ``limit``."""
+    gathered = df.select(entry.alias("entry")).limit(limit + 1).agg(F.array_sort(F.collect_list("entry")).alias("all"))
+    return gathered.select(F.when(F.size("all") > limit, F.raise_error(F.lit(complaint))).otherwise(F.col("all"))).scalar()
+
+
 def _distance(a: Column, b: Column) -> Column:
     squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, v: total + v))

@@ -6,9 +6,10 @@ smallest hash. To find that cut without sorting the table, rows are counted by t
 that holds the cut are ranked. The draw itself is then a filter. A class that holds a third of the
 table is spread over the buckets like any other rows.
 
-Rows that share a key share their hash, so they fall on the same side of a cut. Give a key that is
-unique, or :func:`quillframe.sources.tables.with_row_key`; then draws have the exact size. By default
-the key is the whole row.
+Rows that share a key share their hash and fall on the same side of a split, so splits have the exact
+size if the key is unique. By default the key is the whole row; for tables with copies, add a key with
+:func:`with_unique_key`. Copies are counted, never listed, so a row with any number of copies is one row
+of the search for the cut. A sample always has its exact size.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.errors import TableError
@@ -23,6 +25,7 @@ from quillframe.functions.hashing import HASH_BITS, HASH_RANGE, seeded_hash
 from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle
 from quillframe.functions.types import quoted
 from quillframe.operators.projection import rows_with_target
+from quillframe.sources.tables import with_row_key
 
 SPLIT = "split"
 MIN_ROWS = 10  # fixed value: fewest rows a model is trained on
@@ -69,9 +72,14 @@ def hash_sample(df: DataFrame, n: int, key: Sequence[str] = (), seed: int = 42)
     total = df.count()
     if total <= n:
         return df
+    ties = _tie_keys(df, key)
     hashed = _hashed(df, key, seed)
-    cut = _cut(hashed, n, total, _tie_keys(df, key))
-    return hashed.where(cut.reached(hashed)).drop(_HASH)
+    cut = _cut(hashed, n, total, ties)
+    if not cut.surplus:
+        return hashed.where(cut.reached(hashed)).drop(_HASH)
+    # The last key taken occurs more often than it is needed.
+    below = hashed.where(cut.reached(hashed) & ~cut.at(hashed))
+    return below.union(hashed.where(cut.at(hashed)).limit(cut.needed)).drop(_HASH)
 
 
 def require_rows(df: DataFrame, least: int = MIN_ROWS) -> DataFrame:
@@ -162,18 +170,40 @@ def split_parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(SPLIT) == "train").drop(SPLIT), df.where(F.col(SPLIT) == "test").drop(SPLIT)
 
 
+def with_unique_key(df: DataFrame, name: str = "_row_key") -> DataFrame:
+    """Add a column that tells all rows apart.
+
+    For a table read from Parquet, and filters and selections of it, this is the place of the row in its
+    file, the same on every read. Any other table gets running numbers and is written to the checkpoint
+    folder, which fixes them.
+    """
+    try:
+        return with_row_key(df, name)
+    except AnalysisException:
+        return settle(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 @dataclass(frozen=True)
 class _Cut:
-    """The hash and key of the last row taken."""
+    """The hash and key of the last row taken, how many of its copies are needed and how many too many there are."""
 
     row: dict
     ties: Sequence[str]
+    needed: int
+    surplus: int
 
-    def reached(self, hashed: DataFrame) -> Column:
+    def _last(self, hashed: DataFrame) -> Column:
         kinds = hashed.schema
-        last = F.struct(
+        return F.struct(
             *[F.lit(self.row[name]).cast(kinds[name].dataType).alias(name) for name in (_HASH, *self.ties)]
         )
+
+    def at(self, hashed: DataFrame) -> Column:
+        same = F.col(_HASH) == F.lit(self.row[_HASH])
+        return same & _order(hashed, self.ties).eqNullSafe(self._last(hashed))
+
+    def reached(self, hashed: DataFrame) -> Column:
+        last = self._last(hashed)
         # The plain comparison comes first, so rows beyond the cut are settled by one number.
         bound = F.lit(self.row[_HASH])
         return (F.col(_HASH) <= bound) & ((F.col(_HASH) < bound) | (_order(hashed, self.ties) <= last))
@@ -209,10 +239,11 @@ def _cut(hashed: DataFrame, take: int, total: int, ties: Sequence[str]) -> _Cut:
     running = counts.withColumn("upto", F.sum("n").over(Window.orderBy(_BUCKET)))
     at = running.where(F.col("upto") >= take).orderBy(_BUCKET).first()
     owed = take - (at["upto"] - at["n"])
-    candidates = hashed.where(bucket == at[_BUCKET]).select(_HASH, *[quoted(name) for name in ties])
-    ranked = candidates.orderBy(_HASH, *[quoted(name) for name in ties]).limit(owed)
-    last = ranked.agg(F.max(F.struct(*ranked.columns)).alias("last")).first()["last"]
-    return _Cut(last.asDict(), ties)
+    candidates = hashed.where(bucket == at[_BUCKET]).groupBy(_order(hashed, ties).alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = candidates.withColumn("upto", F.sum("n").over(Window.orderBy("row")))
+    last = ranked.where(F.col("upto") >= owed).orderBy("upto").first()
+    surplus = last["upto"] - owed
+    return _Cut(last["row"].asDict(), ties, last["n"] - surplus, surplus)
 
 
 def _class_quotas(sizes: ClassSizes, pct: int) -> DataFrame:
@@ -238,8 +269,9 @@ def _class_cuts(
     at = running.where((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
     cut_buckets = at.select("_class", _BUCKET, (F.col("take") - (F.col("upto") - F.col("n"))).alias("owed"))
     candidates = rows.join(sizes.near(cut_buckets), ["_class", _BUCKET])
-    place = F.row_number().over(Window.partitionBy("_class").orderBy("_row"))
-    last = candidates.withColumn("place", place).where(F.col("place") == F.col("owed"))
+    copies = candidates.groupBy("_class", "_row", "owed").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("_class").orderBy("_row"))
+    last = copies.withColumn("upto", upto).where((F.col("upto") >= F.col("owed")) & (F.col("upto") - F.col("n") < F.col("owed")))
     return last.select("_class", F.col("_row").alias("_cut"))
 
 

@@ -24,13 +24,15 @@ from quillframe.operators.models import (
 )
 from quillframe.operators.projection import rows_with_any_feature, rows_with_target
 from quillframe.operators.sampling import (
-    BUDGET_ALIASES, can_stratify, class_sizes, hash_sample, random_split, require_rows, split_parts, stratified_split, within_budget,
+    BUDGET_ALIASES, can_stratify, class_sizes, hash_sample, random_split, require_rows, split_parts, stratified_split,
+    with_unique_key, within_budget,
 )
 from quillframe.plans.profile import detect_task
 
 TRAIN_PCT = 70  # fixed value: default training share
 SEED = 42  # fixed value: default seed
 MAX_MODELS = 2  # fixed value: most models of one comparison
+ROW_KEY = "_row_key"
 _ID = "_order_key"
 
 
@@ -135,7 +137,8 @@ def compare_models(
 ) -> Comparison:
     """Train and score the requested models.
 
-    ``key`` names columns that identify a row; splits and samples are drawn from it. The task is that of
+    ``key`` names columns that identify a row; splits and samples are drawn from it. Without one, rows get
+    a key of their own (:func:`quillframe.operators.sampling.with_unique_key`). The task is that of
     the whole table unless given. Prepared rows are cached while the models train, since training reads
     them many times; everything they depend on is repeatable, so a lost executor only costs time.
     """
@@ -155,6 +158,8 @@ def compare_models(
     shared = check_requests(wanted, task)
     if not features:
         raise TableError("No feature column is left beside the target.")
+    if not key:
+        df, key = with_unique_key(df, ROW_KEY), [ROW_KEY]
     keep = list(dict.fromkeys([*key, *features, target]))
     rows = df.select(*[quoted(c) for c in keep])
     sampled = within_budget(rows, mode, key, seed)
@@ -228,7 +233,7 @@ def _run_supervised(
         for request in requests:
             fitted, params, seconds = _fit(request, train_ready, train_rows, seed)
             scored, fit_side = (_with_answers(fitted.predict(part), task, order) for part in (test_ready, train_ready))
-            metrics, chart = _supervised_figures(scored, fit_side, task, key, isinstance(request.model, str))
+            metrics, chart = _supervised_figures(scored, fit_side, task, isinstance(request.model, str))
             results.append(
                 ModelResult(
                     request.id, request.name, task, params, metrics, chart, seconds,
@@ -244,7 +249,7 @@ def _run_supervised(
 def _prepared(plan: FeaturePlan, part: DataFrame, target: str, task: str, key: list[str], training: bool) -> DataFrame:
     """``features, actual`` and the order key; regression rows also carry the label."""
     actual = quoted(target).cast("string") if task == "classification" else as_number(part, target)
-    order = F.struct(*[quoted(k) for k in key]) if key else F.lit(None).cast("string")
+    order = F.struct(*[quoted(k) for k in key])
     kept = part.select("*", actual.alias("_actual"), order.alias(_ID))
     ready = plan.apply(kept, training).select(FEATURES, F.col("_actual").alias("actual"), _ID)
     return ready if task == "classification" else ready.withColumn(LABEL, F.col("actual"))
@@ -256,7 +261,7 @@ def _with_answers(predicted: DataFrame, task: str, order: list[str]) -> DataFram
 
 
 def _supervised_figures(
-    scored: DataFrame, fit_side: DataFrame, task: str, key: list[str], built_in: bool
+    scored: DataFrame, fit_side: DataFrame, task: str, built_in: bool
 ) -> tuple[dict[str, float], list[dict[str, Any]]]:
     """Test metrics, the same figure on the training rows for built-in models, and the chart's rows."""
     if task == "classification":
@@ -269,8 +274,7 @@ def _supervised_figures(
         tables = [M.regression_metrics(scored, "actual", "predicted")]
         if built_in:
             tables.append(M.r2(fit_side, "actual", "predicted").withColumnRenamed("r2", "training_r2"))
-        order = [_ID] if key else ["actual", "predicted"]
-        chart = M.actual_predicted_sample(scored, "actual", "predicted", order).select("actual", "predicted")
+        chart = M.actual_predicted_sample(scored, "actual", "predicted", [_ID]).select("actual", "predicted")
     return _figures(*tables), [row.asDict() for row in chart.collect()]
 
 
@@ -292,7 +296,7 @@ def _run_clustering(
             fitted, params, seconds = _fit(request, ready, rows, seed)
             labelled = fitted.predict(ready).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                metrics = _clustering_figures(labelled, df.columns if not key else key, target, fitted, custom, seed)
+                metrics = _clustering_figures(labelled, key, target, fitted, custom, seed)
                 sizes = M.cluster_sizes(labelled, PREDICTION).orderBy("cluster")
                 chart = [row.asDict() for row in sizes.collect()]
             finally:

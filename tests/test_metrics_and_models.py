@@ -103,6 +103,20 @@ def test_rand_index(spark):
     assert M.adjusted_rand_index(df.withColumn("one", F.lit(1)), "k", "one").first()[0] == 0.0
 
 
+def test_calinski_harabasz_far_from_the_origin(spark):
+    df = blobs(spark, 120, 3.0)
+    moved = df.withColumn("x", F.col("x") + 1e7)
+    near, far = (M.calinski_harabasz(t, ["x", "y"], "k").first()[0] for t in (df, moved))
+    assert math.isclose(near, far, rel_tol=1e-6)
+
+
+def test_full_matrix_refuses_too_many_labels(spark):
+    df = spark.range(M.MAX_LABELS + 1).select(F.col("id").alias("a"), F.col("id").alias("p"))
+    with pytest.raises(Exception, match="too many labels"):
+        M.confusion_matrix(df, "a", "p").count()
+    assert M.confusion_counts(df, "a", "p").count() == M.MAX_LABELS + 1
+
+
 def test_silhouette_refuses_more_than_its_sample(spark):
     df = spark.range(M.SCORE_ROWS + 1).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("k"))
     with pytest.raises(TableError):

@@ -100,6 +100,35 @@ def test_whole_rows_serve_as_key(spark):
     assert split.count() == 500
 
 
+@pytest.fixture(scope="module")
+def copied(spark):
+    """3,000 rows, of which 1,000 are the same."""
+    return spark.range(3000).select(F.greatest(F.col("id"), F.lit(1000)).alias("a"), F.lit("s").alias("s"))
+
+
+@pytest.mark.parametrize("n", [1, 500, 1500, 2999])
+def test_sample_with_many_copies_has_the_exact_size(copied, n):
+    assert S.hash_sample(copied, n).count() == n
+    found = S.hash_sample(copied, n).groupBy("a").count().where("a <> 1000 AND count > 1")
+    assert found.count() == 0
+
+
+def test_split_with_many_copies_by_unique_key(spark, copied, tmp_path):
+    numbered = S.with_unique_key(copied)
+    assert numbered.select("_row_key").distinct().count() == 3000
+    split = S.random_split(numbered, 70, ["_row_key"], exact=True)
+    assert split.where("split = 'train'").count() == 2100
+    assert 600 < split.where("split = 'train' AND a = 1000").count() < 800  # the copies are divided as well
+    copied.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t")).where("a >= 0").select("a")
+    assert S.with_unique_key(stored).exceptAll(S.with_unique_key(stored)).count() == 0
+
+
+def test_stratified_split_with_many_copies_is_whole(copied):
+    split = S.stratified_split(copied.withColumn("cls", (F.col("a") % 2).cast("string")), "cls", 70)
+    assert split.count() == 3000 and split.select("a", "split").distinct().count() == 2001 - 1
+
+
 def test_budgets(skewed):
     assert S.within_budget(skewed, "full") is skewed
     assert S.budget_limit("sample") == 10_000 and S.budget_limit("chunked") == 50_000
