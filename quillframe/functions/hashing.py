@@ -8,18 +8,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quillframe.functions.types import quoted
 
-HASH_BITS = 60
-HASH_RANGE = 1 << HASH_BITS
+_DIGITS = 15
 
 
 def seeded_hash(keys: Sequence[str], seed: int) -> Column:
-    """A whole number in ``[0, 2**60)``: the first 15 hex digits of ``md5("<key>:...:<seed>")``.
+    """The hex digits of ``md5("<key>:...:<seed>")``. As they are all of one length, their order as text is that of the numbers.
 
     MD5 rather than Spark's own hash functions, so that any SQL engine can repeat the draw.
     """
     parts = [F.coalesce(quoted(key).cast("string"), F.lit("")) for key in keys]
-    text = F.concat_ws(":", *parts, F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return F.md5(F.concat_ws(":", *parts, F.lit(str(seed))))
+
+
+def share_of_hashes(pct: int) -> str:
+    """The text below which ``pct`` percent of all hashes lie."""
+    return f"{pct * 16**_DIGITS // 100:0{_DIGITS}x}"
 
 
 def row_digest(df: DataFrame) -> Column:

@@ -101,7 +101,18 @@ def parameters(model_id: str, given: Mapping[str, Any] | None = None) -> dict[st
 
 def fit_model(model_id: str, params: Mapping[str, Any], train: DataFrame, rows: int, seed: int) -> Fitted:
     """Train a built-in model on ``features`` and ``label`` (clustering: ``features`` alone)."""
-    return _FITTERS[model_id](dict(params), train, rows, seed)
+    return _FITTERS[model_id](dict(params), _for_training(train), rows, seed)
+
+
+def _for_training(train: DataFrame) -> DataFrame:
+    """The columns that training reads, over at least as many partitions as there are cores.
+
+    A new table even if the given one is cached: the estimators of ``pyspark.ml`` then keep their own decoded form
+    of the rows between iterations, instead of decoding the cached columns in each of them.
+    """
+    slim = train.select(*[name for name in (FEATURES, LABEL) if name in train.columns])
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return slim.repartition(cores) if slim.rdd.getNumPartitions() < cores else slim
 
 
 def fit_custom(model: CustomModel, params: Mapping[str, Any] | None, train: DataFrame) -> tuple[Fitted, dict[str, Any]]:
@@ -277,18 +288,17 @@ def _fit_kmeans(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     _refuse(params, "init", ("k-means++", "random"))
     starts = 1 if params["n_init"] == "auto" else int(params["n_init"])
     clusters = _check_clusters(params, rows)
-    kept = None if train.is_cached else train.select(FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
     best = None
     for start in range(max(1, starts)):
         model = KMeans(
             featuresCol=FEATURES, predictionCol=PREDICTION, k=clusters, seed=seed + start,
             maxIter=int(params["max_iter"]), tol=float(params["tol"]),
             initMode="random" if params["init"] == "random" else "k-means||",
-        ).fit(train if kept is None else kept)
+        ).fit(kept.select(FEATURES))
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
-    if kept is not None:
-        kept.unpersist()
+    kept.unpersist()
     return Fitted(best.transform, float(best.summary.trainingCost))
 
 

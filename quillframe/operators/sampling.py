@@ -1,8 +1,8 @@
 """Repeatable samples and train/test splits by row hash.
 
 Every row has a hash of its key and the seed. A draw of exactly ``n`` rows is the ``n`` rows with the
-smallest hash. To find that cut without sorting the table, rows are counted by the leading hash bits
-(a few thousand to a million counters, counted inside each task first); only the rows of the one bucket
+smallest hash. To find that cut without sorting the table, rows are counted by the leading hash digits
+(256 to a million counters, counted inside each task first); only the rows of the one bucket
 that holds the cut are ranked. The draw itself is then a filter. A class that holds a third of the
 table is spread over the buckets like any other rows.
 
@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.errors import TableError
-from quillframe.functions.hashing import HASH_BITS, HASH_RANGE, seeded_hash
+from quillframe.functions.hashing import seeded_hash, share_of_hashes
 from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle
 from quillframe.functions.types import quoted
 from quillframe.operators.projection import rows_with_target
@@ -99,7 +99,7 @@ def random_split(
     """
     _check_pct(train_pct)
     if not exact:
-        chosen = seeded_hash(_tie_keys(df, key), seed) < F.lit(train_pct * HASH_RANGE // 100)
+        chosen = seeded_hash(_tie_keys(df, key), seed) < F.lit(share_of_hashes(train_pct))
         return df.withColumn(SPLIT, _side(chosen))
     total = df.count()
     take = total * train_pct // 100
@@ -224,17 +224,14 @@ def _order(df: DataFrame, ties: Sequence[str]) -> Column:
     return F.struct(F.col(_HASH), *[quoted(name) for name in ties])
 
 
-def _bits(rows: int) -> int:
-    """Leading hash bits for about ``_BUCKET_ROWS`` rows per bucket, a million buckets at most."""
-    return min(20, max(6, (rows // _BUCKET_ROWS).bit_length()))
-
-
-def _bucket(bits: int) -> Column:
-    return F.shiftright(F.col(_HASH), HASH_BITS - bits)
+def _bucket(rows: int) -> Column:
+    """Leading hash digits, so many that a bucket holds about ``_BUCKET_ROWS`` rows; a million buckets at most."""
+    bits = (rows // _BUCKET_ROWS).bit_length()
+    return F.substring(F.col(_HASH), 1, min(5, max(2, -(-bits // 4))))
 
 
 def _cut(hashed: DataFrame, take: int, total: int, ties: Sequence[str]) -> _Cut:
-    bucket = _bucket(_bits(total))
+    bucket = _bucket(total)
     counts = hashed.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n"))
     running = counts.withColumn("upto", F.sum("n").over(Window.orderBy(_BUCKET)))
     at = running.where(F.col("upto") >= take).orderBy(_BUCKET).first()
@@ -261,7 +258,7 @@ def _class_cuts(
     hashed: DataFrame, label: str, sizes: ClassSizes, quota: DataFrame, ties: Sequence[str]
 ) -> DataFrame:
     """``_class, _cut``: the last training row of each class that has any."""
-    bucket = _bucket(_bits(sizes.largest))
+    bucket = _bucket(sizes.largest)
     rows = hashed.select(quoted(label).alias("_class"), _order(hashed, ties).alias("_row"), bucket.alias(_BUCKET))
     counts = rows.groupBy("_class", _BUCKET).agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("_class").orderBy(_BUCKET))
