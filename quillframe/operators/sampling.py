@@ -17,15 +17,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.errors import TableError
 from quillframe.functions.hashing import seeded_hash, share_of_hashes
-from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle
+from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle, store
 from quillframe.functions.types import quoted
 from quillframe.operators.projection import rows_with_target
-from quillframe.sources.tables import with_row_key
 
 SPLIT = "split"
 MIN_ROWS = 10  # fixed value: fewest rows a model is trained on
@@ -171,16 +169,11 @@ def split_parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def with_unique_key(df: DataFrame, name: str = "_row_key") -> DataFrame:
-    """Add a column that tells all rows apart.
+    """Add running numbers that tell all rows apart, and write the table below the checkpoint folder, which fixes them.
 
-    For a table read from Parquet, and filters and selections of it, this is the place of the row in its
-    file, the same on every read. Any other table gets running numbers and is written to the checkpoint
-    folder, which fixes them.
+    For a table just read from Parquet, :func:`quillframe.sources.tables.with_row_key` does the same without writing.
     """
-    try:
-        return with_row_key(df, name)
-    except AnalysisException:
-        return settle(df.withColumn(name, F.monotonically_increasing_id()))
+    return store(df.withColumn(name, F.monotonically_increasing_id()))
 
 
 @dataclass(frozen=True)

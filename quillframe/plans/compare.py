@@ -137,8 +137,8 @@ def compare_models(
 ) -> Comparison:
     """Train and score the requested models.
 
-    ``key`` names columns that identify a row; splits and samples are drawn from it. Without one, rows get
-    a key of their own (:func:`quillframe.operators.sampling.with_unique_key`). The task is that of
+    ``key`` names columns that identify a row; splits and samples are drawn from it. Without one, the columns
+    in use are written once with a key of their own (:func:`quillframe.operators.sampling.with_unique_key`). The task is that of
     the whole table unless given. Prepared rows are cached while the models train, since training reads
     them many times; everything they depend on is repeatable, so a lost executor only costs time.
     """
@@ -158,10 +158,9 @@ def compare_models(
     shared = check_requests(wanted, task)
     if not features:
         raise TableError("No feature column is left beside the target.")
+    rows = df.select(*[quoted(c) for c in dict.fromkeys([*key, *features, target])])
     if not key:
-        df, key = with_unique_key(df, ROW_KEY), [ROW_KEY]
-    keep = list(dict.fromkeys([*key, *features, target]))
-    rows = df.select(*[quoted(c) for c in keep])
+        rows, key = with_unique_key(rows, ROW_KEY), [ROW_KEY]
     sampled = within_budget(rows, mode, key, seed)
     processed = available
     if sampled is not rows:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from quillframe.errors import TableError
 from quillframe.functions.missing import fold_nan
-from quillframe.functions.sizing import settle
+from quillframe.functions.sizing import store
 from quillframe.functions.types import refuse_nested
 from quillframe.operators import cleaning, projection
 
@@ -44,7 +44,7 @@ def run_steps(df: DataFrame, steps: Iterable[Step]) -> DataFrame:
     """Apply the steps in order: names with options, or functions from table to table.
 
     A measuring step would make Spark repeat everything before it. Where that includes a shuffle or a
-    caller's function, the table is first written to the checkpoint folder, once, and read from there.
+    caller's function, the table is first written below the checkpoint folder, once, and read from there.
     """
     refuse_nested(df)
     df = fold_nan(df)
@@ -55,7 +55,7 @@ def run_steps(df: DataFrame, steps: Iterable[Step]) -> DataFrame:
             continue
         operation, options = step
         if operation in MEASURING and costly:
-            df, costly = settle(df), False
+            df, costly = store(df), False
         df = clean(df, operation, **options)
         costly = costly or operation == "remove_duplicates"
     return df
