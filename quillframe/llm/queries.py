@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillframe.llm.language import identify, train
 from quillframe.llm.mixing import plan_mix
+from quillframe.llm.multi_index import nearest_neighbours
 from quillframe.llm.packing import pack_documents
+from quillframe.llm.secrets import find_secrets
 from quillframe.llm.sharding import shard_by_bytes
 from quillframe.llm.simhash import simhash_components
+from quillframe.llm.sketch import fingerprint_versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -75,3 +79,27 @@ FROM rates
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     planned = plan_mix(documents(spark, folder))
     return planned.selectExpr("doc_id", "size", "source_size", "target", "size * copies AS taken")
+
+
+@query()
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = train(docs.where(~held_out).select("doc_id", "text", "lang"))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return find_secrets(documents(spark, folder))
+
+
+@query()
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query()
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_versions(documents(spark, folder))
