@@ -3,9 +3,10 @@
 Each vector is cut in two halves, each half goes to its nearest centroid, and the pair of centroids is the cell of the
 vector. The codebooks are fitted on a bounded sample; every row is indexed. A query walks the cells in the order of
 its summed distance to both centroids, by a heap over pairs of ranks, until it has met ``first`` rows. Their true distances
-give the k-th best so far. It then walks on through the cells in which a row may still be nearer, as told by the mean and the spread
-of what lies between the rows of a cell and its centroids, and leaves out the others. All entries are reranked by
-their true distance. There is no cap on cells or candidates: ``spreads`` says how unlikely a better row has to be.
+give the k-th best so far. How many rows of a cell are nearer than that is expected from the mean and the spread of what lies
+between its rows and its centroids. The query walks on through the cells until those left out hold fewer than ``1 - recall``
+of ``k`` such rows between them. All entries met are reranked by their true distance. There is no cap on cells or
+candidates.
 
 Entries lie in shards of one first centroid, hot ones salted over several, and meet the queries that walk there in
 bounded chunks. Each meeting hands on the k nearest of each query.
@@ -14,6 +15,7 @@ bounded chunks. Each meeting hands on the k nearest of each query.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -96,7 +98,7 @@ def _matrix(batch: pa.RecordBatch | pa.Table, name: str = "vector") -> np.ndarra
 
 
 def nearest_neighbours(
-    table: DataFrame, *, k: int = 10, every: int = 100, centroids: int = 24, sample_rows: int = 16_384, first: int = 1_000, spreads: float = 2.5,
+    table: DataFrame, *, k: int = 10, every: int = 100, centroids: int = 24, sample_rows: int = 16_384, first: int = 1_000, recall: float = 0.99,
     rows_per_shard: int = 4_096, queries_per_chunk: int = 2_048,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest rows found for every row whose ``vec_id`` is divisible by ``every``.
@@ -146,7 +148,7 @@ def nearest_neighbours(
     begun = store(_meet(sharded, start, salts, k, queries_per_chunk))
     reached = store(_best(begun, k).groupBy(F.col("uid").alias("of")).agg(F.max("score").alias("reached"), F.count("*").alias("have")))
     onward = queries.join(reached, F.col("uid") == F.col("of"), "left").select("uid", "query_id", "vector", F.when(F.col("have") >= k, F.col("reached")).otherwise(float("inf")).alias("reached"))
-    rest = store(onward.mapInArrow(_go_on(shared, known, first, width, spreads), "uid long, query_id long, vector array<double>, one int, twos array<int>"))
+    rest = store(onward.mapInArrow(_go_on(shared, known, first, width, (1 - recall) * k), "uid long, query_id long, vector array<double>, one int, twos array<int>"))
     answers = _best(begun.union(_meet(sharded, rest, salts, k, queries_per_chunk)), k)
     return answers.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -194,7 +196,7 @@ def _begin(shared: Broadcast, known: Broadcast, first: int, width: int):
     return begin
 
 
-def _go_on(shared: Broadcast, known: Broadcast, first: int, width: int, spreads: float):
+def _go_on(shared: Broadcast, known: Broadcast, first: int, width: int, missed: float):
     def onward(far: tuple[np.ndarray, np.ndarray], reached: float) -> list[tuple[int, int]]:
         cells = known.value
         done = set(_start(far, cells, first, width))
@@ -202,13 +204,20 @@ def _go_on(shared: Broadcast, known: Broadcast, first: int, width: int, spreads:
         dimensions = sum(c.shape[1] for c in shared.value.halves)
         # rows of a cell lie around the summed distance plus their own to the centroids
         spread = np.sqrt(cells.variance + 4 * summed * cells.mean / dimensions)
-        hopeful = (cells.rows > 0) & (summed + cells.mean - spreads * spread <= reached**2)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            below = (reached**2 - summed - cells.mean) / np.maximum(spread, 1e-12)
+        nearer = cells.rows * np.fromiter((math.erfc(-z / math.sqrt(2)) / 2 for z in below.tolist()), float, len(below))
+        for one, two in done:
+            nearer[one * width + two] = 0
+        order = np.argsort(nearer, kind="stable")
+        hopeful = np.zeros(len(nearer), bool)
+        hopeful[order[np.cumsum(nearer[order]) > missed]] = True
         last = summed[hopeful].max(initial=-1.0)
         chosen = []
         for at, one, two in walk(*far):
             if at > last:
                 break
-            if hopeful[one * width + two] and (one, two) not in done:
+            if hopeful[one * width + two]:
                 chosen.append((one, two))
         return chosen
 

@@ -49,7 +49,7 @@ def test_odd_rows(spark):
     bad = [(300, None), (62, [0.0] * 6), (63, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (64, [float("nan")] * 6), (65, [float("inf")] * 6), (66, []), (67, [1.0, 2.0]), (None, [1.0] * 6)]
     table = spark.createDataFrame([(i, v, "x") for i, v in rows + bad], "vec_id long, embedding array<double>, uid string").repartition(4)
     found = defaultdict(list)
-    for r in nearest_neighbours(table, first=20, centroids=4, rows_per_shard=10, queries_per_chunk=1, spreads=50).collect():
+    for r in nearest_neighbours(table, first=20, centroids=4, rows_per_shard=10, queries_per_chunk=1, recall=1 - 1e-12).collect():
         found[r.query_id].append((r.rank, r.vec_id, r.score))
     expected = defaultdict(list)
     for query, near in brute(rows):
