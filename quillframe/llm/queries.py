@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillframe.llm.co_training import quality_scores
 from quillframe.llm.language import identify, train
 from quillframe.llm.mixing import plan_mix
 from quillframe.llm.multi_index import nearest_neighbours
 from quillframe.llm.packing import pack_documents
+from quillframe.llm.pseudo_likelihood import pseudo_likelihood
 from quillframe.llm.secrets import find_secrets
 from quillframe.llm.sharding import shard_by_bytes
 from quillframe.llm.simhash import simhash_components
@@ -103,3 +105,13 @@ def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_versions(documents(spark, folder))
+
+
+@query()
+def op6_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood(documents(spark, folder))
+
+
+@query()
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))

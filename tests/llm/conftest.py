@@ -5,7 +5,7 @@ import sys
 from pathlib import Path
 
 ROOT = str(Path(__file__).resolve().parents[2])
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, str(Path(__file__).resolve().parent)]
 os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 import pytest  # noqa: E402
