@@ -28,6 +28,7 @@ from quillframe.llm.components import connected_components
 BITS = 64
 SEED = 42
 FANOUT = 8
+PAIRS_AT_ONCE = 1 << 18  # queries times rows that a search may have in memory at worst
 EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -154,7 +155,7 @@ def _stars(rows: np.ndarray, groups: np.ndarray, side: np.ndarray | None, most:
         places, queries = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         index = GrayIndex(rows[places], groups[places])
         roots = numbers  # every group has both sides
-    sets, block = _Sets(len(rows)), max(64, (1 << 22) // max(1, len(places)))
+    sets, block = _Sets(len(rows)), max(16, PAIRS_AT_ONCE // max(1, len(places)))
     for at in range(0, len(queries), block):
         part = queries[at : at + block]
         query, node = index.near(rows[part], roots[part], most)
