@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from quillframe.errors import TableError
 from quillframe.functions.convert import number_text, whole_text
@@ -13,6 +13,7 @@ from quillframe.functions.missing import fold_missing_tokens, fold_nan
 from quillframe.functions.names import clean_headers
 from quillframe.functions.types import FLOATING, is_moment, quoted
 
+_RECORD = "_record"
 PREVIEW_ROWS = 12  # fixed value: rows of a preview
 
 # Quotes are doubled inside quoted fields, as spreadsheets write them, not escaped by a backslash.
@@ -32,16 +33,17 @@ def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType | None = None,
-    multiline: bool = True,
+    multiline: bool = False,
     encoding: str = "UTF-8",
 ) -> DataFrame:
     """A delimited file or folder with a header row.
 
     Headers are cleaned (:func:`quillframe.functions.names.clean_headers`) and missing-value tokens
     become NULL. Without a ``schema`` the types come from one aggregation over the whole file: whole
-    numbers, else decimals, else truth values, else text; pass a schema to save that pass. ``multiline``
-    allows line breaks in quoted fields and makes one task per file; switch it off for large files
-    without such breaks, which Spark then splits.
+    numbers, else decimals, else truth values, else text; with a schema that pass only looks for faulty rows. Rows with more
+    fields than the header are an error, shorter ones are filled with NULL, and all files must have the same header.
+    ``multiline`` allows line breaks in quoted fields, at the price of one task per file. Without it Spark splits
+    files, and a row with an unclosed quote is an error that names the option.
     """
     options = {**_DIALECT, "multiLine": str(multiline).lower(), "encoding": encoding}
     paths = [path] if isinstance(path, str) else list(path)
@@ -50,16 +52,47 @@ def read_csv(
         if heading is None:
             raise TableError("The file is empty.")
         names = clean_headers(str(name).lstrip("﻿") if name is not None else None for name in heading)
-        texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        raw = spark.read.options(**options, header="true").schema(texts).csv(paths)
+        _require_same_headers(spark, paths, options, heading)
+        whole = next(n for n in (_RECORD, _RECORD + "_") if n not in names)
+        texts = T.StructType([T.StructField(name, T.StringType()) for name in [*names, whole]])
+        raw = spark.read.options(**options, header="true", columnNameOfCorruptRecord=whole, enforceSchema="true").schema(texts).csv(paths)
     except AnalysisException as problem:
         raise TableError(f"The table could not be read: {problem}") from problem
-    folded = fold_missing_tokens(raw)
+    marked = raw.withColumn(whole, _fault(quoted(whole), raw, names))
+    folded = fold_missing_tokens(marked.select(*[quoted(n) for n in names]))
+    checked = fold_missing_tokens(marked)
+    if schema is not None and len(schema) != len(names):
+        raise TableError(f"The schema has {len(schema)} columns, the file {len(names)}.")
+    types = _checked_types(checked, names, whole, infer=schema is None)
     if schema is not None:
-        if len(schema) != len(names):
-            raise TableError(f"The schema has {len(schema)} columns, the file {len(names)}.")
         return _typed(folded.toDF(*schema.names), {f.name: f.dataType.simpleString() for f in schema.fields})
-    return _typed(folded, infer_types(folded))
+    return _typed(folded, types)
+
+
+def _require_same_headers(spark: SparkSession, paths: list[str], options: dict[str, str], heading: Row) -> None:
+    """Columns are matched by place, so every file must begin with the same line."""
+    lines = spark.read.option("wholetext", "false").text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    firsts = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("line"))
+    others = firsts.select(F.regexp_replace("line", "^\ufeff", "").alias("line")).distinct().limit(3).collect()
+    if len(others) > 1:
+        raise TableError(f"The files have different headers: {others[0]['line']!r} and {others[1]['line']!r}.")
+
+
+def _fault(record: Column, raw: DataFrame, names: list[str]) -> Column:
+    """What is wrong with a row that Spark could not read as it stands: too many fields, or a quote that is not closed."""
+    quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
+    return F.when(quotes % 2 == 1, "quote").when(record.isNotNull() & quoted(names[-1]).isNotNull(), "fields")
+
+
+def _checked_types(texts: DataFrame, names: list[str], whole: str, infer: bool) -> dict[str, str]:
+    """The types of the columns, and an error for faulty rows, from one aggregation."""
+    wrong = [F.count_if(quoted(whole) == kind).alias(kind) for kind in ("quote", "fields")]
+    seen = texts.agg(*wrong, *(_type_counts(names) if infer else [])).first()
+    if seen["quote"]:
+        raise TableError(f"{seen['quote']} rows have a quote that is not closed; for line breaks in quoted fields pass multiline=True.")
+    if seen["fields"]:
+        raise TableError(f"{seen['fields']} rows have more fields than the header.")
+    return _narrowest(names, seen[2:]) if infer else {}
 
 
 def infer_types(texts: DataFrame) -> dict[str, str]:
@@ -67,17 +100,22 @@ def infer_types(texts: DataFrame) -> dict[str, str]:
 
     A column without any text is a double, as an all-missing column is a numeric one.
     """
-    counts = texts.agg(
-        *[
-            F.struct(
-                F.count(quoted(name)).alias("present"),
-                *[F.count(parse(quoted(name))).alias(kind) for kind, parse in _CANDIDATES.items()],
-            ).alias(f"c{i}")
-            for i, name in enumerate(texts.columns)
-        ]
-    ).first()
+    return _narrowest(texts.columns, texts.agg(*_type_counts(texts.columns)).first())
+
+
+def _type_counts(names: Sequence[str]) -> list[Column]:
+    return [
+        F.struct(
+            F.count(quoted(name)).alias("present"),
+            *[F.count(parse(quoted(name))).alias(kind) for kind, parse in _CANDIDATES.items()],
+        ).alias(f"c{i}")
+        for i, name in enumerate(names)
+    ]
+
+
+def _narrowest(names: Sequence[str], counts: Sequence[Row]) -> dict[str, str]:
     chosen = {}
-    for name, seen in zip(texts.columns, counts):
+    for name, seen in zip(names, counts):
         fits = [kind for kind in _CANDIDATES if seen[kind] == seen["present"]]
         chosen[name] = "double" if not seen["present"] else fits[0] if fits else "string"
     return chosen

@@ -83,7 +83,7 @@ CSV = '﻿id, flag ,,x,x,note\n1,True,NA,0.5,007,"said ""no""\nand left"\n2,fals
 def test_csv_reads_like_pandas(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text(CSV, encoding="utf-8")
-    df = read_csv(spark, str(path))
+    df = read_csv(spark, str(path), multiline=True)
     assert df.dtypes == [("id", "bigint"), ("flag", "boolean"), ("column_3", "double"), ("x", "double"), ("x_2", "bigint"), ("note", "string")]
     expected = pd.read_csv(path)
     found = df.orderBy("id").collect()
@@ -98,11 +98,11 @@ def test_csv_with_a_schema_and_back(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text("a,b\n1,2024-01-02 03:04:05.123456\nx,\n", encoding="utf-8")
     schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("at", T.TimestampNTZType())])
-    df = read_csv(spark, str(path), schema)
+    df = read_csv(spark, str(path), schema, multiline=True)
     assert df.dtypes == [("n", "int"), ("at", "timestamp_ntz")]
     out = str(tmp_path / "out")
     write_csv(df, out)
-    again = read_csv(spark, out, schema)
+    again = read_csv(spark, out, schema, multiline=True)
     assert sorted(map(str, again.collect())) == sorted(map(str, df.collect()))
     with pytest.raises(TableError):
         read_csv(spark, str(path), T.StructType(schema.fields[:1]))
@@ -134,3 +134,21 @@ def test_names_with_dots(spark):
     df = spark.createDataFrame([(1, 2.0), (2, None)], "`a.b` long, `c.d` double")
     assert keep_rows(df, field("a.b") > 1).count() == 1
     assert select_columns(df, ["c.d"]).columns == ["c.d"]
+
+
+@pytest.mark.parametrize(
+    "texts, complaint",
+    [(["a,b\n1,2\n3,4,5\n"], "more fields"), (['a,b\n1,"x\ny"\n'], "multiline=True"), (["a,b\n1,2\n", "b,a\n1,2\n"], "different headers")],
+)
+def test_faulty_csv_is_refused(spark, tmp_path, texts, complaint):
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.csv").write_text(text)
+    with pytest.raises(TableError, match=complaint):
+        read_csv(spark, [str(tmp_path / f"{i}.csv") for i in range(len(texts))])
+
+
+def test_short_rows_are_filled_and_files_are_joined(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1\n3,4\n")
+    (tmp_path / "b.csv").write_text("a,b\n5,6\n")
+    found = read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, None), (3, 4), (5, 6)]
