@@ -51,6 +51,33 @@ def fill_with_mode(spark, folder):
     return C.fill_missing(gapped_events(spark, folder), method="mode")
 
 
+# Gaps in columns of other types, and a tie between 9.00 and 10.00, of which the smaller number wins.
+_TYPED = (
+    "event_id", "CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 2 = 0 THEN CAST(9 AS DECIMAL(10, 2)) ELSE CAST(10 AS DECIMAL(10, 2)) END AS amount",
+    "CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS day", "CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS seen",
+)
+_TYPED_SQL = f"WITH gapped AS (SELECT {', '.join(_TYPED)} FROM events)"
+
+
+@query(f"{_TYPED_SQL} SELECT event_id, CAST(a AS DOUBLE) AS amount, day, seen FROM (SELECT event_id, {_mode('amount').replace(' AS amount', ' AS a')}, {_mode('day')}, {_mode('seen')} FROM gapped)")
+def fill_other_types_with_mode(spark, folder):
+    filled = C.fill_missing(table(spark, folder, "events").selectExpr(*_TYPED), method="mode")
+    return filled.withColumn("amount", F.col("amount").cast("double"))
+
+
+@query(f"{_TYPED_SQL} SELECT event_id, coalesce(CAST(amount AS DOUBLE), 0) AS amount, day, seen FROM gapped")
+def fill_other_types_with_default(spark, folder):
+    """Dates and times have no default, so their gaps stay."""
+    filled = C.fill_missing(table(spark, folder, "events").selectExpr(*_TYPED), method="constant")
+    return filled.withColumn("amount", F.col("amount").cast("double"))
+
+
+@query(f"{_TYPED_SQL} SELECT event_id, coalesce(day, DATE '2020-02-29') AS day FROM gapped")
+def fill_dates_with_constant(spark, folder):
+    filled = C.fill_missing(table(spark, folder, "events").selectExpr(*_TYPED), ["day"], "constant", "2020-02-29")
+    return filled.select("event_id", "day")
+
+
 @query(
     f"WITH {GAPPED} SELECT event_id, ts, coalesce(user_id, 0) AS user_id, coalesce(event_type, 'Unknown') AS event_type, "
     "coalesce(value, 0.0) AS value FROM gapped"

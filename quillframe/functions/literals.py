@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 from quillframe.errors import TableError
 from quillframe.functions.types import FLOATING, is_moment, is_number
@@ -31,5 +31,8 @@ def typed_literal(kind: T.DataType, value: Any, name: str) -> Column:
             return F.lit(number).cast(kind)
         return F.lit(int(whole))
     if is_moment(kind):
-        return F.lit(str(value)).cast(kind)
+        found = F.lit(str(value)).try_cast(kind)
+        if SparkSession.active().range(1).select(found.isNull()).first()[0]:
+            raise TableError(f"Column '{name}' holds dates or times, and {value!r} is none.")
+        return found
     return F.lit(str(value))

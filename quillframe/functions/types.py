@@ -43,6 +43,10 @@ def family(kind: T.DataType) -> str:
     return "text"
 
 
+def has_nested(df: DataFrame) -> bool:
+    return any(isinstance(field.dataType, NESTED) for field in df.schema.fields)
+
+
 def refuse_nested(df: DataFrame) -> None:
     """Arrays, maps and structs have no place in a flat table of features."""
     nested = [field.name for field in df.schema.fields if isinstance(field.dataType, NESTED)]

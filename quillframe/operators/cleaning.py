@@ -18,7 +18,7 @@ from quillframe.errors import TableError
 from quillframe.functions.convert import DATE_FORMATS, converted
 from quillframe.functions.literals import typed_literal
 from quillframe.functions.names import known
-from quillframe.functions.types import WHOLE, as_number, data_type, is_number, quoted
+from quillframe.functions.types import WHOLE, as_number, data_type, is_moment, is_number, quoted
 from quillframe.operators.frequency import modes, slot_literal
 from quillframe.operators.predicates import EVERY_ROW, Condition
 from quillframe.operators.quantiles import exact_quantiles
@@ -39,7 +39,8 @@ def fill_missing(
     """Fill gaps in the listed columns, or in all of them.
 
     ``mean`` and ``median`` apply to numbers, ``mode`` to everything; where they do not apply, the
-    constant does. Without a ``value`` the constant is 0, False or ``Unknown`` by type. A whole-number
+    constant does. Without a ``value`` the constant is 0, False or ``Unknown`` by type; there is none for dates
+    and times, whose gaps stay. A ``value`` that is no date is an error for them. A whole-number
     column becomes a double when its filling is not a whole number. Columns without gaps stay as they are.
     """
     if method not in FILL_METHODS:
@@ -55,7 +56,7 @@ def fill_missing(
         found = {row["column"]: row for row in modes(df, names).collect()} if names else {}
         fillings = {n: slot_literal(data_type(df, n), found[n]) for n in names if n in found}
     for name in names:
-        if name not in fillings:
+        if name not in fillings and not (value is _ABSENT and is_moment(data_type(df, name))):
             fillings[name] = _constant(df, name, value)
     return _replaced(df, {n: F.coalesce(quoted(n), filling) for n, filling in fillings.items()})
 

@@ -1,6 +1,6 @@
 """One value-frequency table for many columns.
 
-Every cell becomes a row ``(column, ordinal, whole, real, label, moment)`` in which one typed slot
+Every cell becomes a row ``(column, ordinal, whole, real, exact, label, moment, instant)`` in which one typed slot
 holds the value, and equal rows are counted. All columns share one scan and one shuffle. Spark counts
 inside each task first, so a value that fills a third of the table reaches the shuffle as one row per
 task. The slots keep each type's own order, which ``mode`` needs to break ties.
@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from quillframe.functions.types import FLOATING, WHOLE, data_type, is_moment, quoted, refuse_nested
 
-SLOTS = {"whole": "bigint", "real": "double", "label": "string", "moment": "timestamp_ntz"}
+SLOTS = {
+    "whole": "bigint", "real": "double", "exact": "decimal(38,18)", "label": "string", "moment": "timestamp_ntz", "instant": "timestamp",
+}
 
 
 def slot_of(kind: T.DataType) -> str:
@@ -22,6 +24,11 @@ def slot_of(kind: T.DataType) -> str:
         return "whole"
     if isinstance(kind, FLOATING):
         return "real"
+    if isinstance(kind, T.DecimalType):
+        # a decimal with more digits before or behind the point than the slot keeps its text
+        return "exact" if kind.scale <= 18 and kind.precision - kind.scale <= 20 else "label"
+    if isinstance(kind, T.TimestampType):
+        return "instant"
     return "moment" if is_moment(kind) else "label"
 
 
@@ -42,7 +49,7 @@ def _cell(df: DataFrame, name: str) -> Column:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``column, ordinal, present, whole, real, label, moment, text, n``: one row per column and distinct value.
+    """``column, ordinal, present``, the slots, ``text`` and ``n``: one row per column and distinct value.
 
     Missing cells are counted in one row per column with ``present`` false.
     """
@@ -64,7 +71,13 @@ def _text(df: DataFrame, names: list[str]) -> Column:
         whole = F.when(F.col("column").isin(truths), (F.col("whole") == 1).cast("string")).otherwise(whole)
     if days:
         moment = F.when(F.col("column").isin(days), F.col("moment").cast("date").cast("string")).otherwise(moment)
-    return F.coalesce("label", whole, moment, F.col("real").cast("string"))
+    # A decimal is written with the digits of its own column.
+    exact = F.col("exact").cast("string")
+    for name in names:
+        kind = data_type(df, name)
+        if slot_of(kind) == "exact":
+            exact = F.when(F.col("column") == name, F.col("exact").cast(kind).cast("string")).otherwise(exact)
+    return F.coalesce("label", whole, moment, F.col("instant").cast("string"), F.col("real").cast("string"), exact)
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
@@ -139,6 +152,8 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def slot_literal(kind: T.DataType, row) -> Column:
     """The value of a collected frequency row as a literal of the column's type."""
     value = row[slot_of(kind)]
+    if slot_of(kind) == "instant":
+        return F.lit(value)
     if is_moment(kind):
         return F.lit(value.isoformat(sep=" ")).cast(kind)
     if isinstance(kind, T.BooleanType):
