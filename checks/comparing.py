@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import query, table
 from quillframe.operators.comparison import mark_best, pivot_metrics, relative_bars, starter_models
 from quillframe.operators.models import MODELS
-from quillframe.plans.compare import ModelRequest, compare_models, compatible
+from quillframe.plans.compare import compare_models, compatible
 from quillframe.plans.profile import detect_task
 from quillframe.session import scratch_path
 from quillframe.sources.workspace import Workspace
@@ -80,8 +80,7 @@ def model_fit_for_task(spark, folder):
 
 def _price_run(spark, folder, **extra):
     parts = table(spark, folder, "part").selectExpr("p_partkey", "p_partkey % 1000 AS step", "p_size", "p_retailprice")
-    forest = ModelRequest("random_forest", {"n_estimators": 10})
-    return compare_models(parts, "p_retailprice", ["linear_regression", forest], key=["p_partkey"], **extra)
+    return compare_models(parts, "p_retailprice", ["linear_regression", "random_forest"], key=["p_partkey"], **extra)
 
 
 @query(

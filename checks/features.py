@@ -43,8 +43,9 @@ def _with_output_name(plan, ready, key, alias):
     return ready.select(key, F.when(place > 0, F.element_at(names, F.greatest(place, F.lit(1)))).alias(alias))
 
 
-_KINDS = "p_brand || ' ' || p_type AS kind"
-_PART_TRAIN = f"{draw('p_partkey')} < {below(5)}"
+_PART_TRAIN = f"{draw('p_partkey')} < {below(70)}"
+# Every tenth test row has a category that does not occur in training.
+_KINDS = f"CASE WHEN p_partkey % 10 = 0 AND NOT ({_PART_TRAIN}) THEN 'new ' ELSE '' END || p_brand || ' ' || p_type AS kind"
 
 
 @query(
@@ -57,7 +58,8 @@ _PART_TRAIN = f"{draw('p_partkey')} < {below(5)}"
 def one_hot_with_rare(spark, folder):
     """The 49 most frequent categories, one output for the rare ones, none for those absent from training."""
     parts = table(spark, folder, "part").select("p_partkey", F.concat_ws(" ", "p_brand", "p_type").alias("kind"))
-    train, test = split_parts(random_split(parts, 5, ["p_partkey"]))
+    train, test = split_parts(random_split(parts, 70, ["p_partkey"]))
+    test = test.withColumn("kind", F.concat(F.when(F.col("p_partkey") % 10 == 0, "new ").otherwise(""), "kind"))
     plan = fit_features(train, ["kind"])
     return _with_output_name(plan, plan.apply(test), "p_partkey", "category")
 

@@ -11,7 +11,7 @@ from quillframe.operators.joins import join_tables
 
 _ORDERS = "SELECT o_orderkey, CASE WHEN o_custkey IN (1, 2) THEN NULL ELSE o_custkey END AS cust, o_totalprice FROM orders"
 _CUSTOMERS = (
-    "SELECT CASE WHEN c_custkey = 5 THEN NULL ELSE c_custkey END AS c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0"
+    "SELECT CASE WHEN c_custkey = 5 THEN NULL WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_name, c_acctbal FROM customer"
 )
 _SIDES = f"WITH o AS ({_ORDERS}), c AS ({_CUSTOMERS})"
 
@@ -23,8 +23,8 @@ def _orders(spark, folder):
 
 
 def _customers(spark, folder):
-    return table(spark, folder, "customer").where("c_custkey % 3 <> 0").selectExpr(
-        "CASE WHEN c_custkey = 5 THEN NULL ELSE c_custkey END AS c_custkey", "c_name", "c_acctbal"
+    return table(spark, folder, "customer").selectExpr(
+        "CASE WHEN c_custkey = 5 THEN NULL WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey", "c_name", "c_acctbal"
     )
 
 
@@ -56,13 +56,13 @@ def outer_join(spark, folder):
 
 
 @query(
-    "WITH l AS (SELECT s_suppkey AS key, s_acctbal AS balance FROM supplier WHERE s_suppkey % 2 = 0), "
-    "r AS (SELECT c_custkey AS key, c_acctbal AS balance FROM customer WHERE c_custkey % 3 = 0) "
+    "WITH l AS (SELECT s_suppkey * 2 AS key, s_acctbal AS balance FROM supplier), "
+    "r AS (SELECT c_custkey * 3 AS key, c_acctbal AS balance FROM customer) "
     "SELECT coalesce(l.key, r.key) AS key, l.balance AS balance_left, r.balance AS balance_right FROM l FULL JOIN r ON l.key = r.key"
 )
 def shared_key_and_suffixes(spark, folder):
-    left = table(spark, folder, "supplier").where("s_suppkey % 2 = 0").selectExpr("s_suppkey AS key", "s_acctbal AS balance")
-    right = table(spark, folder, "customer").where("c_custkey % 3 = 0").selectExpr("c_custkey AS key", "c_acctbal AS balance")
+    left = table(spark, folder, "supplier").selectExpr("s_suppkey * 2 AS key", "s_acctbal AS balance")
+    right = table(spark, folder, "customer").selectExpr("c_custkey * 3 AS key", "c_acctbal AS balance")
     return join_tables(left, right, "key", "key", "outer").table
 
 

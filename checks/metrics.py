@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from checks.registry import query, table
@@ -70,44 +71,57 @@ def actual_and_predicted(spark, folder):
     return pairs.withColumn("predicted", F.round("predicted", 6))
 
 
-_POINTS = "SELECT vec_id, vec_id % 3 AS c, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings"
-_CENTRES = f"WITH p AS ({_POINTS}), k AS (SELECT c, avg(x) AS cx, avg(y) AS cy, count(*) AS n FROM p GROUP BY c)"
+_POINTS = "SELECT vec_id, vec_id % 3 AS c, embedding::DOUBLE[] AS e FROM embeddings"
+_CENTRES = (
+    f"WITH p AS ({_POINTS}), u AS (SELECT vec_id, c, unnest(e) AS v, generate_subscripts(e, 1) AS d FROM p), "
+    "k AS (SELECT c, d, avg(v) AS m, count(*) AS n FROM u GROUP BY c, d)"
+)
 
 
 def _points(spark, folder):
-    return table(spark, folder, "embeddings").selectExpr(
-        "vec_id", "vec_id % 3 AS c", "label", "CAST(embedding[0] AS DOUBLE) AS x", "CAST(embedding[1] AS DOUBLE) AS y"
-    )
+    return table(spark, folder, "embeddings").selectExpr("vec_id", "vec_id % 3 AS c", "CAST(embedding AS ARRAY<DOUBLE>) AS e")
 
 
 @query(
-    f"WITH p AS ({_POINTS}), d AS (SELECT a.vec_id AS id, a.c AS own, b.c AS other, sum(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS total, "
+    f"WITH p AS ({_POINTS}), d AS (SELECT a.vec_id AS id, a.c AS own, b.c AS other, sum(list_distance(a.e, b.e)) AS total, "
     "count(*) AS n FROM p a, p b GROUP BY 1, 2, 3), "
     "i AS (SELECT id, total / (n - 1) AS inner_mean FROM d WHERE own = other), o AS (SELECT id, min(total / n) AS outer_mean FROM d WHERE own <> other GROUP BY id) "
     "SELECT round(avg((outer_mean - inner_mean) / greatest(outer_mean, inner_mean)), 5) AS silhouette_score FROM i JOIN o USING (id)"
 )
 def silhouette(spark, folder):
-    return M.silhouette(_points(spark, folder), ["x", "y"], "c").select(F.round("silhouette_score", 5).alias("silhouette_score"))
+    return M.silhouette(_points(spark, folder), "e", "c").select(F.round("silhouette_score", 5).alias("silhouette_score"))
+
+
+@query(
+    f"WITH p AS ({_POINTS}), d AS (SELECT a.vec_id AS id, a.c AS own, b.c AS other, sum(power(list_distance(a.e, b.e), 2)) AS total, "
+    "count(*) AS n FROM p a, p b GROUP BY 1, 2, 3), "
+    "i AS (SELECT id, total / (n - 1) AS inner_mean FROM d WHERE own = other), o AS (SELECT id, min(total / n) AS outer_mean FROM d WHERE own <> other GROUP BY id) "
+    "SELECT round(avg((outer_mean - inner_mean) / greatest(outer_mean, inner_mean)), 5) AS squared_silhouette_score FROM i JOIN o USING (id)"
+)
+def squared_silhouette(spark, folder):
+    points = _points(spark, folder).select("c", array_to_vector("e").alias("features"))
+    return M.squared_silhouette(points, "features", "c").select(F.round("squared_silhouette_score", 5).alias("squared_silhouette_score"))
 
 
 @query(
-    f"{_CENTRES}, g AS (SELECT avg(x) AS gx, avg(y) AS gy, count(*) AS n FROM p), "
-    "b AS (SELECT sum(k.n * ((cx - gx) * (cx - gx) + (cy - gy) * (cy - gy))) AS between_, count(*) AS k FROM k, g), "
-    "w AS (SELECT sum((x - cx) * (x - cx) + (y - cy) * (y - cy)) AS within_ FROM p JOIN k USING (c)) "
-    "SELECT round(between_ * (n - k) / (within_ * (k - 1)), 5) AS calinski_harabasz_score FROM b, w, g"
+    f"{_CENTRES}, g AS (SELECT d, avg(v) AS g FROM u GROUP BY d), "
+    "b AS (SELECT sum(k.n * (m - g) * (m - g)) AS between_, count(DISTINCT c) AS k FROM k JOIN g USING (d)), "
+    "w AS (SELECT sum((v - m) * (v - m)) AS within_, count(DISTINCT vec_id) AS n FROM u JOIN k USING (c, d)) "
+    "SELECT round(between_ * (n - k) / (within_ * (k - 1)), 5) AS calinski_harabasz_score FROM b, w"
 )
 def calinski_harabasz(spark, folder):
-    score = M.calinski_harabasz(_points(spark, folder), ["x", "y"], "c")
+    score = M.calinski_harabasz(_points(spark, folder), "e", "c")
     return score.select(F.round("calinski_harabasz_score", 5).alias("calinski_harabasz_score"))
 
 
 @query(
-    f"{_CENTRES}, s AS (SELECT c, cx, cy, avg(sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy))) AS scatter FROM p JOIN k USING (c) GROUP BY 1, 2, 3), "
-    "r AS (SELECT a.c, max((a.scatter + b.scatter) / sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS worst FROM s a, s b WHERE a.c <> b.c GROUP BY 1) "
-    "SELECT round(avg(worst), 5) AS davies_bouldin_score FROM r"
+    f"{_CENTRES}, far AS (SELECT vec_id, c, sqrt(sum((v - m) * (v - m))) AS away FROM u JOIN k USING (c, d) GROUP BY 1, 2), s AS (SELECT c, avg(away) AS scatter FROM far GROUP BY c), "
+    "r AS (SELECT a.c AS c, b.c AS o, sqrt(sum((a.m - b.m) * (a.m - b.m))) AS apart FROM k a JOIN k b ON a.d = b.d AND a.c <> b.c GROUP BY 1, 2), "
+    "x AS (SELECT r.c, max((s1.scatter + s2.scatter) / apart) AS worst FROM r JOIN s s1 ON s1.c = r.c JOIN s s2 ON s2.c = r.o GROUP BY 1) "
+    "SELECT round(avg(worst), 5) AS davies_bouldin_score FROM x"
 )
 def davies_bouldin(spark, folder):
-    score = M.davies_bouldin(_points(spark, folder), ["x", "y"], "c")
+    score = M.davies_bouldin(_points(spark, folder), "e", "c")
     return score.select(F.round("davies_bouldin_score", 5).alias("davies_bouldin_score"))
 
 
@@ -128,9 +142,9 @@ def adjusted_rand_index(spark, folder):
     return M.adjusted_rand_index(lines, "truth", "c").select(F.round("adjusted_rand_index", 5).alias("adjusted_rand_index"))
 
 
-@query(f"{_CENTRES} SELECT round(sum((x - cx) * (x - cx) + (y - cy) * (y - cy)), 5) AS inertia FROM p JOIN k USING (c)")
+@query(f"{_CENTRES} SELECT round(sum((v - m) * (v - m)), 5) AS inertia FROM u JOIN k USING (c, d)")
 def inertia(spark, folder):
-    return M.inertia(_points(spark, folder), ["x", "y"], "c").select(F.round("inertia", 5).alias("inertia"))
+    return M.inertia(_points(spark, folder), "e", "c").select(F.round("inertia", 5).alias("inertia"))
 
 
 @query("SELECT o_orderkey % 7 AS cluster, count(*) AS size FROM orders GROUP BY 1")

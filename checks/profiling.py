@@ -99,7 +99,7 @@ _DATE_TEXTS = (
 
 
 @query(
-    f"WITH t AS ({_DATE_TEXTS}), s AS (SELECT * FROM t ORDER BY event_id LIMIT 200) "
+    f"WITH s AS ({_DATE_TEXTS}) "
     "SELECT 'moment' AS \"column\", 'seen_time' AS default_column "
     "UNION ALL SELECT 'seen_time', 'seen_time' FROM s HAVING count(try_cast(seen_time AS TIMESTAMP)) >= 0.8 * count(*) "
     "UNION ALL SELECT 'update_kind', 'seen_time' FROM s HAVING count(try_cast(update_kind AS TIMESTAMP)) >= 0.8 * count(*)"
@@ -109,7 +109,7 @@ def date_columns(spark, folder):
     texts = table(spark, folder, "events").selectExpr(
         "event_id", "event_type AS update_kind", "substr(CAST(ts AS STRING), 1, 19) AS seen_time", "ts AS moment"
     )
-    found = P.datetime_columns(texts, ["event_id"])
+    found = P.datetime_columns(texts)
     return spark.createDataFrame([(name, found[0]) for name in found], "column string, default_column string")
 
 
@@ -150,7 +150,7 @@ def target_ranking(spark, folder):
     f"WITH ranked AS ({_RANKING}), two AS (SELECT *, row_number() OVER (ORDER BY score DESC, ordinal) AS place FROM ranked), "
     "top AS (SELECT a.\"column\" AS target, a.score, a.score - b.score AS lead FROM two a, two b WHERE a.place = 1 AND b.place = 2) "
     "SELECT target, score, lead, CASE WHEN score >= 60 OR lead >= 35 THEN 'high' WHEN lead >= 12 THEN 'medium' ELSE 'low' END AS confidence, "
-    "'the name is the usual target word ''class''; it has a workable number of outcomes' AS reason FROM top"
+    "'named class (+98); few outcomes (+16)' AS reason FROM top"
 )
 def chosen_target(spark, folder):
     return P.choose_target(P.rank_targets(_candidates(spark, folder)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.registry import below, draw, query, table
+from checks.registry import DOUBLED, below, doubled_events, draw, query, table
 from quillframe.operators import sampling as S
 
 _RANK = f"row_number() OVER (ORDER BY {draw('o_orderkey')}, o_orderkey)"
@@ -50,6 +50,15 @@ def stratified_split(spark, folder):
     return S.stratified_split(orders, "o_orderpriority", 33, ["o_orderkey"])
 
 
+_KEYLESS = "('0x' || substr(md5(concat_ws(':', event_id::VARCHAR, coalesce(user_id::VARCHAR, ''), coalesce(event_type, ''), '42')), 1, 15))::BIGINT"
+
+
+@query(f"{DOUBLED} SELECT event_id, user_id, event_type, CASE WHEN {_KEYLESS} < {below(70)} THEN 'train' ELSE 'test' END AS split FROM doubled")
+def split_without_key(spark, folder):
+    """The whole row is the key, so copies fall on one side."""
+    return S.random_split(doubled_events(spark, folder).select("event_id", "user_id", "event_type"), 70)
+
+
 @query("SELECT c_custkey, c_mktsegment FROM customer")
 def enough_rows(spark, folder):
     return S.require_rows(table(spark, folder, "customer").select("c_custkey", "c_mktsegment"))

@@ -15,6 +15,24 @@ from quillframe.sources.tables import (
 from quillframe.sources.workspace import Workspace
 
 
+_NOTES = "CASE WHEN event_id % 50 = 0 THEN concat(event_type, chr(10), '\"', CAST(event_id AS VARCHAR(20)), '\"') ELSE event_type END AS note"
+
+
+@query(f"SELECT event_id, {_NOTES} FROM events")
+def csv_with_line_breaks(spark, folder):
+    """Line breaks and quotes inside quoted fields."""
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, folder, "events").selectExpr("event_id", _NOTES), path)
+    return read_csv(spark, path, multiline=True)
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def csv_of_many_files(spark, folder):
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, folder, "events").select("event_id", "event_type", "value").repartition(7, "event_id"), path)
+    return read_csv(spark, path)
+
+
 @query(f"WITH {GAPPED} SELECT * FROM gapped")
 def csv_round_trip(spark, folder):
     """Written as CSV and read back with inferred types; the text of the timestamp is parsed again."""
@@ -94,7 +112,8 @@ def copies_with_lineage(spark, folder):
     second = space.save_copy(space.open_copy(first).where("o_totalprice > 250000"), "large orders", [first], "filtered")
     newest = space.listing().select("id", "name", F.size("source_ids").cast("bigint").alias("sources"), "message")
     sizes = [space.open_copy(i).agg(F.count(F.lit(1)).alias("rows")).withColumn("id", F.lit(i)) for i in (first, second)]
-    placed = newest.withColumn("place", F.when(F.col("name") == "orders", 2).otherwise(1).cast("bigint"))
+    order = [(row["id"], place) for place, row in enumerate(newest.collect(), 1)]  # two copies, in the order of the listing
+    placed = newest.join(spark.createDataFrame(order, "id string, place bigint"), "id")
     return placed.join(sizes[0].union(sizes[1]), "id").select("place", "name", "sources", "message", "rows")
 
 

@@ -1,9 +1,8 @@
-"""Bottom-up clustering of any number of rows, in two levels.
+"""Bottom-up clustering of any number of rows.
 
-Spark reduces the rows to at most 512 weighted groups: the distinct points themselves if there are
-no more than that, else the clusters of a k-means. The groups are then merged pair by pair on the
-driver, whose input is thus bounded, and every row gets the cluster of its group. With distinct points
-as groups the result is exact; with k-means groups it is an approximation on all rows.
+``method="grouped"`` works in two levels at every size: Spark reduces the rows to ``groups`` weighted k-means groups, which
+are merged pair by pair on the driver, and every row gets the cluster of its group. ``method="exact"`` merges the distinct rows
+themselves and refuses tables with more than ``EXACT_ROWS`` of them. The caller chooses; the size of the table does not.
 """
 
 from __future__ import annotations
@@ -20,7 +19,9 @@ from quillframe.errors import TableError
 from quillframe.operators.features import FEATURES
 
 GROUPS = 512
-GROUP_ROUNDS = 5  # the groups only need to be small, not optimal
+GROUP_ROUNDS = 100
+EXACT_ROWS = 4096  # distinct rows whose pairs fit on the driver
+METHODS = ("grouped", "exact")
 LINKAGES = ("ward", "complete", "average", "single")
 
 
@@ -30,18 +31,20 @@ class Agglomerative:
     linkage: str = "ward"
     seed: int = 42
     groups: int = GROUPS
+    method: str = "grouped"
 
     def fit(self, df: DataFrame, output: str = "prediction") -> Callable[[DataFrame], DataFrame]:
         """Group and merge the rows; the result adds the cluster number to any table of such rows."""
         if self.linkage not in LINKAGES:
             raise TableError(f"Unknown linkage '{self.linkage}'; choose one of {', '.join(LINKAGES)}.")
-        point = vector_to_array(FEATURES)
-        estimate = df.agg(F.approx_count_distinct(F.xxhash64(point), 0.02)).first()[0]
-        if estimate <= self.groups * 1.2:
-            copies = df.groupBy(point.alias("_point")).agg(F.count(F.lit(1)).alias("n")).limit(self.groups + 1).collect()
-            if len(copies) <= self.groups:
-                return self._fit_points(df.sparkSession, copies, output)
-        return self._fit_groups(df, output)
+        if self.method not in METHODS:
+            raise TableError(f"Unknown method '{self.method}'; choose one of {', '.join(METHODS)}.")
+        if self.method == "grouped":
+            return self._fit_groups(df, output)
+        copies = df.groupBy(vector_to_array(FEATURES).alias("_point")).agg(F.count(F.lit(1)).alias("n")).limit(EXACT_ROWS + 1).collect()
+        if len(copies) > EXACT_ROWS:
+            raise TableError(f"Exact merging takes at most {EXACT_ROWS} different rows; use method='grouped'.")
+        return self._fit_points(df.sparkSession, copies, output)
 
     def _fit_points(self, spark: SparkSession, copies: list[Row], output: str) -> Callable[[DataFrame], DataFrame]:
         copies = sorted(copies, key=lambda row: row["_point"])
@@ -51,7 +54,7 @@ class Agglomerative:
         )
 
         def label(df: DataFrame) -> DataFrame:
-            # At most `groups` rows, so the table of labels is small.
+            # At most EXACT_ROWS rows, so the table of labels is small.
             return df.join(F.broadcast(labels), vector_to_array(FEATURES) == F.col("_point"), "left").drop("_point")
 
         return label

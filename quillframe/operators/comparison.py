@@ -11,7 +11,7 @@ from quillframe.operators.models import MODELS, STARTER_PAIRS
 # The metrics for which more is better; for all others less is.
 HIGHER_IS_BETTER = (
     "accuracy", "precision", "recall", "f1_score", "training_accuracy", "r2", "training_r2",
-    "silhouette_score", "calinski_harabasz_score", "adjusted_rand_index",
+    "silhouette_score", "squared_silhouette_score", "calinski_harabasz_score", "adjusted_rand_index",
 )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillframe.errors import TableError
@@ -21,9 +21,9 @@ from quillframe.operators.frequency import facts_and_top
 from quillframe.operators.quantiles import exact_quantiles
 
 MAX_CATEGORIES = 50  # fixed value: one-hot outputs per column, the last for rare categories if there are more
-MAX_CLASSES = 10_000
 FEATURES = "features"
 RARE = "(rare)"
+_TEXT, _NUMBER, _NO_LABEL = "_label_text", "_label_number", "\u0000"
 
 
 @dataclass(frozen=True)
@@ -141,17 +141,19 @@ def _fit_categorical(train: DataFrame, names: list[str]) -> tuple[list[CategoryF
 def label_order(df: DataFrame, label: str) -> list[str]:
     """The classes of a label column by text, in alphabetical order: the position is the class number."""
     rows = df.where(quoted(label).isNotNull()).select(quoted(label).cast("string").alias("text")).distinct()
-    texts = [row["text"] for row in rows.limit(MAX_CLASSES + 1).collect()]
-    if len(texts) > MAX_CLASSES:
-        raise TableError(f"The target has more than {MAX_CLASSES} classes, too many for a classifier.")
-    return sorted(texts)
+    return sorted(row["text"] for row in rows.collect())
 
 
 def encode_label(df: DataFrame, label: str, order: Sequence[str], output: str = "label") -> DataFrame:
     """Add the class number of a label as a double; NULL for a class that is not in the order."""
-    place = F.array_position(F.array(*[F.lit(text) for text in order]), quoted(label).cast("string"))
-    return df.withColumn(output, F.when(place > 0, place - 1).cast("double"))
+    if not order:
+        return df.withColumn(output, F.lit(None).cast("double"))
+    held = df.withColumn(_TEXT, F.coalesce(quoted(label).cast("string"), F.lit(_NO_LABEL)))
+    indexer = StringIndexerModel.from_labels([*order], inputCol=_TEXT, outputCol=_NUMBER, handleInvalid="keep")
+    number = F.when(F.col(_NUMBER) < len(order), F.col(_NUMBER))
+    return indexer.transform(held).withColumn(output, number).drop(_TEXT, _NUMBER)
 
 
-def decode_label(number: Column, order: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(text) for text in order]), number.cast("int") + 1)
+def decode_label(df: DataFrame, number: str, order: Sequence[str], output: str) -> DataFrame:
+    """Add the class text of a class number."""
+    return IndexToString(inputCol=number, outputCol=output, labels=[*order]).transform(df)

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillframe.errors import TableError
+from quillframe.functions.sizing import store
 from quillframe.functions.types import data_type, family, quoted
 from quillframe.operators.projection import rename_columns, rename_map
 
@@ -119,8 +120,8 @@ def drop_redundant(
 ) -> JoinResult:
     """Drop right-hand columns that equal their left partner in every row, and a right key that repeats the left.
 
-    Values are compared by their text, missing equal to missing. Every pair is tested in the same
-    aggregation, which reads only the columns of the pairs.
+    Values are compared by their text, missing equal to missing. If there are pairs to test, the join is written once below the
+    checkpoint folder. Every pair is tested in the same aggregation, which reads only the columns of the pairs.
     """
     columns, kept = list(joined.columns), set(keep)
     suffix = suffixes[1]
@@ -132,6 +133,7 @@ def drop_redundant(
         pairs.append((right_key, left_key))
     if not pairs:
         return JoinResult(joined, [])
+    joined = store(joined)  # the verdict and the result read the one join
     verdicts = joined.agg(
         *[F.coalesce(F.bool_and(_same(joined, c, p)), F.lit(True)).alias(f"p{i}") for i, (c, p) in enumerate(pairs)]
     ).first()

@@ -1,8 +1,8 @@
 """Evaluation metrics as aggregations over predictions, whatever produced them.
 
 Classification metrics start from the confusion counts, which are pre-aggregated in each task, so a
-dominant class is one counter. Clustering scores that compare rows with one another are taken on the
-bounded sample of :data:`SCORE_ROWS` rows; cluster sizes, inertia and the Rand index use every row.
+dominant class is one counter. Clustering scores use every row in a few aggregations, but for the Euclidean
+silhouette, which compares all pairs of rows and therefore takes no more than :data:`SCORE_ROWS` of them.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,7 +22,8 @@ from quillframe.functions.types import quoted
 
 SCORE_ROWS = 10_000  # fixed value: most rows for scores that compare rows with one another
 SAMPLE_PAIRS = 80  # fixed value: actual-against-predicted pairs kept for a chart
-MAX_LABELS = 10_000
+MAX_LABELS = 10_000  # of a matrix that lists all pairs
+MAX_CLUSTERS = 10_000  # that are compared in pairs
 DIGITS = 5  # fixed value: decimal places of reported metrics
 SAMPLE_BYTES = 512 << 20
 
@@ -222,7 +224,7 @@ def calinski_harabasz(df: DataFrame, features: Sequence[str] | str, label: str)
 def davies_bouldin(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFrame:
     """One row: ``davies_bouldin_score``; NULL unless there are two clusters and fewer than rows.
 
-    Give it a bounded sample: every cluster is compared with every other, so their number must be bounded.
+    Rows are only compared with the centre of their cluster, so the table can be of any size; clusters are compared in pairs.
     """
     points = _points(df, features, label)
     clusters = _cluster_moments(points)
@@ -233,7 +235,7 @@ def davies_bouldin(df: DataFrame, features: Sequence[str] | str, label: str) ->
         .agg(F.avg(_distance(F.col("x"), F.col("centre"))).alias("scatter"), F.count(F.lit(1)).alias("n"), F.first("centre").alias("centre"))
     )
     entry = F.struct("label", "scatter", "centre")
-    others = _all_of(scatter, entry, SCORE_ROWS, "The Davies-Bouldin score compares all pairs of clusters; there are too many.")
+    others = _all_of(scatter, entry, MAX_CLUSTERS, "The Davies-Bouldin score compares all pairs of clusters; there are too many.")
 
     def likeness(other: Column) -> Column:
         apart = _distance(F.col("centre"), other["centre"])
@@ -256,15 +258,16 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, label: str) -> Data
     """
     points = _points(df, features, label)
     spark = df.sparkSession
+    size = points.limit(SCORE_ROWS + 1).agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("x")).alias("width")).first()
+    if size["rows"] > SCORE_ROWS:
+        raise TableError(f"A silhouette compares all pairs of rows; sample the table to {SCORE_ROWS} rows first, or use squared_silhouette.")
+    if size["rows"] * (size["width"] or 0) * 8 > SAMPLE_BYTES:
+        raise TableError("The rows are too wide for a silhouette; use fewer features, or squared_silhouette.")
     sample = points.select(F.col("label").cast("string").alias("label"), "x").limit(SCORE_ROWS + 1).toPandas()
-    if len(sample) > SCORE_ROWS:
-        raise TableError(f"A silhouette compares all pairs of rows; sample the table to {SCORE_ROWS} rows first.")
     groups, names = pd.factorize(sample["label"])
     if not 1 < len(names) < len(sample):
         return spark.range(1).select(F.lit(None).cast("double").alias("silhouette_score"))
     matrix = np.stack(sample["x"].to_numpy()).astype("float64")
-    if matrix.nbytes > SAMPLE_BYTES:
-        raise TableError("The rows are too wide for a silhouette; use fewer features.")
     shared = spark.sparkContext.broadcast((matrix, groups))
     sizes = np.bincount(groups)
 
@@ -300,6 +303,20 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, label: str) -> Data
     return parts.agg((F.sum("total") / F.sum("n")).alias("silhouette_score"))
 
 
+def squared_silhouette(df: DataFrame, features: str, label: str) -> DataFrame:
+    """One row: ``squared_silhouette_score``, the mean silhouette by squared distances of all rows; NULL unless there are two clusters and fewer than rows.
+
+    Squared distances to all rows of a cluster follow from its moments, so the work is linear in the rows.
+    """
+    spark = df.sparkSession
+    usable = cluster_count(df, label).first()["scorable"]
+    score = None
+    if usable:
+        held = df.select(quoted(features).alias("features"), quoted(label).cast("double").alias("prediction"))
+        score = float(ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(held))
+    return spark.range(1).select(F.lit(score).cast("double").alias("squared_silhouette_score"))
+
+
 def _points(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFrame:
     """``label, x`` with the features as one array of doubles."""
     if isinstance(features, str):

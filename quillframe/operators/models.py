@@ -8,15 +8,16 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from quillframe.errors import TableError
-from quillframe.operators.agglomerative import Agglomerative
+from quillframe.operators.agglomerative import GROUPS, Agglomerative
 from quillframe.operators.features import FEATURES
 
 LABEL = "label"
@@ -25,6 +26,8 @@ WEIGHT = "_weight"
 MAX_BINS = 256
 NODE_MEMORY = 512  # megabytes of split statistics per pass over the rows; more saves passes on wide levels
 MAX_DEPTH = 30  # the deepest tree that Spark trains
+GRAM_BYTES = 128 << 20  # of the matrix of features by features that the driver solves for
+TOGETHER = 16  # such matrices added up in one task
 
 
 @dataclass(frozen=True)
@@ -54,7 +57,7 @@ MODELS: dict[str, ModelSpec] = {
         "n_clusters": 3, "init": "k-means++", "n_init": 10, "max_iter": 300, "tol": 0.0001,
     }),
     "agglomerative_clustering": ModelSpec("Agglomerative Clustering", "clustering", {
-        "n_clusters": 3, "linkage": "ward",
+        "n_clusters": 3, "linkage": "ward", "method": "grouped", "groups": GROUPS,
     }),
 }
 
@@ -141,7 +144,7 @@ def fit_custom(model: CustomModel, params: Mapping[str, Any] | None, train: Data
 def _depth(params: dict[str, Any]) -> int:
     depth = params["max_depth"]
     if depth is None:
-        return MAX_DEPTH
+        raise TableError(f"A tree without a limit is not available; max_depth must lie between 1 and {MAX_DEPTH}.")
     if not 1 <= int(depth) <= MAX_DEPTH:
         raise TableError(f"max_depth must lie between 1 and {MAX_DEPTH}.")
     return int(depth)
@@ -208,30 +211,37 @@ def _fit_linear(params, train: DataFrame, rows: int, seed: int) -> Fitted:
 def _fit_nonnegative(train: DataFrame, intercept: bool) -> Fitted:
     """Least squares with coefficients of at least 0.
 
-    Each task sums the outer products of its rows; Spark adds the sums up entry by entry. Only the matrix of
-    features by features reaches the driver, which solves for it.
+    Rows are centred first. Each task sums the outer products of its rows, and these sums are added up a few at a time; the one
+    matrix of features by features reaches the driver, which solves for it. It must fit there, so wider tables are refused.
     """
+    width = train.select(F.size(vector_to_array(FEATURES))).first()[0]
+    if (width + 1) ** 2 * 8 > GRAM_BYTES:
+        raise TableError(f"positive=True works on at most {int((GRAM_BYTES / 8) ** 0.5) - 1} features; here are {width}.")
+    means = train.agg(Summarizer.mean(F.col(FEATURES)).alias("x"), F.avg(LABEL).alias("y")).first()
+    centre, level = means["x"].toArray(), float(means["y"])
+    away, above = (centre, level) if intercept else (np.zeros(width), 0.0)
     rows = train.select(vector_to_array(FEATURES).alias("x"), F.col(LABEL).cast("double").alias("y"))
 
     def outer_products(batches):
-        total = None
+        total = np.zeros((width + 1, width + 1))
         for batch in batches:
             if len(batch):
-                block = np.column_stack([np.stack(batch["x"].to_numpy()), batch["y"].to_numpy(), np.ones(len(batch))])
-                product = block.T @ block
-                total = product if total is None else total + product
-        if total is not None:
-            yield pd.DataFrame({"place": np.arange(total.size), "value": total.ravel()})
-
-    sums = rows.mapInPandas(outer_products, "place bigint, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    entries = np.array([row["value"] for row in sums.orderBy("place").collect()])
-    width = int(round(np.sqrt(entries.size)))
-    moments = entries.reshape(width, width)
-    d, n = width - 2, moments[-1, -1]
-    gram, target = moments[:d, :d], moments[:d, d]
-    centre, level = moments[:d, -1] / n, moments[d, -1] / n
-    if intercept:
-        gram, target = gram - n * np.outer(centre, centre), target - n * centre * level
+                block = np.column_stack([np.stack(batch["x"].to_numpy()) - away, batch["y"].to_numpy() - above])
+                total += block.T @ block
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "sums": [total.tobytes()]})
+
+    def added(group):
+        total = sum(np.frombuffer(sums) for sums in group.sort_values("part")["sums"])
+        return pd.DataFrame({"part": [int(group["part"].min()) // TOGETHER], "sums": [total.tobytes()]})
+
+    kind = "part bigint, sums binary"
+    parts = rows.mapInPandas(outer_products, kind)
+    tasks = rows.rdd.getNumPartitions()
+    while tasks > TOGETHER:
+        parts = parts.groupBy(F.floor(F.col("part") / TOGETHER)).applyInPandas(added, kind)
+        tasks = -(-tasks // TOGETHER)
+    moments = sum(np.frombuffer(row["sums"]) for row in parts.orderBy("part").collect()).reshape(width + 1, width + 1)
+    gram, target = moments[:width, :width], moments[:width, width]
     weights = _nonnegative_solution(gram, target)
     offset = float(level - centre @ weights) if intercept else 0.0
     table = F.array(*[F.lit(float(v)) for v in weights])
@@ -288,22 +298,25 @@ def _fit_kmeans(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     _refuse(params, "init", ("k-means++", "random"))
     starts = 1 if params["n_init"] == "auto" else int(params["n_init"])
     clusters = _check_clusters(params, rows)
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = train.select(FEATURES).persist(StorageLevel.MEMORY_AND_DISK)  # all starts read the one cached form
     best = None
-    for start in range(max(1, starts)):
-        model = KMeans(
-            featuresCol=FEATURES, predictionCol=PREDICTION, k=clusters, seed=seed + start,
-            maxIter=int(params["max_iter"]), tol=float(params["tol"]),
-            initMode="random" if params["init"] == "random" else "k-means||",
-        ).fit(kept.select(FEATURES))
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    kept.unpersist()
+    try:
+        for start in range(max(1, starts)):
+            model = KMeans(
+                featuresCol=FEATURES, predictionCol=PREDICTION, k=clusters, seed=seed + start,
+                maxIter=int(params["max_iter"]), tol=float(params["tol"]),
+                initMode="random" if params["init"] == "random" else "k-means||",
+            ).fit(kept)
+            if best is None or model.summary.trainingCost < best.summary.trainingCost:
+                best = model
+    finally:
+        kept.unpersist()
     return Fitted(best.transform, float(best.summary.trainingCost))
 
 
 def _fit_agglomerative(params, train: DataFrame, rows: int, seed: int) -> Fitted:
-    return Fitted(Agglomerative(_check_clusters(params, rows), params["linkage"], seed).fit(train, PREDICTION))
+    clusters = Agglomerative(_check_clusters(params, rows), params["linkage"], seed, int(params["groups"]), params["method"])
+    return Fitted(clusters.fit(train, PREDICTION))
 
 
 _FITTERS = {

@@ -1,15 +1,14 @@
 """Repeatable samples and train/test splits by row hash.
 
 Every row has a hash of its key and the seed. A draw of exactly ``n`` rows is the ``n`` rows with the
-smallest hash. To find that cut without sorting the table, rows are counted by the leading hash digits
-(256 to a million counters, counted inside each task first); only the rows of the one bucket
-that holds the cut are ranked. The draw itself is then a filter. A class that holds a third of the
+smallest hash. To find that cut without sorting the table, rows are counted by four hash digits at a time, inside each
+task first, until the bucket that holds the cut is small; only its rows are ranked. The draw itself is then a filter. A class that holds a third of the
 table is spread over the buckets like any other rows.
 
 Rows that share a key share their hash and fall on the same side of a split, so splits have the exact
-size if the key is unique. By default the key is the whole row; for tables with copies, add a key with
-:func:`with_unique_key`. Copies are counted, never listed, so a row with any number of copies is one row
-of the search for the cut. A sample always has its exact size.
+size if the key is unique. By default the key is the whole row. Copies are counted, never listed, so a row with any
+number of copies is one row of the search for the cut. A sample always has its exact size; of rows that share a key it
+takes those with the smallest digest of the whole row.
 """
 
 from __future__ import annotations
@@ -20,8 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.errors import TableError
-from quillframe.functions.hashing import seeded_hash, share_of_hashes
-from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle, store
+from quillframe.functions.hashing import row_digest, seeded_hash, share_of_hashes
+from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle
 from quillframe.functions.types import quoted
 from quillframe.operators.projection import rows_with_target
 
@@ -34,7 +33,10 @@ BUDGET_ALIASES = {"sample": "economy", "chunked": "balanced"}
 
 _HASH = "_draw_hash"
 _BUCKET = "_draw_bucket"
+_DIGEST = "_draw_digest"
 _BUCKET_ROWS = 4096
+_RANKED_ROWS = 65_536  # rows of the bucket that is ranked in one task, unless whole hashes agree
+_STEP = 4  # hash digits looked at together: 65,536 counters at most
 
 
 def budget_limit(mode: str) -> int | None:
@@ -72,12 +74,15 @@ def hash_sample(df: DataFrame, n: int, key: Sequence[str] = (), seed: int = 42)
         return df
     ties = _tie_keys(df, key)
     hashed = _hashed(df, key, seed)
+    if key:
+        ties, hashed = [*ties, _DIGEST], hashed.withColumn(_DIGEST, row_digest(df))
     cut = _cut(hashed, n, total, ties)
     if not cut.surplus:
-        return hashed.where(cut.reached(hashed)).drop(_HASH)
-    # The last key taken occurs more often than it is needed.
+        return hashed.where(cut.reached(hashed)).drop(_HASH, _DIGEST)
+    # The last row taken has more copies than are needed: one of them is repeated.
     below = hashed.where(cut.reached(hashed) & ~cut.at(hashed))
-    return below.union(hashed.where(cut.at(hashed)).limit(cut.needed)).drop(_HASH)
+    copies = hashed.where(cut.at(hashed)).limit(1).withColumn(_BUCKET, F.explode(F.sequence(F.lit(1), F.lit(cut.needed)))).drop(_BUCKET)
+    return below.union(copies).drop(_HASH, _DIGEST)
 
 
 def require_rows(df: DataFrame, least: int = MIN_ROWS) -> DataFrame:
@@ -168,14 +173,6 @@ def split_parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(SPLIT) == "train").drop(SPLIT), df.where(F.col(SPLIT) == "test").drop(SPLIT)
 
 
-def with_unique_key(df: DataFrame, name: str = "_row_key") -> DataFrame:
-    """Add running numbers that tell all rows apart, and write the table below the checkpoint folder, which fixes them.
-
-    For a table just read from Parquet, :func:`quillframe.sources.tables.with_row_key` does the same without writing.
-    """
-    return store(df.withColumn(name, F.monotonically_increasing_id()))
-
-
 @dataclass(frozen=True)
 class _Cut:
     """The hash and key of the last row taken, how many of its copies are needed and how many too many there are."""
@@ -224,12 +221,14 @@ def _bucket(rows: int) -> Column:
 
 
 def _cut(hashed: DataFrame, take: int, total: int, ties: Sequence[str]) -> _Cut:
-    bucket = _bucket(total)
-    counts = hashed.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n"))
-    running = counts.withColumn("upto", F.sum("n").over(Window.orderBy(_BUCKET)))
-    at = running.where(F.col("upto") >= take).orderBy(_BUCKET).first()
-    owed = take - (at["upto"] - at["n"])
-    candidates = hashed.where(bucket == at[_BUCKET]).groupBy(_order(hashed, ties).alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    found, inside, owed = "", total, take
+    while inside > _RANKED_ROWS and len(found) < 32:
+        bucket = F.substring(F.col(_HASH), 1, len(found) + _STEP)
+        counts = hashed.where(F.col(_HASH).startswith(found)).groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n"))
+        running = counts.withColumn("upto", F.sum("n").over(Window.orderBy(_BUCKET)))
+        at = running.where(F.col("upto") >= owed).orderBy(_BUCKET).first()
+        found, inside, owed = at[_BUCKET], at["n"], owed - (at["upto"] - at["n"])
+    candidates = hashed.where(F.col(_HASH).startswith(found)).groupBy(_order(hashed, ties).alias("row")).agg(F.count(F.lit(1)).alias("n"))
     ranked = candidates.withColumn("upto", F.sum("n").over(Window.orderBy("row")))
     last = ranked.where(F.col("upto") >= owed).orderBy("upto").first()
     surplus = last["upto"] - owed

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillframe.errors import TableError
 from quillframe.functions.missing import fold_nan
-from quillframe.functions.sizing import settle
+from quillframe.functions.hashing import row_digest
+from quillframe.functions.sizing import settle, store
 from quillframe.functions.types import as_number, quoted, refuse_nested
 from quillframe.operators import metrics as M
 from quillframe.operators.comparison import pivot_metrics
@@ -24,8 +25,8 @@ from quillframe.operators.models import (
 )
 from quillframe.operators.projection import rows_with_any_feature, rows_with_target
 from quillframe.operators.sampling import (
-    BUDGET_ALIASES, can_stratify, class_sizes, hash_sample, random_split, require_rows, split_parts, stratified_split,
-    with_unique_key, within_budget,
+    BUDGET_ALIASES, SPLIT, ClassSizes, can_stratify, class_sizes, random_split, require_rows, split_parts, stratified_split,
+    within_budget,
 )
 from quillframe.plans.profile import detect_task
 
@@ -59,12 +60,14 @@ class ModelResult:
     task: str
     params: dict[str, Any]
     metrics: dict[str, float]
-    chart: list[dict[str, Any]]
+    chart: DataFrame
     training_seconds: float
     rows_used: int
     train_rows: int | None = None
     test_rows: int | None = None
 
+    # ``chart`` has the confusion counts that occur, some actual and predicted values, or the cluster sizes.
+
 
 @dataclass(frozen=True)
 class Comparison:
@@ -86,12 +89,27 @@ class Comparison:
 
     def metrics(self) -> DataFrame:
         """``model, metric, value``."""
-        rows = [(m.name, metric, value) for m in self.models for metric, value in m.metrics.items()]
+        rows = [(name, metric, value) for m, name in zip(self.models, self.names()) for metric, value in m.metrics.items()]
         return self.spark.createDataFrame(rows, "model string, metric string, value double")
 
     def side_by_side(self) -> DataFrame:
         """One row per metric, one column per model."""
-        return pivot_metrics(self.metrics(), list(dict.fromkeys(m.name for m in self.models)))
+        return pivot_metrics(self.metrics(), self.names())
+
+    def names(self) -> list[str]:
+        """The names of the models, numbered from the second on if several share one."""
+        return distinct_names([m.name for m in self.models])
+
+
+def distinct_names(names: Sequence[str]) -> list[str]:
+    found: list[str] = []
+    for name in names:
+        number, unused = 1, name
+        while unused in found:
+            number += 1
+            unused = f"{name} ({number})"
+        found.append(unused)
+    return found
 
 
 def compatible(model_id: str, task: str) -> bool:
@@ -137,10 +155,10 @@ def compare_models(
 ) -> Comparison:
     """Train and score the requested models.
 
-    ``key`` names columns that identify a row; splits and samples are drawn from it. Without one, the columns
-    in use are written once with a key of their own (:func:`quillframe.operators.sampling.with_unique_key`). The task is that of
-    the whole table unless given. Prepared rows are cached while the models train, since training reads
-    them many times; everything they depend on is repeatable, so a lost executor only costs time.
+    ``key`` names columns that identify a row; splits and samples are drawn from it. Without one, the digest of the columns in
+    use is the key: the same rows are split alike however they are stored, and copies fall on one side. The task is that of
+    the whole table unless given. The split rows are written once and the prepared rows are cached while the models train, since
+    training reads them many times; everything they depend on is repeatable, so a lost executor only costs time.
     """
     started = time.perf_counter()
     wanted = [request if isinstance(request, ModelRequest) else ModelRequest(request) for request in requests]
@@ -160,7 +178,7 @@ def compare_models(
         raise TableError("No feature column is left beside the target.")
     rows = df.select(*[quoted(c) for c in dict.fromkeys([*key, *features, target])])
     if not key:
-        rows, key = with_unique_key(rows, ROW_KEY), [ROW_KEY]
+        rows, key = rows.withColumn(ROW_KEY, F.hex(row_digest(rows))), [ROW_KEY]
     sampled = within_budget(rows, mode, key, seed)
     processed = available
     if sampled is not rows:
@@ -215,11 +233,13 @@ def _run_supervised(
         split = stratified_split(used, target, train_pct, key, seed, sizes)
     else:
         split = random_split(used, train_pct, key, seed, exact=True)
-    train, test = split_parts(split)
+    slim = dict.fromkeys([*key, *features, target])
+    train, test = split_parts(store(split.select(*[quoted(c) for c in slim], SPLIT)))
     plan = fit_features(train, features)
     train_ready = _prepared(plan, train, target, task, key, training=True)
     test_ready = _prepared(plan, test, target, task, key, training=False)
-    order = label_order(train_ready, "actual") if task == "classification" else []
+    # Every class that can be stratified has training rows, and their names are counted already.
+    order = [] if sizes is None else _classes(sizes) if can_stratify(sizes) else label_order(train_ready, "actual")
     if task == "classification":
         train_ready = encode_label(train_ready, "actual", order, LABEL)
     train_ready.persist(StorageLevel.MEMORY_AND_DISK)
@@ -231,8 +251,8 @@ def _run_supervised(
         results = []
         for request in requests:
             fitted, params, seconds = _fit(request, train_ready, train_rows, seed)
-            scored, fit_side = (_with_answers(fitted.predict(part), task, order) for part in (test_ready, train_ready))
-            metrics, chart = _supervised_figures(scored, fit_side, task, isinstance(request.model, str))
+            sides = [_with_answers(fitted.predict(part), task, order).withColumn(SPLIT, F.lit(side)) for side, part in (("test", test_ready), ("train", train_ready))]
+            metrics, chart = _supervised_figures(sides[0], sides[1], task, isinstance(request.model, str))
             results.append(
                 ModelResult(
                     request.id, request.name, task, params, metrics, chart, seconds,
@@ -254,27 +274,37 @@ def _prepared(plan: FeaturePlan, part: DataFrame, target: str, task: str, key: l
     return ready if task == "classification" else ready.withColumn(LABEL, F.col("actual"))
 
 
+def _classes(sizes: ClassSizes) -> list[str]:
+    return sorted(row[0] for row in sizes.table.select(F.col("_class").cast("string")).distinct().collect())
+
+
 def _with_answers(predicted: DataFrame, task: str, order: list[str]) -> DataFrame:
-    answer = decode_label(F.col(PREDICTION), order) if task == "classification" else F.col(PREDICTION)
-    return predicted.select("actual", answer.alias("predicted"), _ID)
+    named = decode_label(predicted, PREDICTION, order, "_answer") if task == "classification" else predicted.withColumn("_answer", F.col(PREDICTION))
+    return named.select("actual", F.col("_answer").alias("predicted"), _ID)
 
 
 def _supervised_figures(
     scored: DataFrame, fit_side: DataFrame, task: str, built_in: bool
-) -> tuple[dict[str, float], list[dict[str, Any]]]:
-    """Test metrics, the same figure on the training rows for built-in models, and the chart's rows."""
+) -> tuple[dict[str, float], DataFrame]:
+    """Test metrics, the same figure on the training rows for built-in models, and the chart."""
     if task == "classification":
-        counts = settle(M.confusion_counts(scored, "actual", "predicted"))
+        # One aggregation over the rows of both sides; the figures come from its counts.
+        rows = scored.union(fit_side) if built_in else scored
+        pair = [F.col(name).cast("string").alias(name) for name in ("actual", "predicted")]
+        counted = settle(rows.groupBy(SPLIT, *pair).agg(F.count(F.lit(1)).alias("n")))
+        counts = counted.where(F.col(SPLIT) == "test").drop(SPLIT)
         tables = [M.scores_of(counts)]
         if built_in:
-            tables.append(M.accuracy(fit_side, "actual", "predicted").withColumnRenamed("accuracy", "training_accuracy"))
-        chart = M.matrix_of(counts).orderBy("actual", "predicted")
+            hits = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
+            fit_counts = counted.where(F.col(SPLIT) == "train")
+            tables.append(fit_counts.agg(F.try_divide(hits.cast("double"), F.sum("n")).alias("training_accuracy")))
+        chart = counts
     else:
         tables = [M.regression_metrics(scored, "actual", "predicted")]
         if built_in:
             tables.append(M.r2(fit_side, "actual", "predicted").withColumnRenamed("r2", "training_r2"))
-        chart = M.actual_predicted_sample(scored, "actual", "predicted", [_ID]).select("actual", "predicted")
-    return _figures(*tables), [row.asDict() for row in chart.collect()]
+        chart = settle(M.actual_predicted_sample(scored, "actual", "predicted", [_ID]).select("actual", "predicted"))
+    return _figures(*tables), chart
 
 
 def _run_clustering(
@@ -295,9 +325,8 @@ def _run_clustering(
             fitted, params, seconds = _fit(request, ready, rows, seed)
             labelled = fitted.predict(ready).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                metrics = _clustering_figures(labelled, key, target, fitted, custom, seed)
-                sizes = M.cluster_sizes(labelled, PREDICTION).orderBy("cluster")
-                chart = [row.asDict() for row in sizes.collect()]
+                metrics = _clustering_figures(labelled, target, fitted, custom)
+                chart = settle(M.cluster_sizes(labelled, PREDICTION))
             finally:
                 labelled.unpersist()
             results.append(ModelResult(request.id, request.name, task, params, metrics, chart, seconds, rows))
@@ -308,18 +337,16 @@ def _run_clustering(
 
 
 def _clustering_figures(
-    labelled: DataFrame, key: Sequence[str], target: str, fitted: Fitted, custom: bool, seed: int
+    labelled: DataFrame, target: str, fitted: Fitted, custom: bool
 ) -> dict[str, float]:
-    """Scores that compare rows come from a sample of at most 10,000 rows; the rest from all of them."""
+    """All scores are taken on all rows."""
     figures: dict[str, float] = {}
     sizes = M.cluster_count(labelled, PREDICTION).first()
     if custom:
         figures["clusters"] = float(sizes["clusters"])
     if sizes["scorable"]:
-        slim = labelled.select(*[quoted(k) for k in key], FEATURES, PREDICTION)
-        sample = settle(hash_sample(slim, M.SCORE_ROWS, list(key), seed).select(FEATURES, PREDICTION))
-        scores = [M.silhouette] if custom else [M.silhouette, M.calinski_harabasz, M.davies_bouldin]
-        figures.update(_figures(*[score(sample, FEATURES, PREDICTION) for score in scores]))
+        scores = [M.squared_silhouette] if custom else [M.squared_silhouette, M.calinski_harabasz, M.davies_bouldin]
+        figures.update(_figures(*[score(labelled, FEATURES, PREDICTION) for score in scores]))
     if not custom:
         kinds = labelled.agg(F.min(quoted(target)), F.max(quoted(target))).first()
         if kinds[0] is not None and kinds[0] != kinds[1]:

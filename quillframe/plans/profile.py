@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -39,8 +38,7 @@ OUTCOMES_AT_LEAST, GAPS_BELOW, GAPS_ABOVE, UNIQUE_ABOVE = 20, 0.05, 0.4, 0.95
 HIGH_SCORE, HIGH_LEAD, MEDIUM_LEAD = 60, 35, 12
 # Limits of task detection.
 CLASSES_AT_LEAST, CLASSES_AT_MOST, CLASS_SHARE = 12, 50, 0.2
-# Date detection looks at this many values, of which this share must parse.
-DATE_SAMPLE, DATE_SHARE = 200, 0.8
+DATE_SHARE = 0.8  # fixed value: of the values of a column of dates this share must parse
 # Entries kept.
 TOP_VALUES, TOP_TARGETS, TOP_REASONS = 3, 8, 3
 
@@ -78,38 +76,31 @@ def top_texts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def datetime_columns(df: DataFrame, order_by: Sequence[str] = (), formats: Sequence[str] = DATE_FORMATS) -> list[str]:
-    """Columns that hold dates: by type, or by name if most of their first values parse.
+def datetime_columns(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> list[str]:
+    """Columns that hold dates: by type, or by name if most of their values parse.
 
-    Whole numbers under a date-like name count as dates. Only the first :data:`DATE_SAMPLE` values of the
-    text columns with such a name are read, in the given order if there is one.
+    Whole numbers under a date-like name count as dates. All values of the columns with such a name are looked at, in
+    one aggregation.
     """
     found = {f.name for f in df.schema.fields if is_moment(f.dataType)}
-    named = [n for n in df.columns if n not in found and any(word in plain_name(n) for word in DATE_WORDS)]
-    for name in named:
-        kind = data_type(df, name)
-        present = df.where(quoted(name).isNotNull())
-        if order_by:
-            present = present.orderBy(*[quoted(k) for k in order_by])
-        first = present.select(quoted(name).alias("v")).limit(DATE_SAMPLE)
-        if isinstance(kind, T.BooleanType):
-            continue
-        parsed = to_datetime(F.col("v"), kind, formats) if isinstance(kind, T.StringType) else F.col("v")
-        seen = first.agg(F.count("v").alias("n"), F.count(parsed).alias("ok")).first()
-        if seen["n"] and seen["ok"] / seen["n"] >= DATE_SHARE:
-            found.add(name)
+    kinds = {n: data_type(df, n) for n in df.columns if n not in found and any(word in plain_name(n) for word in DATE_WORDS)}
+    named = [n for n, kind in kinds.items() if not isinstance(kind, T.BooleanType)]
+    if named:
+        parsed = [to_datetime(quoted(n), kinds[n], formats) if isinstance(kinds[n], T.StringType) else quoted(n) for n in named]
+        seen = df.agg(*[F.try_divide(F.count(p), F.count(quoted(n))).alias(f"s{i}") for i, (n, p) in enumerate(zip(named, parsed))]).first()
+        found |= {n for n, share in zip(named, seen) if share is not None and share >= DATE_SHARE}
     return [n for n in df.columns if n in found]
 
 
 def _name_points(name: str) -> tuple[int, str | None]:
-    """Points for a target word in the name. The first word of the list that occurs decides, whole or in part."""
+    """Points for a target word in the name, and the word. The first of the list that occurs decides, whole or in part."""
     plain = plain_name(name)
-    for place, word in enumerate(TARGET_WORDS):
-        if word in plain:
-            if plain == word:
-                return WHOLE_NAME - place, f"the name is the usual target word '{word}'"
-            return PART_OF_NAME - min(place, PART_OF_NAME_LOSS), f"the name contains the usual target word '{word}'"
-    return 0, None
+    word = next((w for w in TARGET_WORDS if w in plain), None)
+    if word is None:
+        return 0, None
+    place = TARGET_WORDS.index(word)
+    points = WHOLE_NAME - place if plain == word else PART_OF_NAME - min(place, PART_OF_NAME_LOSS)
+    return points, f"named {word}"
 
 
 def _is_identifier(name: str) -> bool:
@@ -130,21 +121,16 @@ def rank_targets(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     rows = F.greatest(F.col("rows"), F.lit(1))
     distinct, gaps = F.col("distinct"), F.col("missing") / rows
     few = F.greatest(F.lit(OUTCOMES_AT_LEAST), F.floor(F.sqrt(rows)))
-    tests = [
-        (F.col("is_last"), LAST_COLUMN, "it is the last column"),
-        (distinct.between(F.lit(2), few), FEW_OUTCOMES, "it has a workable number of outcomes"),
-        (gaps < GAPS_BELOW, FEW_GAPS, None),
-        (gaps > GAPS_ABOVE, MANY_GAPS, "much of it is missing"),
-        (distinct <= 1, CONSTANT, "it does not vary"),
-        (distinct / rows > UNIQUE_ABOVE, NEARLY_UNIQUE, "nearly every value is different"),
-        (F.col("is_id"), IDENTIFIER, "it looks like an identifier"),
-    ]
-    score = F.col("name_points")
-    reasons = [F.col("name_reason")]
-    for holds, points, reason in tests:
+    rules_of_facts = {
+        "last column": (F.col("is_last"), LAST_COLUMN), "few outcomes": (distinct.between(F.lit(2), few), FEW_OUTCOMES),
+        "few gaps": (gaps < GAPS_BELOW, FEW_GAPS), "many gaps": (gaps > GAPS_ABOVE, MANY_GAPS), "constant": (distinct <= 1, CONSTANT),
+        "nearly unique": (distinct / rows > UNIQUE_ABOVE, NEARLY_UNIQUE), "identifier": (F.col("is_id"), IDENTIFIER),
+    }
+    # A reason is the name of the rule and what it counts.
+    score, reasons = F.col("name_points"), [F.concat(F.col("name_reason"), F.format_string(" (%+d)", "name_points"))]
+    for rule, (holds, points) in rules_of_facts.items():
         score = score + F.when(holds, points).otherwise(0)
-        if reason:
-            reasons.append(F.when(holds, F.lit(reason)))
+        reasons.append(F.when(holds, F.lit(f"{rule} ({points:+d})")))
     return facts.join(F.broadcast(rules), "column").select(  # one row per column name
         "column", "ordinal", F.round(score.cast("double"), 2).alias("score"), F.array_compact(F.array(*reasons)).alias("reasons")
     )
@@ -171,7 +157,7 @@ def choose_target(ranked: DataFrame) -> DataFrame:
         score.alias("score"),
         lead.alias("lead"),
         confidence.alias("confidence"),
-        F.when(reason == "", "it is the strongest candidate").otherwise(reason).alias("reason"),
+        F.when(reason == "", "no rule holds").otherwise(reason).alias("reason"),
     )
 
 
@@ -181,23 +167,15 @@ def detect_task(df: DataFrame, target: str) -> DataFrame:
         raise TableError(f"There is no column '{target}'.")
     values = df.where(quoted(target).isNotNull()).groupBy(quoted(target)).agg(F.count(F.lit(1)).alias("n"))
     counted = values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("present"), F.count(F.lit(1)).alias("distinct"))
-    present, distinct = F.greatest(F.col("present"), F.lit(1)), F.col("distinct")
-    most = F.greatest(F.lit(CLASSES_AT_LEAST), F.least(F.lit(CLASSES_AT_MOST), F.floor(F.sqrt(present))))
-    classes = F.lit(True)
-    if is_number(data_type(df, target)):
-        classes = (distinct <= most) & (distinct / present <= CLASS_SHARE)
-    task = F.when(distinct < 2, "unknown").when(classes, "classification").otherwise("regression")
+    task = _task(F.lit(is_number(data_type(df, target))), F.col("present"), F.col("distinct"))
     return counted.select(F.lit(target).alias("target"), "present", "distinct", task.alias("task"))
 
 
-def task_of(numeric: bool, present: int, distinct: int) -> str:
-    """The rule of :func:`detect_task` for figures that are known already."""
-    if distinct < 2:
-        return "unknown"
-    if not numeric:
-        return "classification"
-    most = max(CLASSES_AT_LEAST, min(CLASSES_AT_MOST, math.isqrt(max(1, present))))
-    return "classification" if distinct <= most and distinct / max(1, present) <= CLASS_SHARE else "regression"
+def _task(numeric: Column, present: Column, distinct: Column) -> Column:
+    """The task that a target of this kind suggests: numbers are classes only if they are few and come again."""
+    most = F.greatest(F.lit(CLASSES_AT_LEAST), F.least(F.lit(CLASSES_AT_MOST), F.floor(F.sqrt(present))))
+    classes = ~numeric | ((distinct <= most) & (distinct <= CLASS_SHARE * present))
+    return F.when(distinct < 2, "unknown").when(classes, "classification").otherwise("regression")
 
 
 def feature_types(df: DataFrame) -> DataFrame:
@@ -208,7 +186,7 @@ def feature_types(df: DataFrame) -> DataFrame:
 
 
 def column_profiles(df: DataFrame) -> DataFrame:
-    """One row per column: type, missing, distinct, and either numeric figures or top values."""
+    """One row per column: type, missing, distinct, either numeric figures or top values, and the task it suggests as a target."""
     kinds = [(f.name, f.dataType.simpleString(), not is_number(f.dataType)) for f in df.schema.fields]
     types = df.sparkSession.createDataFrame(kinds, "column string, dtype string, is_text boolean")
     pct = F.round(F.col("missing") / F.greatest(F.col("rows"), F.lit(1)) * 100, 2)
@@ -219,6 +197,7 @@ def column_profiles(df: DataFrame) -> DataFrame:
         .select(
             "column", "ordinal", "dtype", "rows", "missing", pct.alias("missing_pct"), "distinct",
             "mean", "std", "min", "median", "max", F.when(F.col("is_text"), F.col("top")).alias("top_values"),
+            _task(~F.col("is_text"), F.col("rows") - F.col("missing"), F.col("distinct")).alias("task"),
         )
         .orderBy("ordinal")
     )
@@ -252,7 +231,7 @@ def profile(
     chosen = choose_target(ranked).first()
     rows, gaps = found[0]["rows"], sum(c["missing"] for c in found)
     cells = rows * len(df.columns)
-    dates = datetime_columns(df, order_by)
+    dates = datetime_columns(df)
     record = {
         "name": name,
         "rows": rows,
@@ -275,9 +254,7 @@ def profile(
     }
     record = override(df, record, target, columns, date_column)
     if "task" not in record:
-        seen = next(c for c in found if c["column"] == record["target"])
-        numeric = is_number(data_type(df, record["target"]))
-        record["task"] = task_of(numeric, seen["rows"] - seen["missing"], seen["distinct"])
+        record["task"] = next(c["task"] for c in found if c["column"] == record["target"])
     record["profile_seconds"] = round(time.perf_counter() - started, 3)
     return record
 

@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillframe.errors import TableError
 from quillframe.operators.joins import RemovedColumn
+from quillframe.functions.types import has_nested
 from quillframe.plans.compare import Comparison
+from quillframe.plans.profile import profile as describe
 
 HISTORY_ENTRIES = 100  # fixed value: newest ledger entries shown
 
@@ -51,10 +53,16 @@ class Workspace:
         removed: Sequence[RemovedColumn] = (),
         profile: Mapping[str, Any] | None = None,
     ) -> str:
-        """Write a table as a new copy, note where it came from, and return its id."""
+        """Write a table as a new copy, note where it came from and its profile, and return its id.
+
+        Unless the caller brings a ``profile``, the written copy is profiled; one without rows or columns has none.
+        """
         copy_id = uuid.uuid4().hex
         path = f"{self.root}/copies/{copy_id}"
         df.write.parquet(path)
+        written = self.spark.read.parquet(path)
+        if profile is None and not written.isEmpty() and not has_nested(written):
+            profile = describe(written, name)
         entry = (
             copy_id, name, path, list(source_ids), message, [tuple(asdict(r).values()) for r in removed],
             list(df.columns), json.dumps(profile, default=str) if profile else None, _now(),
@@ -81,8 +89,8 @@ class Workspace:
     def record(self, run: Comparison) -> None:
         """Append a comparison to the ledger."""
         models = [
-            (m.id, m.name, json.dumps(m.params, default=str), {k: float(v) for k, v in m.metrics.items()}, m.training_seconds)
-            for m in run.models
+            (m.id, name, json.dumps(m.params, default=str), {k: float(v) for k, v in m.metrics.items()}, m.training_seconds)
+            for m, name in zip(run.models, run.names())
         ]
         total = round(sum(m.training_seconds for m in run.models), 4)
         entry = (
@@ -140,7 +148,9 @@ class Workspace:
     def _table(self, table: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        except AnalysisException:
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
 

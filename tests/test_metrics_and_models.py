@@ -8,13 +8,14 @@ import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from quillframe import CustomModel, ModelRequest, TableError, compare_models
 from quillframe.operators import metrics as M, models as MO
 from quillframe.operators.agglomerative import Agglomerative, merge
 from quillframe.operators.comparison import mark_best, relative_bars
-from quillframe.operators.features import FEATURES, RARE, fit_features, label_order
+from quillframe.operators.features import FEATURES, RARE, decode_label, encode_label, fit_features, label_order
 from quillframe.plans.compare import check_requests
 from quillframe.plans.pipeline import run_steps
 from quillframe.sources.workspace import Workspace
@@ -228,7 +229,7 @@ def test_tree_variants_learn_a_planted_rule(spark):
     rng = np.random.default_rng(2)
     rows = [(float(a), float(b), "in" if a > 0.5 and b < 0.3 else "out") for a, b in rng.random((1000, 2))]
     df = spark.createDataFrame(rows, "x double, y double, cls string")
-    for params in ({}, {"criterion": "log_loss", "max_features": "sqrt"}, {"max_depth": None}):
+    for params in ({}, {"criterion": "log_loss", "max_features": "sqrt"}, {"max_depth": 30}):
         run = compare_models(df, "cls", [ModelRequest("decision_tree", params)])
         assert run.models[0].metrics["accuracy"] > 0.95
 
@@ -268,7 +269,7 @@ def test_comparison_of_regressions(spark):
     linear = run.models[0]
     assert run.task == "regression" and (linear.train_rows, linear.test_rows) == (235, 157)
     assert set(linear.metrics) == {"mae", "mse", "rmse", "r2", "training_r2"} and linear.metrics["r2"] > 0.999
-    assert len(linear.chart) == 80 and run.side_by_side().columns == ["metric", "Linear Regression", "Random Forest"]
+    assert linear.chart.count() == 80 and run.side_by_side().columns == ["metric", "Linear Regression", "Random Forest"]
     again = compare_models(df.repartition(5), "y", ["linear_regression"], key=["id"], train_pct=60)
     assert again.models[0].metrics["mae"] == linear.metrics["mae"]
 
@@ -278,8 +279,8 @@ def test_comparison_of_clusterings(spark):
     run = compare_models(df, "k", [ModelRequest("kmeans", {"n_init": 2}), "agglomerative_clustering"], columns=["x", "y"], key=["id"])
     assert run.task == "clustering"
     for model in run.models:
-        assert model.metrics["adjusted_rand_index"] == 1.0 and sum(c["size"] for c in model.chart) == 300
-        assert {"silhouette_score", "calinski_harabasz_score", "davies_bouldin_score"} <= set(model.metrics)
+        assert model.metrics["adjusted_rand_index"] == 1.0 and sum(c["size"] for c in model.chart.collect()) == 300
+        assert {"squared_silhouette_score", "calinski_harabasz_score", "davies_bouldin_score"} <= set(model.metrics)
     assert "inertia" in run.models[0].metrics and "inertia" not in run.models[1].metrics
 
 
@@ -292,10 +293,50 @@ def test_comparison_requests_that_do_not_fit(spark):
         compare_models(df.limit(9), "k", ["kmeans"], columns=["x"])
 
 
-def test_too_many_classes_are_refused(spark):
-    df = spark.range(10_001).select(F.col("id").cast("string").alias("c"))
+def test_very_many_classes_are_numbered(spark):
+    df = spark.range(10_050).select(F.format_string("%05d", "id").alias("c"), F.col("id").cast("double").alias("n"))
+    order = label_order(df, "c")
+    numbered = encode_label(df, "c", order)
+    assert numbered.where("label <> n").count() == 0
+    assert decode_label(numbered, "label", order, "back").where("back <> c").count() == 0
+    strange = spark.createDataFrame([("x",), (None,)], "c string")
+    assert [r["label"] for r in encode_label(strange, "c", order).collect()] == [None, None]
+
+
+def test_two_runs_of_one_model_are_both_kept(spark):
+    df = spark.range(300).select("id", (F.col("id") % 50).alias("x"), ((F.col("id") % 50) * 2.5).alias("y"))
+    few = [ModelRequest("random_forest", {"n_estimators": 3, "max_depth": depth, "max_features": "auto"}) for depth in (1, 9)]
+    run = compare_models(df, "y", few, columns=["x"], task="regression")
+    table = {r["metric"]: r for r in run.side_by_side().collect()}
+    assert run.side_by_side().columns == ["metric", "Random Forest", "Random Forest (2)"]
+    assert table["r2"]["Random Forest"] < table["r2"]["Random Forest (2)"]
+
+
+def test_split_without_key_does_not_depend_on_partitions(spark):
+    df = spark.range(400).select((F.col("id") % 37).cast("double").alias("x"), F.hash("id").cast("double").alias("z"), (F.hash("id") % 5).cast("double").alias("y"))
+    runs = [compare_models(part, "y", ["linear_regression"], task="regression").models[0].metrics for part in (df.repartition(2), df.repartition(5))]
+    assert runs[0] == runs[1]
+
+
+def test_squared_silhouette_against_all_pairs(spark):
+    df = blobs(spark, 60)
+    rows = df.select("x", "y", "k").collect()
+    points, groups = np.array([(r["x"], r["y"]) for r in rows]), np.array([r["k"] for r in rows])
+    apart = ((points[:, None] - points[None]) ** 2).sum(2)
+    values = []
+    for i, g in enumerate(groups):
+        own = apart[i][groups == g].sum() / ((groups == g).sum() - 1)
+        other = min(apart[i][groups == h].mean() for h in set(groups.tolist()) - {g})
+        values.append((other - own) / max(own, other))
+    ready = fit_features(df, ["x", "y"])
+    held = df.select(array_to_vector(F.array(F.col("x").cast("double"), F.col("y").cast("double"))).alias("features"), "k")
+    assert ready and abs(M.squared_silhouette(held, "features", "k").first()[0] - np.mean(values)) < 1e-6
+
+
+def test_unlimited_depth_is_refused(spark):
+    df = spark.range(40).select("id", (F.col("id") % 10).alias("x"), (F.col("id") % 2).cast("string").alias("y"))
     with pytest.raises(TableError):
-        label_order(df, "c")
+        compare_models(df, "y", [ModelRequest("decision_tree", {"max_depth": None})], columns=["x"])
 
 
 def test_bars_and_best(spark):

@@ -114,18 +114,28 @@ def test_sample_with_many_copies_has_the_exact_size(copied, n):
     assert found.count() == 0
 
 
-def test_split_with_many_copies_by_unique_key(spark, copied, tmp_path):
-    numbered = S.with_unique_key(copied)
-    assert numbered.select("_row_key").distinct().count() == 3000
-    split = S.random_split(numbered, 70, ["_row_key"], exact=True)
-    assert split.where("split = 'train'").count() == 2100
-    assert 600 < split.where("split = 'train' AND a = 1000").count() < 800  # the copies are divided as well
+def test_split_by_a_stored_row_key(spark, copied, tmp_path):
     copied.write.parquet(str(tmp_path / "t"))
-    stored = spark.read.parquet(str(tmp_path / "t"))
-    keyed = with_row_key(stored)
+    keyed = with_row_key(spark.read.parquet(str(tmp_path / "t")))
     assert keyed.select("_row_key").distinct().count() == 3000
-    doubled = S.with_unique_key(stored.crossJoin(spark.range(2)))
-    assert doubled.select("_row_key").distinct().count() == 6000
+    split = S.random_split(keyed, 70, ["_row_key"], exact=True)
+    assert split.where("split = 'train'").count() == 2100
+    assert 600 < split.where("split = 'train' AND a = 1000").count() < 800  # the copies are divided as well
+
+
+def test_sample_by_a_key_that_is_not_unique_is_repeatable(spark):
+    df = spark.range(4000).select((F.col("id") % 7).alias("k"), "id")
+    first, again = (sorted(map(tuple, S.hash_sample(part, 1000, ["k"]).collect())) for part in (df.repartition(2), df.repartition(5)))
+    assert first == again and len(first) == 1000
+
+
+def test_the_cut_is_narrowed_until_its_bucket_is_small(spark, monkeypatch):
+    monkeypatch.setattr(S, "_RANKED_ROWS", 2)
+    monkeypatch.setattr(S, "_STEP", 1)
+    df = spark.range(500).withColumn("v", F.col("id") * 2)
+    wanted = sorted(r["id"] for r in S.hash_sample(df, 123, ["id"]).collect())
+    monkeypatch.undo()
+    assert wanted == sorted(r["id"] for r in S.hash_sample(df, 123, ["id"]).collect())
 
 
 def test_stratified_split_with_many_copies_is_whole(copied):
