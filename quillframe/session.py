@@ -48,4 +48,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, never reused."""
-    return f"{checkpoint_root(spark)}/quillframe/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has stored below the shared folder. Results that still read from there must be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/quillframe-{spark.sparkContext.applicationId}"

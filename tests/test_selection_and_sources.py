@@ -152,3 +152,13 @@ def test_short_rows_are_filled_and_files_are_joined(spark, tmp_path):
     (tmp_path / "b.csv").write_text("a,b\n5,6\n")
     found = read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
     assert sorted(map(tuple, found.collect()), key=str) == [(1, None), (3, 4), (5, 6)]
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    from quillframe import session
+    from quillframe.functions.sizing import store
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: str(tmp_path))
+    assert store(spark.range(5)).count() == 5 and any(tmp_path.iterdir())
+    session.clear_scratch(spark)
+    assert not [p for p in tmp_path.iterdir() if not p.name.endswith(".crc")]
