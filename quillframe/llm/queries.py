@@ -44,7 +44,25 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents(spark, folder), ranks(), public_tokenizers.PATTERN)
 
 
-@query()
+# CRC-32 step by step: the table follows from its polynomial, the bytes from the code points.
+@query("""
+WITH chars AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_transform(string_split(coalesce(text, ''), ''), lambda c: unicode(c)::BIGINT) AS u FROM documents
+), encoded AS (
+  SELECT doc_id, CASE WHEN t = '' THEN []::BIGINT[] ELSE flatten(list_transform(u, lambda c: CASE WHEN c < 128 THEN [c]
+    WHEN c < 2048 THEN [192 + (c >> 6), 128 + (c & 63)] WHEN c < 65536 THEN [224 + (c >> 12), 128 + ((c >> 6) & 63), 128 + (c & 63)]
+    ELSE [240 + (c >> 18), 128 + ((c >> 12) & 63), 128 + ((c >> 6) & 63), 128 + (c & 63)] END)) END AS b FROM chars
+), steps AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS k
+  FROM (SELECT unnest(range(256)) AS i)
+), sized AS (
+  SELECT doc_id, (len(b) + 8)::BIGINT AS size,
+    xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(list_extract(k, (xor(c, x) & 255) + 1), c >> 8)), 4294967295)::BIGINT AS text_crc32 FROM encoded, steps
+), placed AS (
+  SELECT *, ((2 * sum(size) OVER (ORDER BY doc_id) - size) * 24 // (2 * sum(size) OVER ()))::INT AS shard FROM sized
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1)::BIGINT AS slot, NULL::INT AS grown_shard FROM placed
+""")
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(documents(spark, folder))
 

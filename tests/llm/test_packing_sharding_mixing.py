@@ -152,12 +152,15 @@ def test_mix_of_odd_rows(spark, odd, none):
 
 
 @pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
-def test_mix_agrees_with_sql(spark, scale):
+@pytest.mark.parametrize("name", ["op2_sharding", "op10_mixing"])
+def test_query_agrees_with_sql(spark, scale, name):
     folder = f"/root/testdata/{scale}"
-    run, sql = REGISTRY["op10_mixing"]
+    run, sql = REGISTRY[name]
     db = duckdb.connect()
     db.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
     expected = db.sql(sql)
     found = run(spark, folder)
     assert sorted(tuple(r) for r in found.collect()) == sorted(expected.fetchall())
     assert found.columns == expected.columns
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    assert [kinds[kind] for _, kind in found.dtypes] == [str(t) for t in expected.types]
