@@ -19,6 +19,10 @@ SLOTS = {
 }
 
 
+LONG_TEXT = 128
+_MARK = "\u0000sha256:"
+
+
 def slot_of(kind: T.DataType) -> str:
     if isinstance(kind, (*WHOLE, T.BooleanType)):
         return "whole"
@@ -126,12 +130,30 @@ def column_facts(counts: DataFrame) -> DataFrame:
 def facts_and_top(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     """:func:`column_facts` with ``top``, the ``k`` most frequent values as ``(place, text, n)``.
 
-    Both sides of the join read the same counted table, whose shuffle Spark runs once.
+    Both sides of the join read the same counted table, whose shuffle Spark runs once. Texts of more than
+    :data:`LONG_TEXT` characters are counted by their beginning and a digest, so that no whole text is shuffled; only
+    the most frequent ones are looked up again. Ties between long texts that begin alike go by the digest.
     """
-    counts = value_counts(df, columns)
+    texts = [name for name in columns if isinstance(data_type(df, name), T.StringType)]
+    short = {name: F.when(F.length(quoted(name)) > LONG_TEXT, _digest_of(name)).otherwise(quoted(name)) for name in texts}
+    counts = value_counts(df.select(*[short[n].alias(n) if n in short else quoted(n) for n in df.columns]), columns)
+    top = top_values(counts, k).select("column", "place", "text", "n")
+    if texts:
+        top = _with_whole_texts(df, top, texts)
     entry = F.struct("place", F.col("text").alias("value"), "n")
-    top = top_values(counts, k).groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("top"))
-    return column_facts(counts).join(top, "column", "left")
+    return column_facts(counts).join(top.groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("top")), "column", "left")
+
+
+def _digest_of(name: str) -> Column:
+    return F.concat(F.substring(quoted(name), 1, LONG_TEXT // 2), F.lit(_MARK), F.sha2(quoted(name), 256))
+
+
+def _with_whole_texts(df: DataFrame, top: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """Put the texts back of which ``top``, a few rows per column, has digests. Without any, the table is not read."""
+    wanted = F.broadcast(top.where(F.col("text").contains(_MARK)).select(F.col("column").alias("c"), F.col("text").alias("t")))
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), _digest_of(n).alias("text"), quoted(n).alias("whole")) for n in texts])))
+    found = cells.join(wanted, (F.col("column") == F.col("c")) & (F.col("text") == F.col("t"))).groupBy("column", "text").agg(F.any_value("whole").alias("whole"))
+    return top.join(F.broadcast(found), ["column", "text"], "left").select("column", "place", F.coalesce("whole", "text").alias("text"), "n")
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:

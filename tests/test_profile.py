@@ -113,3 +113,13 @@ def test_top_values_skip_gaps_and_break_ties_by_value(spark):
 def test_approximate_distinct_counts(people):
     rows = {r["column"]: r["distinct"] for r in distinct_counts(people, approximate=True).collect()}
     assert rows["churn"] == 2 and abs(rows["customer_id"] - 50) <= 5
+
+
+def test_long_texts_are_counted_by_digest(spark):
+    rows = [("a" * 500 + str(i % 3), "b" * 300, "short") for i in range(9)] + [("a" * 128, None, "short"), ("a" * 500 + "0", None, "z" * 4000)]
+    df = spark.createDataFrame(rows, "x string, y string, s string")
+    found = {r["column"]: r for r in facts_and_top(df, df.columns, 2).collect()}
+    assert (found["x"]["distinct"], found["y"]["distinct"], found["s"]["distinct"], found["y"]["missing"]) == (4, 1, 2, 2)
+    assert [(t["value"], t["n"]) for t in found["x"]["top"]][0] == ("a" * 500 + "0", 4)
+    assert [t["value"] for t in found["y"]["top"]] == ["b" * 300]
+    assert [t["value"] for t in found["s"]["top"]] == ["short", "z" * 4000]
