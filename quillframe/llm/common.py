@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
+SLICE_ROWS, SLICE_BYTES = 256, 2 << 20
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -39,6 +39,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             size += length
         if start < len(lengths):
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # a worker goes on to other tasks
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:

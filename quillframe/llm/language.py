@@ -248,36 +248,44 @@ def identify(docs: DataFrame, model: KneserNey | None) -> DataFrame:
     only texts without letters are rejected. Columns of these names in ``docs`` are replaced. An empty table gives no rows.
     """
     names = ("lang_pred", "score", "rejected")
-    text = fresh(docs, "lang_text")
-    kept = docs.drop(*names).withColumn(text, column(docs, "text", "string"))
+    kept = docs.drop(*names)
+    text = "text" if dict(kept.dtypes).get("text") == "string" else fresh(docs, "lang_text")
+    if text != "text":
+        kept = kept.withColumn(text, column(docs, "text", "string"))
     schema = T.StructType([*kept.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.BooleanType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def judge(texts: list[str]) -> tuple[list, list, list]:
-        model = shared.value
-        if model is None:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts), [not any(map(str.isalpha, t)) for t in texts]
-        entropy, counts = model.entropies(texts)
-        best = entropy.argmin(axis=1)
-        least = entropy[np.arange(len(texts)), best]
-        score = 1 / np.exp(-(entropy - least[:, None]) * np.sqrt(counts)[:, None]).sum(axis=1)
-        limit = model.rejects_above[best] + 4 * model.spread[best] / np.sqrt(np.maximum(counts, 1))
-        empty = counts == 0
-        return (
-            [UNKNOWN if e else model.languages[b] for e, b in zip(empty, best)], np.where(empty, 0.0, score).tolist(), (empty | (least > limit)).tolist(),
-        )
-
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = arrow_schema(schema)
         for batch in slices(batches, text):
-            found = judge([t or "" for t in batch[text].to_pylist()])
+            found = _judged(shared.value, batch[text].to_pylist())
             made = [pa.array(values, target.field(name).type) for values, name in zip(found, names)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema=target)
 
-    return kept.mapInArrow(predict, schema).drop(text)
+    predicted = kept.mapInArrow(predict, schema)
+    return predicted if text == "text" else predicted.drop(text)
+
+
+def _judged(model: KneserNey | None, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and rejection of each text."""
+    texts = [text or "" for text in texts]
+    if model is None:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts), [not any(map(str.isalpha, t)) for t in texts]
+    entropy, counts = model.entropies(texts)
+    best = entropy.argmin(axis=1)
+    least = entropy[np.arange(len(texts)), best]
+    score = 1 / np.exp(-(entropy - least[:, None]) * np.sqrt(counts)[:, None]).sum(axis=1)
+    limit = model.rejects_above[best] + 4 * model.spread[best] / np.sqrt(np.maximum(counts, 1))
+    empty = counts == 0
+    return [UNKNOWN if e else model.languages[b] for e, b in zip(empty, best)], np.where(empty, 0.0, score).tolist(), (empty | (least > limit)).tolist()
 
 
 def keep_identified(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, with their columns, whose language is not rejected by models trained on the rows with a ``lang``."""
-    held = docs.select(F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("row"), column(docs, "text", "string").alias("text"))
-    return identify(held, train(docs, **options)).where(~F.col("rejected")).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, **options))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([not gone for gone in _judged(shared.value, batch["text"].to_pylist())[2]]))
+
+    return docs.mapInArrow(keep, docs.schema)

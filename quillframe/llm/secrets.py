@@ -236,14 +236,17 @@ def redact_secrets(docs: DataFrame, mask: str = MASK) -> DataFrame:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = arrow_schema(schema)
         for batch in slices(batches):
-            texts = [text if text is None else redact(text, all_spans(text)[1], mask) for text in batch["text"].to_pylist()]
+            texts = []  # of the rows that change; the others go through as they are
+            for text in batch["text"].to_pylist():
+                spans = all_spans(text or "")[1]
+                texts.append(redact(text, spans, mask) if spans else None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema=target)
 
     cleaned = docs.mapInArrow(clean, schema)
-    changed = ~F.col(made).eqNullSafe(F.col("text"))
+    changed = F.col(made).isNotNull()
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     again = {
-        "text": F.col(made),
+        "text": F.coalesce(made, "text"),
         "n_chars": F.when(changed, F.length(made).cast(kinds["n_chars"])).otherwise(F.col("n_chars")) if "n_chars" in kinds else None,
     }
     return cleaned.select(*[again[c].alias(c) if c in again else F.col(f"`{c}`") for c in docs.columns])
