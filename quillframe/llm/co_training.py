@@ -118,17 +118,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, rounds: int = 2, sure:
     scored like any other. An empty table gives no rows.
     """
     views = ("content", "meta")
-    seen = store(features(docs))
     votes = labels.where(column(labels, label).isin(0, 1) & column(labels, "doc_id").isNotNull()).groupBy(column(labels, "doc_id").alias("of")).agg(F.avg(column(labels, label).cast("double")).alias("vote"))
     decided = store(votes.where("vote <> 0.5").select("of", F.round("vote").alias("label"), (F.pmod(F.xxhash64("of", F.lit("calibration")), F.lit(5)) == 0).alias("aside")))
-    known = store(seen.join(decided, F.col("doc_id") == F.col("of")).select("doc_id", *views, "label", "aside"))
+    # the one join of the features: each row has its label beside it from here on
+    seen = store(features(docs).join(decided, F.col("doc_id") == F.col("of"), "left").select("doc_id", *views, "label", "aside"))
+    known = seen.where("label IS NOT NULL")
     classes = {(row.aside, row.label): row.n for row in known.groupBy("aside", "label").agg(F.count("*").alias("n")).collect()}
     if any((False, one) not in classes for one in (0.0, 1.0)):
         total, ones = sum(classes.values()), sum(n for (_, one), n in classes.items() if one == 1)
         share = F.lit(ones / total if total else 0.5)
         return seen.select("doc_id", share.alias("score"), (share >= 0.5).alias("keep"), share.alias("content_score"), share.alias("meta_score"))
     trained = known.where("NOT aside")
-    open_ = seen.join(decided, F.col("doc_id") == F.col("of"), "left_anti")
+    open_ = seen.where("label IS NULL")
     models = {view: _fit(trained, view) for view in views}
     bound = float(np.log(sure / (1 - sure)))
     for _ in range(rounds):
