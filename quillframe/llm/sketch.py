@@ -24,7 +24,7 @@ from quillframe.llm.common import arrow_schema, column, slices
 
 CELLS = 15  # of a fingerprint, and of the first try at a difference
 HASHES = 3
-PIECE = 8
+PIECE = 16
 PAIRS_AT_ONCE = 256
 FIELDS = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
