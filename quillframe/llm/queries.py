@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillframe.llm.alignment import align_tokenizers
+from quillframe.llm.bpe import encode_documents
 from quillframe.llm.co_training import quality_scores
+from quillframe.llm.collocations import mine_collocations
 from quillframe.llm.language import identify, train
 from quillframe.llm.mixing import plan_mix
 from quillframe.llm.multi_index import nearest_neighbours
@@ -133,3 +136,55 @@ def op6_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query("""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), cut AS (
+  SELECT lang, list_transform(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]'), lambda x: regexp_extract_all(x, '[^\x20\x09]+')) AS lists FROM docs
+), pieces AS (
+  SELECT lang, unnest(lists) AS w FROM cut
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS a FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut_at, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut_at FROM f WHERE k > 1) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut_at], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut_at + 1:c.k], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
+), inside AS (
+  SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda s: list_transform(range(1, k - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))))) AS phrase
+  FROM f WHERE k > 2
+), longer AS (
+  SELECT lang, phrase, max(a) AS most FROM inside GROUP BY lang, phrase
+), kept AS (
+  SELECT c.* FROM lowest c LEFT JOIN longer m ON m.lang = c.lang AND m.phrase = c.phrase WHERE m.most IS NULL OR 100::HUGEINT * m.most < 80::HUGEINT * c.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return mine_collocations(documents(spark, folder))
+
+
+def _content(name: str) -> bytes:
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+@query()
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_documents(documents(spark, folder), _content("byte_bpe_50k.json").decode(), with_ids=False)
+
+
+@query()
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokenizers(documents(spark, folder), ranks(), public_tokenizers.PATTERN, _content("piece_bpe_32k.model"))
