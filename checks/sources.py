@@ -26,6 +26,27 @@ def csv_with_line_breaks(spark, folder):
     return read_csv(spark, path, multiline=True)
 
 
+_LONG_NOTES = "concat(event_type, CASE WHEN event_id % 3 = 0 THEN concat(chr(10), chr(13), chr(10), '\"x, y\"') ELSE ', z' END)"
+
+
+@query(f"SELECT event_id, {_LONG_NOTES} AS note, value FROM events")
+def csv_of_one_file_in_blocks(spark, folder):
+    """One file with line breaks in a third of its rows, cut into records by many tasks."""
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, folder, "events").selectExpr("event_id", f"{_LONG_NOTES} AS note", "value").coalesce(1), path)
+    return read_csv(spark, path, multiline=True)
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 > 0 THEN event_type END AS event_type, CASE WHEN event_id % 4 = 3 THEN value END AS value FROM events")
+def csv_with_short_rows(spark, folder):
+    """Rows with fewer fields than the header are filled with NULL; none has too many."""
+    path = scratch_path(spark, "csv")
+    fields = "concat_ws(',', event_id, CASE WHEN event_id % 4 > 0 THEN event_type END, CASE WHEN event_id % 4 = 3 THEN value END) AS line"
+    lines = table(spark, folder, "events").selectExpr(fields, "event_id").unionByName(spark.range(1).selectExpr("'event_id,event_type,value' AS line", "id - 1000000000 AS event_id"))
+    lines.repartition(1).sortWithinPartitions("event_id").select("line").write.text(path)
+    return read_csv(spark, path)
+
+
 @query("SELECT event_id, event_type, value FROM events")
 def csv_of_many_files(spark, folder):
     path = scratch_path(spark, "csv")

@@ -12,8 +12,9 @@ from quillframe.functions.convert import number_text, whole_text
 from quillframe.functions.missing import fold_missing_tokens, fold_nan
 from quillframe.functions.names import clean_headers
 from quillframe.functions.types import FLOATING, is_moment, quoted
+from quillframe.sources.records import quoted_records
 
-_RECORD = "_record"
+_RECORD, _SURPLUS = "_record", "_surplus"
 PREVIEW_ROWS = 12  # fixed value: rows of a preview
 
 # Quotes are doubled inside quoted fields, as spreadsheets write them, not escaped by a backslash.
@@ -42,8 +43,9 @@ def read_csv(
     become NULL. Without a ``schema`` the types come from one aggregation over the whole file: whole
     numbers, else decimals, else truth values, else text; with a schema that pass only looks for faulty rows. Rows with more
     fields than the header are an error, shorter ones are filled with NULL, and all files must have the same header.
-    ``multiline`` allows line breaks in quoted fields, at the price of one task per file. Without it Spark splits
-    files, and a row with an unclosed quote is an error that names the option.
+    ``multiline`` allows line breaks in quoted fields. Files are split among tasks either way; with it they are stored once in
+    the checkpoint folder, cut into records (:mod:`quillframe.sources.records`). In other encodings than UTF-8 a task then
+    reads a whole file. Without it a row with an unclosed quote is an error that names the option.
     """
     options = {**_DIALECT, "multiLine": str(multiline).lower(), "encoding": encoding}
     paths = [path] if isinstance(path, str) else list(path)
@@ -52,15 +54,19 @@ def read_csv(
         if heading is None:
             raise TableError("The file is empty.")
         names = clean_headers(str(name).lstrip("﻿") if name is not None else None for name in heading)
-        _require_same_headers(spark, paths, options, heading)
-        whole = next(n for n in (_RECORD, _RECORD + "_") if n not in names)
-        texts = T.StructType([T.StructField(name, T.StringType()) for name in [*names, whole]])
-        raw = spark.read.options(**options, header="true", columnNameOfCorruptRecord=whole, enforceSchema="true").schema(texts).csv(paths)
+        whole, surplus = (next(n for n in (mark, mark + "_") if n not in names) for mark in (_RECORD, _SURPLUS))
+        texts = T.StructType([T.StructField(name, T.StringType()) for name in [*names, surplus, whole]])
+        parsing = {**options, "columnNameOfCorruptRecord": whole, "columnPruning": "false"}  # a row is judged by all of its fields
+        if multiline and encoding.upper().replace("-", "") == "UTF8":
+            raw = _parsed(quoted_records(spark, paths), texts, parsing, names, surplus, whole)
+        else:
+            _require_same_headers(spark, paths, options, heading)
+            raw = spark.read.options(**parsing, header="true", enforceSchema="true").schema(texts).csv(paths)
     except AnalysisException as problem:
         raise TableError(f"The table could not be read: {problem}") from problem
-    marked = raw.withColumn(whole, _fault(quoted(whole), raw, names))
+    marked = raw.withColumn(whole, _fault(quoted(whole), quoted(surplus), len(names)))
     folded = fold_missing_tokens(marked.select(*[quoted(n) for n in names]))
-    checked = fold_missing_tokens(marked)
+    checked = fold_missing_tokens(marked.select(*[quoted(n) for n in [*names, whole]]))
     if schema is not None and len(schema) != len(names):
         raise TableError(f"The schema has {len(schema)} columns, the file {len(names)}.")
     types = _checked_types(checked, names, whole, infer=schema is None)
@@ -69,6 +75,18 @@ def read_csv(
     return _typed(folded, types)
 
 
+def _parsed(records: DataFrame, texts: T.StructType, options: dict[str, str], names: list[str], surplus: str, whole: str) -> DataFrame:
+    """The fields of records, as the reader of files gives them. All first records must be the same."""
+    text = F.regexp_replace("record", "\r$", "")
+    headings = records.where("heading").select(text.alias("line")).distinct().limit(2).collect()
+    if len(headings) > 1:
+        raise TableError(f"The files have different headers: {headings[0]['line']!r} and {headings[1]['line']!r}.")
+    ddl = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in texts.names)
+    parsed = records.where(~F.col("heading")).select(text.alias("text")).select("text", F.from_csv("text", ddl, options).alias("row"))
+    fields = [F.col("row").getField(name).alias(name) for name in [*names, surplus]]
+    return parsed.select(*fields, F.when(F.col("row").getField(whole).isNotNull(), F.col("text")).alias(whole))
+
+
 def _require_same_headers(spark: SparkSession, paths: list[str], options: dict[str, str], heading: Row) -> None:
     """Columns are matched by place, so every file must begin with the same line."""
     lines = spark.read.option("wholetext", "false").text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
@@ -78,10 +96,16 @@ def _require_same_headers(spark: SparkSession, paths: list[str], options: dict[s
         raise TableError(f"The files have different headers: {others[0]['line']!r} and {others[1]['line']!r}.")
 
 
-def _fault(record: Column, raw: DataFrame, names: list[str]) -> Column:
-    """What is wrong with a row that Spark could not read as it stands: too many fields, or a quote that is not closed."""
+def _fault(record: Column, surplus: Column, width: int) -> Column:
+    """What is wrong with a row: more fields than names, or a quote that is not closed.
+
+    Rows are read with one field more than there are names. Spark hands the whole record on unless just that number of fields is there, so
+    that no record means one too many. Otherwise the commas outside quotes are counted, as surplus fields can be empty.
+    """
     quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
-    return F.when(quotes % 2 == 1, "quote").when(record.isNotNull() & quoted(names[-1]).isNotNull(), "fields")
+    bare = F.when(quotes > 0, F.regexp_replace(record, '"[^"]*+"', "")).otherwise(record)
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    return F.when(quotes % 2 == 1, "quote").when(record.isNull() | surplus.isNotNull() | (commas >= width), "fields")
 
 
 def _checked_types(texts: DataFrame, names: list[str], whole: str, infer: bool) -> dict[str, str]:
