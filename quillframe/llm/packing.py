@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -73,21 +74,22 @@ def _place(group: int, tokens: np.ndarray, length: int) -> dict[str, np.ndarray]
 
 
 def pack_documents(
-    docs: DataFrame, ranks: bytes, pattern: str, *, length: int = 1024, docs_per_group: int = 2048, seed: int = 42, with_ids: bool = False
+    docs: DataFrame, ranks: bytes, pattern: str, *, added: Mapping[str, int] | None = None, length: int = 1024, docs_per_group: int = 2048, seed: int = 42, with_ids: bool = False
 ) -> DataFrame:
     """Pack documents into sequences of at most ``length`` tokens.
 
     ``ranks`` is the content of a vocabulary file of byte-level pairs (one ``base64 rank`` per line) and ``pattern`` its
-    splitting pattern; they are shipped to the tasks, which need no file. The ids are those that the ``tokenizers``
-    library gives for the same vocabulary, strings of special tokens taken as ordinary text; id 0 ends each document.
+    splitting pattern; they are shipped to the tasks, which need no file. ``added`` has the vocabulary's added tokens: their strings
+    in a text become their own id. The ids are those that the ``tokenizers`` library gives for the same vocabulary; id 0 ends each document.
 
     One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and, if asked for, ``ids``.
     A NULL or empty text is a document of the one id 0. Repeated rows and NULL ``doc_id`` are packed like any other
-    row, each on its own. An empty table gives no rows. Other columns are not read.
+    row, each on its own. Very long texts are tokenised whole and cut. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
+    added = dict(added or {})
     groups = max(1, -(-docs.count() // docs_per_group))
-    narrow = "<u2" if ranks.count(b"\n") < 1 << 16 else "<u4"
+    narrow = "<u2" if max([ranks.count(b"\n"), *added.values()]) < 1 << 16 else "<u4"
     vocabulary = spark.sparkContext.broadcast(ranks)  # a file of fixed size
     piece = T.StructType([T.StructField("crc", T.LongType()), T.StructField("ids", T.BinaryType())])
     schema = T.StructType([
@@ -97,7 +99,7 @@ def pack_documents(
     source = docs.select(
         F.monotonically_increasing_id().alias("uid"), column(docs, "doc_id").alias("doc_id"), F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text")
     )
-    tokenised = source.mapInArrow(_tokeniser(vocabulary, pattern, schema, length, narrow, with_ids), schema)
+    tokenised = source.mapInArrow(_tokeniser(vocabulary, pattern, added, schema, length, narrow, with_ids), schema)
     grouped = tokenised.withColumn("group", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(groups)))
     packed = T.StructType([schema["doc_id"], *(T.StructField(name, T.LongType()) for name in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))])
     if with_ids:
@@ -117,17 +119,28 @@ def pack_documents(
     return grouped.groupBy("group").applyInArrow(pack, packed)
 
 
-def _tokeniser(vocabulary, pattern: str, schema: T.StructType, length: int, narrow: str, with_ids: bool) -> Callable:
+def _tokeniser(vocabulary, pattern: str, added: dict[str, int], schema: T.StructType, length: int, narrow: str, with_ids: bool) -> Callable:
+    cut = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(vocabulary.value, pattern).encode_ordinary
         target = arrow_schema(schema)
         for batch in slices(batches):
             counts, pieces = [], []
             for text in batch["text"].to_pylist():
-                ids = np.array([*encode(text), END], dtype="<u4")
+                ids = np.array([*(_with_added(text, cut, added, encode) if cut and cut.search(text) else encode(text)), END], dtype="<u4")
                 cuts = [ids[at : at + length] for at in range(0, len(ids), length)]
                 counts.append(len(ids))
                 pieces.append([{"crc": zlib.crc32(cut.tobytes()), "ids": cut.astype(narrow).tobytes() if with_ids else None} for cut in cuts])
             yield pa.RecordBatch.from_arrays([batch["uid"], batch["doc_id"].cast(target.field(1).type), pa.array(counts, target.field(2).type), pa.array(pieces, target.field(3).type)], schema=target)
 
     return tokenise
+
+
+def _with_added(text: str, cut: re.Pattern, added: dict[str, int], encode: Callable[[str], list[int]]) -> list[int]:
+    """The ids of a text that is cut at added tokens before anything else."""
+    ids, at = [], 0
+    for match in cut.finditer(text):
+        ids += [*encode(text[at : match.start()]), added[match.group()]]
+        at = match.end()
+    return ids + encode(text[at:])

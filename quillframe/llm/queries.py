@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import public_tokenizers
@@ -38,13 +39,21 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ranks() -> bytes:
-    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+    return _content("byte_bpe_50k.tiktoken")
+
+
+def added_tokens() -> dict[str, int]:
+    return {token["content"]: token["id"] for token in json.loads(_content("byte_bpe_50k.json"))["added_tokens"]}
+
+
+def _content(name: str) -> bytes:
+    with open(public_tokenizers.path(name), "rb") as file:
         return file.read()
 
 
 @query()
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_documents(documents(spark, folder), ranks(), public_tokenizers.PATTERN)
+    return pack_documents(documents(spark, folder), ranks(), public_tokenizers.PATTERN, added=added_tokens())
 
 
 # CRC-32 step by step: the table follows from its polynomial, the bytes from the code points.
@@ -175,11 +184,6 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return mine_collocations(documents(spark, folder))
 
 
-def _content(name: str) -> bytes:
-    with open(public_tokenizers.path(name), "rb") as file:
-        return file.read()
-
-
 @query()
 def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(documents(spark, folder), _content("byte_bpe_50k.json").decode(), with_ids=False)

@@ -20,7 +20,7 @@ def odd(spark):
     rows = [
         (1, "one two three four five", "en", "a", 23, 5, "x"), (1, "one two three four five", "en", "a", 23, 5, "x"), (2, None, "en", "a", None, None, None),
         (3, "", "fr", None, 0, 1, "y"), (4, " \n\t ", None, "b", 4, 1, "y"), (None, "one two three four five", None, None, None, 1, None), (None, None, None, None, None, None, None),
-        (7, long_text, "en", "b", len(long_text), 9, "z"), (8, "ÀÉ ünïcode 漢字 \U0001f600", "fr", "c", 20, 2, "z"), (9, "two", "en", "c", 3, 2, "z"), (10, "two", "en", "c", 3, 2, "z"),
+        (7, long_text, "en", "b", len(long_text), 9, "z"), (8, "ÀÉ ünïcode 漢字 \U0001f600", "fr", "c", 20, 2, "z"), (9, "two", "en", "c", 3, 2, "z"), (11, "hello <|endoftext|> world", "en", "c", 25, 2, "z"), (12, "<|endoftext|><|endoftext|>x", "en", "c", 27, 2, "z"), (10, "two", "en", "c", 3, 2, "z"),
     ]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from quillframe.llm.mixing import mix_sources, plan_mix
 from quillframe.llm.packing import first_fit_decreasing, pack_documents
-from quillframe.llm.queries import REGISTRY, documents, ranks
+from quillframe.llm.queries import REGISTRY, added_tokens, documents, ranks
 from quillframe.llm.sharding import shard_by_bytes
 
 
@@ -55,7 +55,7 @@ def test_packing_of_a_table(spark, folder):
 
 def test_packing_of_odd_rows(spark, odd, none):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found = pack_documents(odd, ranks(), public_tokenizers.PATTERN, length=64, docs_per_group=3, with_ids=True)
+    found = pack_documents(odd, ranks(), public_tokenizers.PATTERN, added=added_tokens(), length=64, docs_per_group=3, with_ids=True)
     rows = pieces(found)
     check_packing([(r.doc_id, r.text) for r in odd.collect()], rows, tokenizer, 64)
     for row in rows:
