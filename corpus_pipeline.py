@@ -21,7 +21,7 @@ from quillframe.functions.sizing import store
 from quillframe.llm.language import keep_identified
 from quillframe.llm.mixing import mix_sources
 from quillframe.llm.packing import pack_documents
-from quillframe.llm.queries import REGISTRY, documents, ranks
+from quillframe.llm.queries import REGISTRY, added_tokens, documents, ranks
 from quillframe.llm.secrets import redact_secrets
 from quillframe.llm.simhash import keep_one_of_each
 
@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, ranks(), public_tokenizers.PATTERN, with_ids=True)
+    return pack_documents(docs, ranks(), public_tokenizers.PATTERN, added=added_tokens(), with_ids=True)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mix", mix), ("pack", pack)]
