@@ -51,6 +51,14 @@ def fill_with_mode(spark, folder):
     return C.fill_missing(gapped_events(spark, folder), method="mode")
 
 
+_LONG = "CASE WHEN doc_id % 5 = 0 THEN NULL ELSE concat(repeat('the same beginning ', 6), CAST(doc_id % 3 AS VARCHAR(2)), lang) END AS note"
+
+
+@query(f"WITH gapped AS (SELECT doc_id, {_LONG} FROM documents) SELECT doc_id, {_mode('note')} FROM gapped")
+def fill_long_texts_with_mode(spark, folder):
+    return C.fill_missing(table(spark, folder, "documents").selectExpr("doc_id", _LONG), ["note"], method="mode")
+
+
 # Gaps in columns of other types, and a tie between 9.00 and 10.00, of which the smaller number wins.
 _TYPED = (
     "event_id", "CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 2 = 0 THEN CAST(9 AS DECIMAL(10, 2)) ELSE CAST(10 AS DECIMAL(10, 2)) END AS amount",

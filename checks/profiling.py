@@ -12,8 +12,8 @@ from quillframe.plans import profile as P
 _COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
 
 
-def _each(template: str) -> str:
-    return " UNION ALL ".join(template.format(name=name, place=place) for place, name in enumerate(_COLUMNS))
+def _each(template: str, columns: tuple[str, ...] = _COLUMNS) -> str:
+    return " UNION ALL ".join(template.format(name=name, place=place) for place, name in enumerate(columns))
 
 
 @query(
@@ -34,6 +34,11 @@ def distinct_per_column(spark, folder):
     return distinct_counts(gapped_events(spark, folder))
 
 
+@query(_each("SELECT '{name}' AS \"column\", {place} AS ordinal, count(DISTINCT {name}) AS \"distinct\" FROM documents", ("doc_id", "text", "lang", "source", "n_chars")))
+def distinct_in_documents(spark, folder):
+    return distinct_counts(table(spark, folder, "documents"))
+
+
 _SUMMARY = (
     "SELECT '{name}' AS \"column\", round(avg({name}), 4) AS mean, round(stddev_samp({name}), 4) AS std, "
     "round(min({name})::DOUBLE, 4) AS min, round(quantile_cont({name}::DOUBLE, 0.5), 4) AS median, round(max({name})::DOUBLE, 4) AS max FROM {source}"
@@ -65,6 +70,16 @@ _TOP = (
 )
 
 
+_BEGUN = "concat(repeat('one beginning of many texts ', 5), CAST({key} % 1000 AS VARCHAR(20)), text)"
+
+
+@query(f"WITH d AS (SELECT text, {_BEGUN.format(key='doc_id')} AS begun FROM documents) " + _TOP.format(name="text", source="d") + " UNION ALL " + _TOP.format(name="begun", source="d"))
+def most_frequent_long_texts(spark, folder):
+    """Whole documents, and texts that all begin alike and are nearly all different, so that ties decide."""
+    docs = table(spark, folder, "documents").selectExpr("text", f"{_BEGUN.format(key='doc_id')} AS begun")
+    return P.top_texts(docs, ["text", "begun"])
+
+
 @query(
     _TOP.format(name="o_orderstatus", source="orders") + " UNION ALL " + _TOP.format(name="o_orderpriority", source="orders")
 )

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from quillframe.functions.sizing import broadcast_if_small, settle
 from quillframe.functions.types import FLOATING, WHOLE, data_type, is_moment, quoted, refuse_nested
 
 SLOTS = {
@@ -19,7 +20,7 @@ SLOTS = {
 }
 
 
-LONG_TEXT = 128
+LONG_TEXT = 64
 _MARK = "\u0000sha256:"
 
 
@@ -38,7 +39,7 @@ def slot_of(kind: T.DataType) -> str:
 
 def _cell(df: DataFrame, name: str) -> Column:
     kind = data_type(df, name)
-    value = quoted(name)
+    value = _counted_by(name) if isinstance(kind, T.StringType) else quoted(name)
     used = slot_of(kind)
     slots = [
         (value.cast(sql_type) if slot == used else F.lit(None).cast(sql_type)).alias(slot)
@@ -55,7 +56,8 @@ def _cell(df: DataFrame, name: str) -> Column:
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``column, ordinal, present``, the slots, ``text`` and ``n``: one row per column and distinct value.
 
-    Missing cells are counted in one row per column with ``present`` false.
+    Missing cells are counted in one row per column with ``present`` false. ``label`` and ``text`` of a long text are its beginning
+    and digest; :func:`most_frequent` puts the texts back.
     """
     refuse_nested(df)
     names = list(columns if columns is not None else df.columns)
@@ -130,30 +132,61 @@ def column_facts(counts: DataFrame) -> DataFrame:
 def facts_and_top(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     """:func:`column_facts` with ``top``, the ``k`` most frequent values as ``(place, text, n)``.
 
-    Both sides of the join read the same counted table, whose shuffle Spark runs once. Texts of more than
-    :data:`LONG_TEXT` characters are counted by their beginning and a digest, so that no whole text is shuffled; only
-    the most frequent ones are looked up again. Ties between long texts that begin alike go by the digest.
+    Both sides of the join read the same counted table, whose shuffle Spark runs once.
     """
-    texts = [name for name in columns if isinstance(data_type(df, name), T.StringType)]
-    short = {name: F.when(F.length(quoted(name)) > LONG_TEXT, _digest_of(name)).otherwise(quoted(name)) for name in texts}
-    counts = value_counts(df.select(*[short[n].alias(n) if n in short else quoted(n) for n in df.columns]), columns)
-    top = top_values(counts, k).select("column", "place", "text", "n")
-    if texts:
-        top = _with_whole_texts(df, top, texts)
+    counts = value_counts(df, columns)
+    facts, top = column_facts(counts), top_values(counts, k)
+    long = _long_columns(df, columns)
+    if long:
+        kind = F.col("column").isNotNull()
+        both = settle(facts.withColumn("is_fact", kind).unionByName(_contenders(counts, k).withColumn("is_fact", ~kind), allowMissingColumns=True))
+        facts, top = both.where("is_fact").select(*facts.columns), _resolved(df, both.where("NOT is_fact"), long, k)
     entry = F.struct("place", F.col("text").alias("value"), "n")
-    return column_facts(counts).join(top.groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("top")), "column", "left")
+    return facts.join(top.groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("top")), "column", "left")
 
 
-def _digest_of(name: str) -> Column:
-    return F.concat(F.substring(quoted(name), 1, LONG_TEXT // 2), F.lit(_MARK), F.sha2(quoted(name), 256))
+def most_frequent(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+    """``column, place, n, text`` and the slots of the ``k`` most frequent values of each column, ties by value."""
+    counts, long = value_counts(df, columns), _long_columns(df, columns)
+    return _resolved(df, settle(_contenders(counts, k)), long, k) if long else top_values(counts, k)
 
 
-def _with_whole_texts(df: DataFrame, top: DataFrame, texts: Sequence[str]) -> DataFrame:
-    """Put the texts back of which ``top``, a few rows per column, has digests. Without any, the table is not read."""
-    wanted = F.broadcast(top.where(F.col("text").contains(_MARK)).select(F.col("column").alias("c"), F.col("text").alias("t")))
-    cells = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), _digest_of(n).alias("text"), quoted(n).alias("whole")) for n in texts])))
-    found = cells.join(wanted, (F.col("column") == F.col("c")) & (F.col("text") == F.col("t"))).groupBy("column", "text").agg(F.any_value("whole").alias("whole"))
-    return top.join(F.broadcast(found), ["column", "text"], "left").select("column", "place", F.coalesce("whole", "text").alias("text"), "n")
+def _long_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns with texts that are counted by digest, from one aggregation without a shuffle of values."""
+    names = [name for name in columns if isinstance(data_type(df, name), T.StringType)]
+    if not names:
+        return []
+    seen = df.agg(*[F.max(_is_long(name)).alias(f"c{i}") for i, name in enumerate(names)]).first()
+    return [name for name, long in zip(names, seen) if long]
+
+
+def _is_long(name: str) -> Column:
+    return (F.length(quoted(name)) > LONG_TEXT) | quoted(name).contains(_MARK)
+
+
+def _counted_by(name: str) -> Column:
+    digest = F.concat(F.substring(quoted(name), 1, LONG_TEXT), F.lit(_MARK), F.sha2(quoted(name), 256))
+    return F.when(_is_long(name), digest).otherwise(quoted(name))
+
+
+def _contenders(counts: DataFrame, k: int) -> DataFrame:
+    """All values that may be among the ``k`` most frequent: long texts that begin alike and are equally frequent share a place."""
+    begins = [F.substring(slot, 1, LONG_TEXT) if slot == "label" else F.col(slot) for slot in SLOTS]
+    order = Window.partitionBy("column").orderBy(F.desc("present"), F.desc("n"), *begins)
+    ranked = counts.withColumn("place", F.rank().over(order))
+    return ranked.where((F.col("place") <= k) & F.col("present"))
+
+
+def _resolved(df: DataFrame, contenders: DataFrame, long: Sequence[str], k: int) -> DataFrame:
+    """The ``k`` most frequent values among settled contenders, with whole texts in ``label`` and ``text``."""
+    wanted = settle(contenders.where(F.col("label").contains(_MARK)).select(F.col("column").alias("c"), F.col("label").alias("l")))
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), F.when(_is_long(n), _counted_by(n)).alias("label"), quoted(n).alias("full_text")) for n in long])))
+    held = cells.where("label IS NOT NULL").join(broadcast_if_small(wanted), (F.col("column") == F.col("c")) & (F.col("label") == F.col("l")))
+    texts = settle(held.groupBy("column", "label").agg(F.any_value("full_text").alias("full_text")))
+    whole = contenders.join(broadcast_if_small(texts), ["column", "label"], "left")
+    kept = {"label": F.coalesce("full_text", "label"), "text": F.coalesce("full_text", "text")}
+    found = whole.select(*[kept[c].alias(c) if c in kept else c for c in ("column", "ordinal", "present", *SLOTS, "text", "n")])
+    return top_values(found, k)
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -161,14 +194,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Columns without any value are absent.
     """
-    best = F.min(F.struct((-F.col("n")).alias("rank"), *SLOTS)).alias("best")
-    return (
-        value_counts(df, columns)
-        .where("present")
-        .groupBy("column")
-        .agg(best)
-        .select("column", (-F.col("best.rank")).alias("n"), *[F.col(f"best.{slot}") for slot in SLOTS])
-    )
+    return most_frequent(df, columns, 1).select("column", "n", *SLOTS)
 
 
 def slot_literal(kind: T.DataType, row) -> Column:

@@ -16,7 +16,7 @@ from quillframe.functions.names import plain_name
 from quillframe.functions.types import (
     as_number, category_columns, data_type, is_moment, is_number, number_columns, quoted, refuse_nested,
 )
-from quillframe.operators.frequency import column_facts, facts_and_top, top_values, value_counts
+from quillframe.operators.frequency import column_facts, facts_and_top, most_frequent, value_counts
 from quillframe.operators.quantiles import exact_quantiles
 from quillframe.operators.reports import duplicate_rows
 from quillframe.sources.tables import preview, require_content
@@ -71,9 +71,7 @@ _NUMERIC = "column string, ordinal int, mean double, std double, min double, med
 def top_texts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``column, place, value, n``: the three most frequent values of each non-numeric column, ties by value."""
     names = [n for n in (columns if columns is not None else category_columns(df))]
-    return top_values(value_counts(df, names), TOP_VALUES).select(
-        "column", "place", F.col("text").alias("value"), "n"
-    )
+    return most_frequent(df, names, TOP_VALUES).select("column", "place", F.col("text").alias("value"), "n")
 
 
 def datetime_columns(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> list[str]:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillframe import TableError, profile
-from quillframe.operators.frequency import distinct_counts, facts_and_top, top_values, value_counts
+from quillframe.operators.frequency import distinct_counts, facts_and_top, modes, top_values, value_counts
 from quillframe.plans import profile as P
 
 
@@ -123,3 +123,26 @@ def test_long_texts_are_counted_by_digest(spark):
     assert [(t["value"], t["n"]) for t in found["x"]["top"]][0] == ("a" * 500 + "0", 4)
     assert [t["value"] for t in found["y"]["top"]] == ["b" * 300]
     assert [t["value"] for t in found["s"]["top"]] == ["short", "z" * 4000]
+
+
+def test_ties_of_long_texts_go_by_value(spark):
+    """Long texts of one frequency that begin alike, whatever their digests are."""
+    head = "the same beginning of all of them " * 4
+    texts = [head + c for c in "hgfedcba"] + ["z" * 70, "y" * 64, "y" * 65, "\0sha256:x", head.rstrip() + "\0sha256:"]
+    rows = [(t, t if i % 2 else None, i) for i, t in enumerate(texts * 3)]
+    df = spark.createDataFrame(rows, "t string, gaps string, i int").repartition(5)
+    order = sorted(texts, key=str.encode)
+    found = {r["column"]: r for r in facts_and_top(df, df.columns, 9).collect()}
+    assert [e["value"] for e in found["t"]["top"]] == order[:9] and found["t"]["distinct"] == len(texts)
+    assert {e["n"] for e in found["t"]["top"]} == {3} and found["i"]["distinct"] == 39
+    assert [r["value"] for r in P.top_texts(df, ["t"]).orderBy("place").collect()] == order[:3]
+    assert {r["column"]: r["label"] for r in modes(df, ["t", "gaps"]).collect()}["t"] == order[0]
+    assert {r["distinct"] for r in distinct_counts(df, ["t"]).collect()} == {len(texts)}
+
+
+def test_no_long_text_is_a_shuffle_key(spark):
+    df = spark.createDataFrame([("x" * 500,), ("y",)], "t string")
+    plan = distinct_counts(df)._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in value_counts(df)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "CASE WHEN" in line]
+    assert "hashpartitioning" in plan and keys and all("sha2" in line for line in keys)
+    assert max(len(r["label"]) for r in value_counts(df).collect()) <= 64 + 8 + 64
