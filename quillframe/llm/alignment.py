@@ -187,11 +187,11 @@ def align_tokenizers(docs: DataFrame, ranks: bytes, pattern: str, model: bytes,
         F.monotonically_increasing_id().alias("uid"), column(docs, "doc_id").alias("doc_id"), F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text")
     )
     aligned = store(source.mapInArrow(align, schema))  # written once: numbers of blocks and pairs stay the same in all that follows
-    named = aligned.select("block", F.posexplode("pairs").alias("number", "pair")).select("block", "number", "pair.*")
+    named = aligned.select(F.col("block").alias("of"), F.posexplode("pairs").alias("number", "pair")).select("of", "number", "pair.*")
     totals = named.groupBy("a", "b").agg(F.sum("documents").alias("total"))
     highest = totals.groupBy("a").agg(F.max("total").alias("highest"))
     judged = totals.join(highest, "a").select("a", "b", "total", (F.col("total") == F.col("highest")).alias("best"))
-    returned = named.join(judged, ["a", "b"]).select("block", "number", "total", "best")
+    returned = named.join(judged, ["a", "b"]).select("of", "number", "total", "best")
     kept = [name for name in schema.names if name not in ("block", "numbers", "links", "pairs")]
     result = T.StructType([schema[name] for name in kept] + [T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
 
@@ -205,4 +205,4 @@ def align_tokenizers(docs: DataFrame, ranks: bytes, pattern: str, model: bytes,
         out = rows.select(kept).append_column("n_best", pa.array(np.diff(n_best[ends]))).append_column("count_sum", pa.array(np.diff(sums[ends])))
         return out.cast(arrow_schema(result))
 
-    return aligned.drop("pairs").groupBy("block").cogroup(returned.groupBy("block")).applyInArrow(add_up, result)
+    return aligned.drop("pairs").groupBy("block").cogroup(returned.groupBy("of")).applyInArrow(add_up, result)
