@@ -6,7 +6,7 @@ active ranks are taken in ascending order from a heap, each is applied at its po
 neighbours' new pairs enter the lists of their own ranks. A merge touches its positions only, so a word of a million letters
 takes hardly more than linear time, where searching the lowest pair again after each merge would be quadratic.
 
-Words already merged are kept per task in a table of bounded size; it saves time and decides nothing.
+Words already merged are kept per Python worker in a table of bounded size; it saves time and decides nothing.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ from quillframe.llm.common import arrow_schema, column, slices
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _BITS = 24  # of a symbol in a pair's key
 _BREAK, _GONE = -1, -2
-_KEPT_WORDS = 1 << 18
+_KEPT_WORDS = 1 << 19
+_SLICE_ROWS, _SLICE_BYTES = 2048, 8 << 20  # the more words are merged together, the less an application of a rank costs
 
 
 def byte_letters() -> dict[int, str]:
@@ -73,6 +74,7 @@ class Vocabulary:
             sizes[i] = len(text)
         self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
         self.bytes = np.frombuffer(b"".join(texts[i] for i in sorted(texts)), np.uint8)
+        self.names = [str(i) for i in range(len(sizes))]
         self._library = Tokenizer.from_str(content).pre_tokenizer
         self._words = regex.compile(WORDS)
         self._differs = self._other_letters()
@@ -219,13 +221,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, *, with_ids: bool = True)
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a file of fixed size
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, target = Encoder(_loaded(shipped)), arrow_schema(schema)
-        for batch in slices(batches):
+        encoder, target = _loaded(shipped), arrow_schema(schema)
+        names = encoder.vocabulary.names
+        for batch in slices(batches, rows=_SLICE_ROWS, size_limit=_SLICE_BYTES):
             ids = encoder.encode(batch["text"].to_pylist())
             decoded = [encoder.vocabulary.decode(np.array(row, np.int64)) for row in ids]
             columns = {
                 "doc_id": batch["doc_id"].cast(target.field("doc_id").type), "n_tokens": [len(row) for row in ids],
-                "ids_sha256": [hashlib.sha256(",".join(map(str, row)).encode()).hexdigest() for row in ids],
+                "ids_sha256": [hashlib.sha256(",".join([names[i] for i in row]).encode()).hexdigest() for row in ids],
                 "decoded_sha256": [hashlib.sha256(text.encode()).hexdigest() for text in decoded], "ids": ids, "decoded": decoded,
             }
             yield pa.RecordBatch.from_pydict({name: columns[name] for name in target.names}, schema=target)
@@ -234,13 +237,13 @@ def encode_documents(docs: DataFrame, vocabulary: str, *, with_ids: bool = True)
     return source.mapInArrow(encode, schema)
 
 
-_LOADED: dict[int, Vocabulary] = {}  # of this Python worker, for its later tasks
+_LOADED: dict[int, Encoder] = {}  # of this Python worker, for its later tasks
 
 
-def _loaded(shipped) -> Vocabulary:
+def _loaded(shipped) -> Encoder:
     content = shipped.value
     key = hash(content)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Vocabulary(content)
+        _LOADED[key] = Encoder(Vocabulary(content))
     return _LOADED[key]

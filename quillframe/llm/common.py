@@ -27,13 +27,13 @@ def column(df: DataFrame, name: str, kind: str | None = None) -> Column:
     return F.lit(None).cast(kind or "string")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = SLICE_ROWS, size_limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows and, beyond one row, few bytes of text."""
     for batch in batches:
         lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch[text]), 0), dtype=np.int64)
         start, size = 0, 0
         for i, length in enumerate(lengths.tolist()):
-            if i > start and (size + length > SLICE_BYTES or i - start >= SLICE_ROWS):
+            if i > start and (size + length > size_limit or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += length
