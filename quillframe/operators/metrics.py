@@ -2,16 +2,13 @@
 
 Classification metrics start from the confusion counts, which are pre-aggregated in each task, so a
 dominant class is one counter. Clustering scores use every row in a few aggregations, but for the Euclidean
-silhouette, which compares all pairs of rows and therefore takes no more than :data:`SCORE_ROWS` of them.
+silhouette, which compares blocks of rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -19,13 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.errors import TableError
 from quillframe.functions.types import quoted
+from quillframe.operators.silhouette import euclidean_silhouette
 
-SCORE_ROWS = 10_000  # fixed value: most rows for scores that compare rows with one another
+SCORE_ROWS = 10_000  # fixed value: rows whose silhouette a comparison takes, each against all rows
 SAMPLE_PAIRS = 80  # fixed value: actual-against-predicted pairs kept for a chart
 MAX_LABELS = 10_000  # of a matrix that lists all pairs
 MAX_CLUSTERS = 10_000  # that are compared in pairs
 DIGITS = 5  # fixed value: decimal places of reported metrics
-SAMPLE_BYTES = 512 << 20
 
 
 def long_form(figures: DataFrame) -> DataFrame:
@@ -250,57 +247,15 @@ def davies_bouldin(df: DataFrame, features: Sequence[str] | str, label: str) ->
     return scored.select(F.when(usable, F.col("score")).alias("davies_bouldin_score"))
 
 
-def silhouette(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFrame:
+def silhouette(df: DataFrame, features: Sequence[str] | str, label: str, rows: int | None = None) -> DataFrame:
     """One row: ``silhouette_score``, the mean Euclidean silhouette; NULL unless there are two clusters and fewer than rows.
 
-    Every row is compared with every other, so the table must hold :data:`SCORE_ROWS` rows at most (take a
-    sample first). That bounded sample is broadcast, and tasks score blocks of rows against it.
+    Every row is compared with all others, or ``rows`` of them, drawn by hash, if that is given: then the work is linear in the
+    table. Rows without a cluster are left out. See :mod:`quillframe.operators.silhouette`.
     """
-    points = _points(df, features, label)
-    spark = df.sparkSession
-    size = points.limit(SCORE_ROWS + 1).agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("x")).alias("width")).first()
-    if size["rows"] > SCORE_ROWS:
-        raise TableError(f"A silhouette compares all pairs of rows; sample the table to {SCORE_ROWS} rows first, or use squared_silhouette.")
-    if size["rows"] * (size["width"] or 0) * 8 > SAMPLE_BYTES:
-        raise TableError("The rows are too wide for a silhouette; use fewer features, or squared_silhouette.")
-    sample = points.select(F.col("label").cast("string").alias("label"), "x").limit(SCORE_ROWS + 1).toPandas()
-    groups, names = pd.factorize(sample["label"])
-    if not 1 < len(names) < len(sample):
-        return spark.range(1).select(F.lit(None).cast("double").alias("silhouette_score"))
-    matrix = np.stack(sample["x"].to_numpy()).astype("float64")
-    shared = spark.sparkContext.broadcast((matrix, groups))
-    sizes = np.bincount(groups)
-
-    def score(batches):
-        all_rows, all_groups = shared.value
-        squares = (all_rows**2).sum(axis=1)
-        one_hot = np.eye(len(sizes))[all_groups] if len(sizes) <= 512 else None
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                ids = batch["id"].to_numpy()[start : start + 256]
-                block = all_rows[ids]
-                gaps = squares[ids][:, None] + squares[None, :] - 2 * block @ all_rows.T
-                far = np.sqrt(np.maximum(gaps, 0))
-                far[np.arange(len(ids)), ids] = 0.0
-                if one_hot is not None:
-                    sums = far @ one_hot
-                else:
-                    sums = np.stack([np.bincount(all_groups, weights=line, minlength=len(sizes)) for line in far])
-                own = all_groups[ids]
-                rows = np.arange(len(ids))
-                alone = sizes[own] == 1
-                inner = sums[rows, own] / np.maximum(sizes[own] - 1, 1)
-                means = sums / sizes
-                means[rows, own] = np.inf
-                outer = means.min(axis=1)
-                widest = np.maximum(inner, outer)
-                values = np.divide(outer - inner, widest, out=np.zeros(len(ids)), where=widest > 0)
-                yield pd.DataFrame({"total": [float(np.where(alone, 0.0, values).sum())], "n": [len(ids)]})
-
-    blocks = max(1, math.ceil(len(sample) / 512))
-    ids = spark.range(0, len(sample), 1, blocks)
-    parts = ids.mapInPandas(score, "total double, n bigint")
-    return parts.agg((F.sum("total") / F.sum("n")).alias("silhouette_score"))
+    points = _points(df, features, label).select(F.col("label").cast("string").alias("label"), "x").where("label IS NOT NULL")
+    score = euclidean_silhouette(points, _cluster_moments(points), rows)
+    return df.sparkSession.range(1).select((F.lit(None) if score is None else score).cast("double").alias("silhouette_score"))
 
 
 def squared_silhouette(df: DataFrame, features: str, label: str) -> DataFrame:

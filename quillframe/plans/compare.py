@@ -339,14 +339,20 @@ def _run_clustering(
 def _clustering_figures(
     labelled: DataFrame, target: str, fitted: Fitted, custom: bool
 ) -> dict[str, float]:
-    """All scores are taken on all rows."""
+    """Scores are taken on all rows. The Euclidean silhouette is that of at most :data:`~quillframe.operators.metrics.SCORE_ROWS` rows, each against all;
+    it and the Davies-Bouldin score are left out where there are too many clusters for them."""
     figures: dict[str, float] = {}
     sizes = M.cluster_count(labelled, PREDICTION).first()
     if custom:
         figures["clusters"] = float(sizes["clusters"])
     if sizes["scorable"]:
-        scores = [M.squared_silhouette] if custom else [M.squared_silhouette, M.calinski_harabasz, M.davies_bouldin]
-        figures.update(_figures(*[score(labelled, FEATURES, PREDICTION) for score in scores]))
+        scores = [M.squared_silhouette] if custom else [M.squared_silhouette, M.calinski_harabasz]
+        if not custom and sizes["clusters"] <= M.MAX_CLUSTERS:
+            scores.append(M.davies_bouldin)
+        tables = [score(labelled, FEATURES, PREDICTION) for score in scores]
+        if sizes["clusters"] <= M.MAX_CLUSTERS:
+            tables.append(M.silhouette(labelled, FEATURES, PREDICTION, rows=M.SCORE_ROWS))
+        figures.update(_figures(*tables))
     if not custom:
         kinds = labelled.agg(F.min(quoted(target)), F.max(quoted(target))).first()
         if kinds[0] is not None and kinds[0] != kinds[1]:

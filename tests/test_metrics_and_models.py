@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillframe import CustomModel, ModelRequest, TableError, compare_models
 from quillframe.operators import metrics as M, models as MO
+from quillframe.operators.silhouette import euclidean_silhouette
 from quillframe.operators.agglomerative import Agglomerative, merge
 from quillframe.operators.comparison import mark_best, relative_bars
 from quillframe.operators.features import FEATURES, RARE, decode_label, encode_label, fit_features, label_order
@@ -118,10 +119,48 @@ def test_full_matrix_refuses_too_many_labels(spark):
     assert M.confusion_counts(df, "a", "p").count() == M.MAX_LABELS + 1
 
 
-def test_silhouette_refuses_more_than_its_sample(spark):
-    df = spark.range(M.SCORE_ROWS + 1).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("k"))
-    with pytest.raises(TableError):
-        M.silhouette(df, ["x"], "k")
+def block_silhouette(x, k):
+    """The mean silhouette of all rows, by numpy over stripes of them."""
+    names, codes, sizes = np.unique(k, return_inverse=True, return_counts=True)
+    order = np.argsort(codes, kind="stable")
+    starts = np.cumsum(sizes) - sizes
+    total = 0.0
+    for at in range(0, len(x), 500):
+        part, squares = x[at : at + 500], (x**2).sum(1)
+        gaps = np.sqrt(np.maximum(squares[at : at + 500, None] + squares[order] - 2 * part @ x[order].T, 0))
+        sums, own = np.add.reduceat(gaps, starts, axis=1), codes[at : at + 500]
+        rows = np.arange(len(own))
+        a = sums[rows, own] / np.maximum(sizes[own] - 1, 1)
+        means = sums / sizes
+        means[rows, own] = np.inf
+        b = means.min(1)
+        total += np.where(sizes[own] == 1, 0, (b - a) / np.maximum(np.maximum(a, b), 1e-300)).sum()
+    return total / len(x)
+
+
+def test_silhouette_of_fifty_thousand_rows(spark):
+    draw = np.random.default_rng(3)
+    n = 50_000
+    k = np.minimum(draw.integers(0, 40, n), draw.integers(0, 40, n))  # clusters of very different sizes
+    k[:2] = 77, 78  # two of one row
+    x = draw.normal(size=(n, 2)) + 4 * draw.normal(size=(80, 2))[k]
+    df = spark.createDataFrame(pd.DataFrame({"x": x[:, 0], "y": x[:, 1], "k": k})).repartition(6)
+    expected = block_silhouette(x, k)
+    assert math.isclose(M.silhouette(df, ["x", "y"], "k").first()[0], expected, rel_tol=1e-7)
+    part = M.silhouette(df, ["x", "y"], "k", rows=10_000).first()[0]
+    assert abs(part - expected) < 0.01 and part == M.silhouette(df.repartition(3), ["x", "y"], "k", rows=10_000).first()[0]
+
+
+def test_silhouette_in_many_small_blocks(spark):
+    draw = np.random.default_rng(4)
+    for width, clusters in ((12, 5), (2, 150)):
+        k = draw.integers(0, clusters, 400)
+        x = np.round(draw.normal(size=(400, width)) + 3 * draw.normal(size=(clusters, width))[k], 1)
+        df = spark.createDataFrame([(row.tolist(), str(c)) for row, c in zip(x, k)] + [([0.0] * width, None)], "x array<double>, label string")
+        points = df.where("label IS NOT NULL")
+        score = euclidean_silhouette(points, M._cluster_moments(points), None, block_rows=16)
+        assert math.isclose(spark.range(1).select(score).first()[0], block_silhouette(x, k), rel_tol=1e-6)
+        assert math.isclose(M.silhouette(df, "x", "label").first()[0], block_silhouette(x, k), rel_tol=1e-6)
 
 
 def test_features(spark):
@@ -280,7 +319,7 @@ def test_comparison_of_clusterings(spark):
     assert run.task == "clustering"
     for model in run.models:
         assert model.metrics["adjusted_rand_index"] == 1.0 and sum(c["size"] for c in model.chart.collect()) == 300
-        assert {"squared_silhouette_score", "calinski_harabasz_score", "davies_bouldin_score"} <= set(model.metrics)
+        assert {"silhouette_score", "squared_silhouette_score", "calinski_harabasz_score", "davies_bouldin_score"} <= set(model.metrics)
     assert "inertia" in run.models[0].metrics and "inertia" not in run.models[1].metrics
 
 
