@@ -2,7 +2,8 @@
 
 ``method="grouped"`` works in two levels at every size: Spark reduces the rows to ``groups`` weighted k-means groups, which
 are merged pair by pair on the driver, and every row gets the cluster of its group. ``method="exact"`` merges the distinct rows
-themselves and refuses tables with more than ``EXACT_ROWS`` of them. The caller chooses; the size of the table does not.
+themselves: for ``single`` linkage any number of them, by a spanning tree (:mod:`quillframe.operators.single_linkage`); the other
+linkages refuse tables with more than ``EXACT_ROWS`` of them. The caller chooses; the size of the table does not.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from quillframe.errors import TableError
+from quillframe.functions.sizing import broadcast_if_small
 from quillframe.operators.features import FEATURES
+from quillframe.operators.single_linkage import single_linkage
 
 GROUPS = 512
 GROUP_ROUNDS = 100
@@ -41,11 +44,22 @@ class Agglomerative:
             raise TableError(f"Unknown method '{self.method}'; choose one of {', '.join(METHODS)}.")
         if self.method == "grouped":
             return self._fit_groups(df, output)
+        if self.linkage == "single":
+            return self._fit_tree(df, output)
         copies = df.groupBy(vector_to_array(FEATURES).alias("_point")).agg(F.count(F.lit(1)).alias("n")).limit(EXACT_ROWS + 1).collect()
         if len(copies) > EXACT_ROWS:
-            raise TableError(f"Exact merging takes at most {EXACT_ROWS} different rows; use method='grouped'.")
+            raise TableError(f"Exact merging takes at most {EXACT_ROWS} different rows unless the linkage is single; use method='grouped'.")
         return self._fit_points(df.sparkSession, copies, output)
 
+    def _fit_tree(self, df: DataFrame, output: str) -> Callable[[DataFrame], DataFrame]:
+        found = single_linkage(df.select(vector_to_array(FEATURES).alias("x")), self.clusters)
+        labels = broadcast_if_small(found.select(F.col("x").alias("_point"), F.col("cluster").alias(output)))
+
+        def label(df: DataFrame) -> DataFrame:
+            return df.join(labels, vector_to_array(FEATURES) == F.col("_point"), "left").drop("_point")
+
+        return label
+
     def _fit_points(self, spark: SparkSession, copies: list[Row], output: str) -> Callable[[DataFrame], DataFrame]:
         copies = sorted(copies, key=lambda row: row["_point"])
         final = merge([row["_point"] for row in copies], [row["n"] for row in copies], self.clusters, self.linkage)
