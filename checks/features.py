@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.registry import GAPPED, below, draw, gapped_events, query, table
-from quillframe.operators.features import FEATURES, encode_label, fit_features, label_order
+from quillframe.operators.features import FEATURES, decode_numbered, encode_numbered, fit_features, number_labels
 from quillframe.operators.sampling import random_split, split_parts
 
 _TRAIN = f"{draw('event_id')} < {below(70)}"
@@ -69,7 +69,16 @@ def one_hot_with_rare(spark, folder):
 )
 def label_numbers(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
-    return encode_label(orders, "o_orderpriority", label_order(orders, "o_orderpriority")).select("o_orderkey", "label")
+    return encode_numbered(orders, "o_orderpriority", number_labels(orders, "o_orderpriority")).select("o_orderkey", "label")
+
+
+@query("SELECT o_orderkey, (dense_rank() OVER (ORDER BY concat('c', o_orderkey * 7919 % 1000003)) - 1)::DOUBLE AS label FROM orders")
+def numbers_of_many_labels(spark, folder):
+    """A class for each order, numbered and put back."""
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey", "concat('c', o_orderkey * 7919 % 1000003) AS class")
+    numbers = number_labels(orders, "class")
+    known = decode_numbered(encode_numbered(orders, "class", numbers), "label", numbers, "again").where("again = class")
+    return known.select("o_orderkey", "label")
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.registry import below, draw, query, table
 from quillframe.operators.features import fit_features
 from quillframe.operators.models import CustomModel, fit_custom, fit_model, parameters
+from quillframe.operators.single_linkage import single_linkage
 from quillframe.operators.sampling import random_split, split_parts
 from quillframe.plans.compare import ModelRequest, compare_models
 
@@ -155,6 +156,23 @@ def agglomerative_exact(spark, folder):
     return _recovered(spark, folder, "agglomerative_clustering", {"method": "exact"}, "(o_orderkey % 3) * 100 + o_custkey % 7 AS x")
 
 
+@query(_GROUPS)
+def agglomerative_single_exact(spark, folder):
+    """Every order is a different row; all of them are merged."""
+    return _recovered(spark, folder, "agglomerative_clustering", {"linkage": "single", "method": "exact"})
+
+
+@query("""
+WITH prices AS (SELECT DISTINCT o_totalprice AS x FROM orders), gaps AS (SELECT x, x - lag(x) OVER (ORDER BY x) AS gap FROM prices),
+cuts AS (SELECT x FROM gaps ORDER BY gap DESC NULLS LAST, x DESC LIMIT 4)
+SELECT o_orderkey, (SELECT count(*) FROM cuts WHERE cuts.x <= o_totalprice)::INT AS cluster FROM orders
+""")
+def cut_at_largest_gaps(spark, folder):
+    """On one coordinate single linkage cuts at the largest gaps."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.array("o_totalprice").alias("x"))
+    return orders.join(single_linkage(orders, 5), "x").select("o_orderkey", "cluster")
+
+
 @query(_TEST_CONFUSION)
 def custom_model(spark, folder):
     """A caller's estimator, on the same split and features as the built-in ones."""
@@ -165,7 +183,7 @@ def custom_model(spark, folder):
 @query(
     " UNION ALL ".join(
         f"SELECT '{name}' AS model, count(*) AS rows_used, 1.0::DOUBLE AS rand, TRUE AS apart, {figures}::BIGINT AS metrics FROM orders"
-        for name, figures in (("K-Means", 5), ("Agglomerative Clustering", 4))
+        for name, figures in (("K-Means", 6), ("Agglomerative Clustering", 5))
     )
 )
 def compared_clusterings(spark, folder):
@@ -173,7 +191,7 @@ def compared_clusterings(spark, folder):
     rows = _grouped(spark, folder)
     run = compare_models(rows, "planted", ["kmeans", "agglomerative_clustering"], columns=["x", "y"], key=["o_orderkey"])
     found = [
-        (m.name, m.rows_used, m.metrics["adjusted_rand_index"], m.metrics["squared_silhouette_score"] > 0.99 and m.metrics["davies_bouldin_score"] < 0.2, len(m.metrics))
+        (m.name, m.rows_used, m.metrics["adjusted_rand_index"], m.metrics["squared_silhouette_score"] > 0.99 and m.metrics["silhouette_score"] > 0.9 and m.metrics["davies_bouldin_score"] < 0.2, len(m.metrics))
         for m in run.models
     ]
     return spark.createDataFrame(found, "model string, rows_used bigint, rand double, apart boolean, metrics bigint")

@@ -12,10 +12,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillframe.errors import TableError
-from quillframe.functions.sizing import broadcast_if_small, settle
+from quillframe.functions.sizing import broadcast_if_small, settle, store
 from quillframe.functions.types import as_number, data_type, is_number, quoted
 from quillframe.operators.frequency import facts_and_top
 from quillframe.operators.quantiles import exact_quantiles
@@ -138,8 +138,41 @@ def _fit_categorical(train: DataFrame, names: list[str]) -> tuple[list[CategoryF
     return features, known
 
 
+def number_labels(df: DataFrame, label: str) -> DataFrame:
+    """``text, number``: the classes of a label column by text, numbered from 0 in alphabetical order. The result is stored.
+
+    The different texts are sorted by range of the alphabet, each range in a task of its own; counts of the ranges before give every
+    range its first number, so that no task and no driver sees all classes.
+    """
+    texts = df.where(quoted(label).isNotNull()).select(quoted(label).cast("string").alias("text")).distinct()
+    ranges = texts.repartitionByRange("text").sortWithinPartitions("text")
+    # the place in the table: the number of the range in the upper bits, that of the row in it in the lower 33
+    placed = store(ranges.select("text", F.monotonically_increasing_id().alias("place")))
+    part = F.shiftright("place", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    firsts = settle(sizes.select("part", before.alias("first")))  # one row per range
+    within = F.col("place").bitwiseAND((1 << 33) - 1)
+    numbered = placed.join(F.broadcast(firsts), part == F.col("part"))
+    return store(numbered.select("text", (F.col("first") + within).alias("number")))
+
+
+def encode_numbered(df: DataFrame, label: str, numbers: DataFrame, output: str = "label") -> DataFrame:
+    """Add the class number of a label as a double from :func:`number_labels`; NULL for a class that is not there."""
+    keys = numbers.select(F.col("text").alias(_TEXT), F.col("number").cast("double").alias(_NUMBER))
+    joined = df.join(broadcast_if_small(keys), quoted(label).cast("string") == F.col(_TEXT), "left")
+    return joined.withColumn(output, F.col(_NUMBER)).drop(_TEXT, _NUMBER)
+
+
+def decode_numbered(df: DataFrame, number: str, numbers: DataFrame, output: str) -> DataFrame:
+    """Add the class text of a class number."""
+    keys = numbers.select(F.col("text").alias(_TEXT), F.col("number").cast("double").alias(_NUMBER))
+    joined = df.join(broadcast_if_small(keys), quoted(number).cast("double") == F.col(_NUMBER), "left")
+    return joined.withColumn(output, F.col(_TEXT)).drop(_TEXT, _NUMBER)
+
+
 def label_order(df: DataFrame, label: str) -> list[str]:
-    """The classes of a label column by text, in alphabetical order: the position is the class number."""
+    """For models, which hold a name for each class on the driver themselves: the classes of a label column by text, in alphabetical order: the position is the class number."""
     rows = df.where(quoted(label).isNotNull()).select(quoted(label).cast("string").alias("text")).distinct()
     return sorted(row["text"] for row in rows.collect())
 

@@ -34,7 +34,6 @@ BUDGET_ALIASES = {"sample": "economy", "chunked": "balanced"}
 _HASH = "_draw_hash"
 _BUCKET = "_draw_bucket"
 _DIGEST = "_draw_digest"
-_BUCKET_ROWS = 4096
 _RANKED_ROWS = 65_536  # rows of the bucket that is ranked in one task, unless whole hashes agree
 _STEP = 4  # hash digits looked at together: 65,536 counters at most
 
@@ -214,12 +213,6 @@ def _order(df: DataFrame, ties: Sequence[str]) -> Column:
     return F.struct(F.col(_HASH), *[quoted(name) for name in ties])
 
 
-def _bucket(rows: int) -> Column:
-    """Leading hash digits, so many that a bucket holds about ``_BUCKET_ROWS`` rows; a million buckets at most."""
-    bits = (rows // _BUCKET_ROWS).bit_length()
-    return F.substring(F.col(_HASH), 1, min(5, max(2, -(-bits // 4))))
-
-
 def _cut(hashed: DataFrame, take: int, total: int, ties: Sequence[str]) -> _Cut:
     found, inside, owed = "", total, take
     while inside > _RANKED_ROWS and len(found) < 32:
@@ -249,15 +242,26 @@ def _class_quotas(sizes: ClassSizes, pct: int) -> DataFrame:
 def _class_cuts(
     hashed: DataFrame, label: str, sizes: ClassSizes, quota: DataFrame, ties: Sequence[str]
 ) -> DataFrame:
-    """``_class, _cut``: the last training row of each class that has any."""
-    bucket = _bucket(sizes.largest)
-    rows = hashed.select(quoted(label).alias("_class"), _order(hashed, ties).alias("_row"), bucket.alias(_BUCKET))
-    counts = rows.groupBy("_class", _BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("_class").orderBy(_BUCKET))
-    running = counts.withColumn("upto", upto).join(sizes.near(quota), "_class")
-    at = running.where((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
-    cut_buckets = at.select("_class", _BUCKET, (F.col("take") - (F.col("upto") - F.col("n"))).alias("owed"))
-    candidates = rows.join(sizes.near(cut_buckets), ["_class", _BUCKET])
+    """``_class, _cut``: the last training row of each class that has any.
+
+    For all classes at once: hashes are counted by some digits more each round, within the bucket that holds the cut of its class, until no such
+    bucket has more than ``_RANKED_ROWS`` rows. Only those few are ranked, however large a class is.
+    """
+    rows = hashed.select(quoted(label).alias("_class"), F.col(_HASH), _order(hashed, ties).alias("_row"))
+    whole = sizes.table.select("_class", F.col("rows").alias("inside")).join(sizes.near(quota), "_class").where("take > 0")
+    state = settle(whole.select("_class", F.lit("").alias("found"), "inside", F.col("take").alias("owed")))
+    large = F.col("inside") > _RANKED_ROWS
+    digits = 0
+    while digits < 32 and not state.where(large).isEmpty():
+        digits += _STEP
+        open_ = state.where(large).select("_class", "found", "owed")
+        within = rows.join(sizes.near(open_), "_class").where(F.col(_HASH).startswith(F.col("found")))
+        counts = within.groupBy("_class", "owed", F.substring(_HASH, 1, digits).alias(_BUCKET)).agg(F.count(F.lit(1)).alias("inside"))
+        upto = counts.withColumn("upto", F.sum("inside").over(Window.partitionBy("_class").orderBy(_BUCKET)))
+        at = upto.where((F.col("upto") >= F.col("owed")) & (F.col("upto") - F.col("inside") < F.col("owed")))
+        narrowed = at.select("_class", F.col(_BUCKET).alias("found"), "inside", (F.col("owed") - (F.col("upto") - F.col("inside"))).alias("owed"))
+        state = settle(state.where(~large).unionByName(narrowed))
+    candidates = rows.join(sizes.near(state), "_class").where(F.col(_HASH).startswith(F.col("found")))
     copies = candidates.groupBy("_class", "_row", "owed").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("_class").orderBy("_row"))
     last = copies.withColumn("upto", upto).where((F.col("upto") >= F.col("owed")) & (F.col("upto") - F.col("n") < F.col("owed")))
