@@ -193,12 +193,18 @@ def detected_tasks(spark, folder):
     return first
 
 
+_KINDS = (("event_id", "numeric"), ("ts", "categorical"), ("user_id", "numeric"), ("event_type", "categorical"), ("value", "numeric"))
+
+
 @query(
-    "SELECT column_name AS \"column\", (ordinal_position - 1)::INT AS ordinal, CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'BOOLEAN') "
-    "THEN 'numeric' ELSE 'categorical' END AS kind FROM (SELECT name AS column_name, cid + 1 AS ordinal_position, type AS data_type FROM pragma_table_info('lineitem'))"
+    f"WITH {GAPPED} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", {i} AS ordinal, '{kind}' AS kind, count({name}) AS present FROM gapped HAVING count({name}) > 0" for i, (name, kind) in enumerate(_KINDS)
+    )
 )
 def feature_kinds(spark, folder):
-    return P.feature_types(table(spark, folder, "lineitem"))
+    """The columns with any value; one without is left out."""
+    return P.usable_features(gapped_events(spark, folder).withColumn("empty", F.lit(None).cast("string")))
 
 
 @query(

@@ -184,6 +184,7 @@ def _fit_tree(params, train: DataFrame, rows: int, seed: int) -> Fitted:
 def _fit_logistic(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     """The penalty is spread over the rows, as Spark minimises a mean and C weighs a sum."""
     _refuse(params, "class_weight", ("none", None, "balanced"))
+    _refuse(params, "solver", ("lbfgs",))
     model = LogisticRegression(
         featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION, elasticNetParam=0.0, standardization=False,
         regParam=1.0 / (float(params["C"]) * rows), maxIter=int(params["max_iter"]), tol=float(params["tol"]),

@@ -176,6 +176,14 @@ def _task(numeric: Column, present: Column, distinct: Column) -> Column:
     return F.when(distinct < 2, "unknown").when(classes, "classification").otherwise("regression")
 
 
+def usable_features(df: DataFrame) -> DataFrame:
+    """:func:`feature_types` of the columns that have any value, with ``present``, the number of rows that have one."""
+    present = df.agg(*[F.count(quoted(n)).alias(f"c{i}") for i, n in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.col(f"c{i}").alias("present")) for i in range(len(df.columns))])
+    counted = present.select(F.inline(rows)).where("present > 0")
+    return counted.join(F.broadcast(feature_types(df)), "ordinal").select("column", "ordinal", "kind", "present")  # one row per column
+
+
 def feature_types(df: DataFrame) -> DataFrame:
     """``column, ordinal, kind``: numeric or categorical."""
     numeric = set(number_columns(df))

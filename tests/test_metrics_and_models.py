@@ -372,6 +372,12 @@ def test_squared_silhouette_against_all_pairs(spark):
     assert ready and abs(M.squared_silhouette(held, "features", "k").first()[0] - np.mean(values)) < 1e-6
 
 
+def test_other_solvers_are_refused(spark):
+    df = spark.createDataFrame([(array, float(i % 2)) for i, array in enumerate([[0.0], [1.0]] * 10)], "a array<double>, label double").select(array_to_vector("a").alias(FEATURES), "label")
+    with pytest.raises(TableError, match="solver"):
+        MO.fit_model("logistic_regression", MO.parameters("logistic_regression", {"solver": "saga"}), df, 20, 1)
+
+
 def test_unlimited_depth_is_refused(spark):
     df = spark.range(40).select("id", (F.col("id") % 10).alias("x"), (F.col("id") % 2).cast("string").alias("y"))
     with pytest.raises(TableError):
