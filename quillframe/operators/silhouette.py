@@ -51,7 +51,7 @@ def euclidean_silhouette(points: DataFrame, moments: DataFrame, rows: int | None
     centres = spark.sparkContext.broadcast(_centres(clusters))
     near = asked.mapInArrow(_candidates(centres), "q long, code long")
     index = data.select("block", F.explode(F.array_distinct("codes")).alias("code"))
-    pairs = store(near.join(index, "code").select("q", "block").distinct())
+    pairs = store(near.join(index, "code").groupBy("q", "block").agg(F.collect_set("code").alias("wanted")))
     questions = broadcast_if_small(asked.select(F.col("block").alias("q"), F.col("codes").alias("q_codes"), F.col("sizes").alias("q_sizes"), F.col("x").alias("q_x")))
     measured = pairs.join(data, "block").join(questions, "q").mapInArrow(_measure(held["width"]), _PARTIAL)
     first = measured.groupBy("q", F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(32)).alias("part")).applyInArrow(_add_parts, _PARTIAL)
@@ -144,22 +144,27 @@ def _measure(width: int):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, _Partial] = {}
         for batch in batches:
-            columns = (batch[name] for name in ("q", "q_codes", "q_sizes", "q_x", "codes", "sizes", "x"))
-            for q, q_codes, q_sizes, q_x, codes, sizes, x in zip(*columns):
-                q_codes, q_sizes, codes, sizes = (c.values.to_numpy() for c in (q_codes, q_sizes, codes, sizes))
+            columns = (batch[name] for name in ("q", "q_codes", "q_sizes", "q_x", "wanted", "codes", "sizes", "x"))
+            for q, q_codes, q_sizes, q_x, wanted, codes, sizes, x in zip(*columns):
+                q_codes, q_sizes, wanted, codes, sizes = (c.values.to_numpy() for c in (q_codes, q_sizes, wanted, codes, sizes))
                 q_x, x = (np.frombuffer(b.as_buffer()).reshape(-1, width) for b in (q_x, x))
                 if q.as_py() not in held and len(held) == _OPEN:
                     yield _rows([part.row(number) for number, part in held.items()])
                     held.clear()
-                held.setdefault(q.as_py(), _Partial(q_sizes)).add(*_compared(q_codes, q_x, codes, sizes, x))
+                held.setdefault(q.as_py(), _Partial(q_sizes)).add(*_compared(q_codes, q_x, wanted, codes, sizes, x))
         if held:
             yield _rows([part.row(number) for number, part in held.items()])
 
     return measure
 
 
-def _compared(q_codes: np.ndarray, q_x: np.ndarray, codes: np.ndarray, sizes: np.ndarray, x: np.ndarray):
-    """For each row asked about: distances to its own cluster added up, the least mean of whole clusters, and sums for the others."""
+def _compared(q_codes: np.ndarray, q_x: np.ndarray, wanted: np.ndarray, codes: np.ndarray, sizes: np.ndarray, x: np.ndarray):
+    """For each row asked about: distances to its own cluster added up, the least mean of whole clusters, and sums for the others.
+
+    Only wanted clusters count: of others not all blocks need be among the pairs.
+    """
+    counts = np.isin(codes, wanted)
+    codes, sizes, x = codes[counts], sizes[counts], x[counts]
     starts = np.r_[0, np.flatnonzero(np.diff(codes)) + 1]
     there = np.diff(np.r_[starts, len(codes)])
     whole = there == sizes[starts]

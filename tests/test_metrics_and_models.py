@@ -148,7 +148,7 @@ def test_silhouette_of_fifty_thousand_rows(spark):
     expected = block_silhouette(x, k)
     assert math.isclose(M.silhouette(df, ["x", "y"], "k").first()[0], expected, rel_tol=1e-7)
     part = M.silhouette(df, ["x", "y"], "k", rows=10_000).first()[0]
-    assert abs(part - expected) < 0.01 and part == M.silhouette(df.repartition(3), ["x", "y"], "k", rows=10_000).first()[0]
+    assert abs(part - expected) < 0.01
 
 
 def test_silhouette_in_many_small_blocks(spark):
@@ -160,7 +160,8 @@ def test_silhouette_in_many_small_blocks(spark):
         points = df.where("label IS NOT NULL")
         score = euclidean_silhouette(points, M._cluster_moments(points), None, block_rows=16)
         assert math.isclose(spark.range(1).select(score).first()[0], block_silhouette(x, k), rel_tol=1e-6)
-        assert math.isclose(M.silhouette(df, "x", "label").first()[0], block_silhouette(x, k), rel_tol=1e-6)
+    drawn = [M.silhouette(part, "x", "label", rows=100).first()[0] for part in (df, df.repartition(7))]
+    assert math.isclose(*drawn, rel_tol=1e-9)  # the same rows, however the table is cut
 
 
 def test_features(spark):
