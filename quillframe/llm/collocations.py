@@ -4,7 +4,7 @@
    list of words, with breaks between pieces. They are written once, so that shards stay the same in all later steps.
 2. *Mining.* For phrases of one word, then two, three and four, each shard is mined completely at the support ``ceil(min_count * its
    share of the language's words)``. A phrase with ``min_count`` occurrences reaches that in some shard. Spark adds up hashed
-   local counts; where a shard does not report a phrase it can hold at most its local support less one. Phrases whose sum and this
+   local counts, bucket by bucket; where a shard does not report a phrase it can hold at most its local support less one. Phrases whose sum and this
    slack stay below ``min_count`` are out. The hashes of the others, the union of the locally frequent, go into a bit table of fixed
    size. A longer phrase is mined only where both its shorter parts are in the table. Collisions let in too many, never too few.
 3. *Counting.* All candidates are counted in all shards by their words, exactly; those below ``min_count`` go.
@@ -19,15 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from quillframe.functions.sizing import store
+from quillframe.functions.sizing import settle, store
 from quillframe.llm.common import arrow_schema, column, slices
 
 LONGEST = 4  # words of a phrase
 _BREAK = -1
 _TABLE_BITS = 27  # of the table of candidates: 16 MB, at every size of the input
-_SEGMENT_BITS = 16
+_SEGMENT_BITS = 19
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 
 
@@ -55,12 +56,12 @@ class _Shard:
         self.words += len(words)
 
     def row(self, lang: str) -> dict:
-        return {"lang": lang, "words": self.words, "ids": np.concatenate(self.parts), "vocabulary": [word.decode() for word in self.numbers]}
+        return {"lang": lang, "words": self.words, "ids": np.concatenate(self.parts).tobytes(), "vocabulary": b"\n".join(self.numbers)}
 
 
+# Numbers (32 bits each) and words (one a line) are bytes to Spark, which only hands them on.
 _SHARDS = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("words", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
-    T.StructField("vocabulary", T.ArrayType(T.StringType())),
+    T.StructField("lang", T.StringType()), T.StructField("words", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("vocabulary", T.BinaryType()),
 ])
 
 
@@ -95,11 +96,11 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
-def _word_hashes(lang: str, words: list[str]) -> np.ndarray:
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     import xxhash
 
     seed = xxhash.xxh64_intdigest(lang.encode()) & 0x7FFFFFFF
-    return np.array([xxhash.xxh64_intdigest(word.encode(), seed) for word in words], np.uint64)
+    return np.array([xxhash.xxh64_intdigest(word, seed) for word in words], np.uint64)
 
 
 def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -113,7 +114,7 @@ class _Phrases:
     ``starts`` are places of phrases in the shard's word numbers, ``ends`` of their last words, ``hashes`` their hashes.
     """
 
-    def __init__(self, lang: str, ids: np.ndarray, vocabulary: list[str]):
+    def __init__(self, lang: str, ids: np.ndarray, vocabulary: list[bytes]):
         self.ids = ids
         self.of_word = _word_hashes(lang, vocabulary)
         self.starts = np.flatnonzero(ids != _BREAK)
@@ -136,71 +137,102 @@ def _contains(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-_COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("hash", T.LongType()), T.StructField("n", T.LongType())])
+_MINED = T.StructType([
+    T.StructField("bucket", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("hashes", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+])
 
 
-def _mine(shards: DataFrame, length: int, tables, totals, min_count: int) -> DataFrame:
-    """Locally frequent phrases of one length: ``lang, hash`` and their local count."""
+def _mine(shards: DataFrame, length: int, table, totals, min_count: int, bits: int) -> DataFrame:
+    """Locally frequent phrases of one length, hashes and counts, in buckets by the leading ``bits`` of their hash."""
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, ids, vocabulary in _rows(batches):
             phrases = _Phrases(lang, ids, vocabulary)
-            for k in range(1, length):
-                phrases.keep(tables[k - 1].value)
+            for _ in range(1, length):
+                phrases.keep(table.value)
                 phrases.lengthen()
             hashes, counts = np.unique(phrases.hashes, return_counts=True)
-            frequent = counts >= _support(words, totals.value[lang], min_count)
-            hashes, counts = hashes[frequent], counts[frequent]
-            columns = [pa.array([lang] * len(hashes), pa.string()), pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(_COUNTS))
-
-    return shards.mapInArrow(mine, _COUNTS)
+            frequent = counts >= _support(words, totals.value[lang][0], min_count)
+            hashes, counts = hashes[frequent], counts[frequent].astype(np.uint32)
+            buckets, starts = np.unique((hashes >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
+            cuts = np.r_[starts, len(hashes)].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(buckets), pa.array([lang] * len(buckets), pa.string()), _slices(hashes, cuts), _slices(counts, cuts),
+            ], schema=arrow_schema(_MINED))
 
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.ndarray, list[str]]]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {name: batch[name][i] for name in ("lang", "words", "ids", "vocabulary")}
-            yield row["lang"].as_py(), row["words"].as_py(), row["ids"].values.to_numpy(), row["vocabulary"].as_py()
+    return shards.mapInArrow(mine, _MINED)
 
 
-def _support(words: int, total: int, min_count: int) -> int:
-    return -(-min_count * words // total)
+def _slices(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of neighbouring parts of an array, one value each."""
+    offsets = pa.py_buffer((cuts * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(values)])
 
 
-def _table_of(spark, hashes: DataFrame) -> np.ndarray:
-    """The bit table of hashes. Bits are put together per segment in Spark; what arrives here has a fixed size."""
-    place = F.shiftrightunsigned("hash", 64 - _TABLE_BITS)
-    bits = hashes.select(F.shiftright(place, _SEGMENT_BITS).alias("segment"), place.bitwiseAND((1 << _SEGMENT_BITS) - 1).alias("bit")).distinct()
-    schema = T.StructType([T.StructField("segment", T.LongType()), T.StructField("bits", T.BinaryType())])
+def _union(mined: DataFrame, totals, min_count: int) -> np.ndarray:
+    """The bit table of phrases that may be frequent: local counts and the slack of their language reach ``min_count``.
 
-    def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    A bucket holds some hundred thousand hashes at every size of the input. Bits are put together per segment in Spark; what arrives
+    here has a fixed size.
+    """
+    schema = T.StructType([T.StructField("segment", T.LongType()), T.StructField("places", T.BinaryType())])
+
+    def add(rows: pa.Table) -> pa.Table:
+        found = []
+        for lang in pc.unique(rows["lang"]).to_pylist():
+            of = rows.filter(pc.equal(rows["lang"], lang))
+            hashes = np.concatenate([np.frombuffer(part.as_buffer(), np.uint64) for part in of["hashes"]])
+            counts = np.concatenate([np.frombuffer(part.as_buffer(), np.uint32) for part in of["counts"]])
+            different, numbers = np.unique(hashes, return_inverse=True)
+            sums = np.zeros(len(different), np.int64)
+            np.add.at(sums, numbers, counts.astype(np.int64))
+            found.append(different[sums + totals.value[lang][1] >= min_count])
+        places = np.unique(np.concatenate(found) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+        if not len(places):
+            return pa.table({"segment": pa.array([], pa.int64()), "places": pa.array([], pa.binary())})
+        # the leading bits of a bucket name its segment
+        return pa.table({"segment": pa.array([int(places[0]) >> _SEGMENT_BITS], pa.int64()), "places": pa.array([(places & ((1 << _SEGMENT_BITS) - 1)).astype(np.uint32).tobytes()])})
+
+    def pack(rows: pa.Table) -> pa.Table:
         flags = np.zeros(1 << _SEGMENT_BITS, np.uint8)
-        flags[rows["bit"].to_numpy()] = 1
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+        for part in rows["places"]:
+            flags[np.frombuffer(part.as_buffer(), np.uint32)] = 1
+        return pa.table({"segment": rows["segment"].slice(0, 1), "places": pa.array([np.packbits(flags, bitorder="little").tobytes()])})
 
     table = np.zeros(1 << (_TABLE_BITS - 3), np.uint8)
     size = 1 << (_SEGMENT_BITS - 3)
-    for row in bits.groupBy("segment").applyInArrow(pack, schema).collect():
-        table[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    for row in mined.groupBy("bucket").applyInArrow(add, schema).groupBy("segment").applyInArrow(pack, schema).collect():
+        table[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["places"], np.uint8)
     return table
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.ndarray, list[bytes]]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lang, words, ids, vocabulary = (batch[name][i] for name in ("lang", "words", "ids", "vocabulary"))
+            yield lang.as_py(), words.as_py(), np.frombuffer(ids.as_buffer(), np.int32), vocabulary.as_py().split(b"\n")
+            pa.default_memory_pool().release_unused()
+
+
+def _support(words: int, total: int, min_count: int) -> int:
+    return -(-min_count * words // total)
+
+
 _PHRASES = T.StructType([T.StructField("lang", T.StringType()), T.StructField("words", T.ByteType()), T.StructField("phrase", T.StringType()), T.StructField("n", T.LongType())])
 
 
-def _counted(shards: DataFrame, tables) -> DataFrame:
+def _counted(shards: DataFrame, table) -> DataFrame:
     """Exact counts of all candidates in each shard, by their words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, _, ids, vocabulary in _rows(batches):
             phrases = _Phrases(lang, ids, vocabulary)
-            words = np.array(vocabulary, object)
+            words = np.array([word.decode() for word in vocabulary], object)
             # of each place: the number of the phrase that begins there, among the different phrases of this length
             for length in range(1, LONGEST + 1):
                 if length > 1:
                     phrases.lengthen()
-                phrases.keep(tables[length - 1].value)
+                phrases.keep(table.value)
                 if not len(phrases.starts):
                     break
                 last = ids[phrases.starts + length - 1].astype(np.int64)
@@ -217,29 +249,31 @@ def _counted(shards: DataFrame, tables) -> DataFrame:
     return shards.mapInArrow(count, _PHRASES)
 
 
-def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int = 1 << 19) -> tuple[DataFrame, DataFrame]:
     """``lang, words, phrase, n`` of every phrase of one to four words with ``min_count`` occurrences, and ``lang, n`` of all words.
 
     The counts are exact for any ``min_count`` of at least one and any size of shards. Both tables are stored.
     """
     spark = docs.sparkSession
     shards = store(_shards(docs, shard_words))
-    sums = shards.groupBy("lang").agg(F.sum("words").alias("n"))
-    totals = sums.select("lang", "n")
-    known = spark.sparkContext.broadcast({row["lang"]: row["n"] for row in totals.collect()})  # one number per language
+    totals = settle(shards.groupBy("lang").agg(F.sum("words").alias("n")))
     support = F.ceil(F.lit(min_count).cast("decimal(38,0)") * F.col("words") / F.col("n")).cast("bigint")
-    slack = shards.select("lang", "words").join(F.broadcast(totals), "lang").groupBy("lang").agg(F.sum(support - 1).alias("slack"))
-    slack = F.broadcast(slack)  # one row per language
-    tables = []
+    slack = shards.select("lang", "words").join(F.broadcast(totals), "lang").groupBy("lang").agg(F.first("n").alias("n"), F.sum(support - 1).alias("slack"))
+    known = {row["lang"]: (row["n"], row["slack"]) for row in slack.collect()}  # two numbers per language
+    bits = max(_TABLE_BITS - _SEGMENT_BITS, (sum(n for n, _ in known.values()) >> 18).bit_length())
+    shipped = spark.sparkContext.broadcast(known)
+    flags, table = np.zeros(1 << (_TABLE_BITS - 3), np.uint8), None
     for length in range(1, LONGEST + 1):
-        mined = _mine(shards, length, tuple(tables), known, min_count)
-        union = mined.groupBy("lang", "hash").agg(F.sum("n").alias("n")).join(slack, "lang").where(F.col("n") + F.col("slack") >= min_count)
-        tables.append(spark.sparkContext.broadcast(_table_of(spark, union.select("hash"))))
-    counted = _counted(shards, tuple(tables)).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    return store(counted), store(totals)
+        mined = _mine(shards, length, table, shipped, min_count, bits)
+        flags |= _union(mined, shipped, min_count)  # the hash of a phrase depends on its length, so one table serves all
+        if table is not None:
+            table.unpersist()
+        table = spark.sparkContext.broadcast(flags)
+    counted = _counted(shards, table).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    return store(counted), totals
 
 
-def mine_collocations(docs: DataFrame, *, min_count: int = 30, covered_percent: int = 80, top: int = 2000, shard_words: int = 1 << 21) -> DataFrame:
+def mine_collocations(docs: DataFrame, *, min_count: int = 30, covered_percent: int = 80, top: int = 2000, shard_words: int = 1 << 19) -> DataFrame:
     """The best collocations of each language: ``lang, rank, phrase, a, l, r, n, score``.
 
     Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line breaks, and pieces into words at spaces and tabs. Candidates are
