@@ -249,7 +249,7 @@ def _counted(shards: DataFrame, table) -> DataFrame:
     return shards.mapInArrow(count, _PHRASES)
 
 
-def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int = 1 << 19) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
     """``lang, words, phrase, n`` of every phrase of one to four words with ``min_count`` occurrences, and ``lang, n`` of all words.
 
     The counts are exact for any ``min_count`` of at least one and any size of shards. Both tables are stored.
@@ -273,7 +273,7 @@ def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int =
     return store(counted), totals
 
 
-def mine_collocations(docs: DataFrame, *, min_count: int = 30, covered_percent: int = 80, top: int = 2000, shard_words: int = 1 << 19) -> DataFrame:
+def mine_collocations(docs: DataFrame, *, min_count: int = 30, covered_percent: int = 80, top: int = 2000, shard_words: int = 1 << 18) -> DataFrame:
     """The best collocations of each language: ``lang, rank, phrase, a, l, r, n, score``.
 
     Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line breaks, and pieces into words at spaces and tabs. Candidates are
