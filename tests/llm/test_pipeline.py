@@ -88,4 +88,4 @@ def test_run_and_registration(spark, folder):
 
     assert corpus_pipeline.run(spark, folder).count() > 0
     numbered = [name for name in entry.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in numbered) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(name[2:].split("_")[0]) for name in numbered) == list(range(1, 14)) and "pipeline" in entry.queries()
