@@ -5,7 +5,7 @@ import pytest
 
 from quillframe import TableError
 from quillframe.operators.agglomerative import merge
-from quillframe.operators.single_linkage import single_linkage, spanning_tree
+from quillframe.operators.single_linkage import _across, _blocks, closest_pair, single_linkage, spanning_tree
 
 
 def partition(labels):
@@ -48,3 +48,24 @@ def test_one_cluster_and_too_few_rows(spark):
 def test_tree_of_a_few_points():
     assert sorted(spanning_tree(np.array([[0.0], [5.0], [1.0]]))) == [(1.0, 0, 2), (4.0, 2, 1)]
     assert spanning_tree(np.array([[0.0]])) == []
+
+
+def test_long_parallel_lines_compare_few_points(spark):
+    """Blocks that reach from one line to the next must not be compared with all others; few edges leave the blocks."""
+    draw = np.random.default_rng(3)
+    x = np.concatenate([np.c_[np.sort(draw.random(3000)), np.full(3000, float(y))] for y in (0, 1, 2, 50, 51)])
+    held = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id long, x array<double>").repartition(4)
+    blocks = _blocks(held, len(x), 64).cache()
+    edges = _across(blocks).count()
+    blocks.unpersist()
+    assert edges < 3 * len(x) / 10  # before, each reaching block brought edges to all blocks of both lines
+    labels = found(spark, x, 2, block_rows=64)
+    assert labels == [0] * 9000 + [1] * 6000
+
+
+def test_closest_pair_is_that_of_all_pairs():
+    draw = np.random.default_rng(5)
+    for a, b in ((draw.random((700, 3)), draw.random((900, 3)) + [0.9, 0, 0]), (np.c_[draw.random(800), np.zeros(800)], np.c_[draw.random(600), np.ones(600)])):
+        gaps = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+        d, i, j = closest_pair(a, b)
+        assert d == pytest.approx(gaps.min(), abs=1e-12) and gaps[i, j] == pytest.approx(d, abs=1e-12)
