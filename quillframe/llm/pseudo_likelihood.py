@@ -2,7 +2,7 @@
 
 A small network reads the two tokens on either side of a position and gives the probability of the token between them.
 The summed log-probability of all tokens of a document, each masked in turn, is its score. The vocabulary comes from word counts
-over the whole corpus. Training passes over every document once: in each round the tasks train on their share of the round's
+over the whole corpus. Training passes over every position of every document once: in each round the tasks train on their share of the round's
 documents from the same parameters, which are then averaged by a tree of grouped sums.
 """
 
@@ -25,11 +25,11 @@ CLASSES = 32
 FREQUENT, RARE = 768, 256  # words with a token of their own, and tokens that all others share by their endings
 TOKENS = FREQUENT + RARE
 WIDTH, HIDDEN = 16, 32
-EVERY = 4  # one in so many positions of each document is trained on, from an offset drawn for the document
 BATCH = 2048
-BLOCK = 1 << 15
+BLOCK = 1 << 13
 GROUP = 32  # parameter sets that are summed in one task
 FLUSH = 100_000
+REMEMBERED = 1 << 17  # words whose token a task remembers
 
 SHAPES = {
     "embed": (TOKENS + 1, WIDTH), "mix": (2 * SIDE * WIDTH, HIDDEN), "mix_bias": (HIDDEN,), "of_class": (HIDDEN, CLASSES), "class_bias": (CLASSES,),
@@ -55,10 +55,20 @@ def words(text: str) -> list[str]:
     return text.lower().split()
 
 
+class _Tokens(dict):
+    """The tokens of words, starting from those of the vocabulary. Others are remembered once they have been worked out."""
+
+    def __missing__(self, word: str) -> int:
+        token = FREQUENT + zlib.crc32(word[-3:].encode("utf-8", "surrogatepass")) % RARE
+        if len(self) < REMEMBERED:
+            self[word] = token
+        return token
+
+
 def encode(text: str, vocabulary: dict[str, int]) -> np.ndarray:
     """The tokens of a text. Class and place within the class are the token's remainder and quotient by ``CLASSES``."""
-    known = vocabulary.get
-    return np.array([t if (t := known(w)) is not None else FREQUENT + zlib.crc32(w[-3:].encode("utf-8", "surrogatepass")) % RARE for w in words(text)], dtype=np.int64)
+    tokens = vocabulary if isinstance(vocabulary, _Tokens) else _Tokens(vocabulary)
+    return np.array([tokens[w] for w in words(text)], dtype=np.int64)
 
 
 def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,46 +84,65 @@ def _around(row: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([row[at + step] for step in range(-SIDE, SIDE + 1) if step], axis=1)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
+def _log_chance(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax, at one place of each row."""
     logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    found = logits[np.arange(len(chosen)), chosen]
+    return found - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
-def _by_class(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(tokens % CLASSES, kind="stable")
-    bounds = np.searchsorted((tokens % CLASSES)[order], np.arange(CLASSES + 1))
-    for number in range(CLASSES):
-        if bounds[number] < bounds[number + 1]:
-            yield number, order[bounds[number] : bounds[number + 1]]
+def _by_class(tokens: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of the tokens by class, and the slice of each class in it."""
+    classes = (tokens % CLASSES).astype(np.int8)
+    order = np.argsort(classes, kind="stable")
+    bounds = np.searchsorted(classes[order], np.arange(CLASSES + 1))
+    return order, [(number, slice(bounds[number], bounds[number + 1])) for number in range(CLASSES) if bounds[number] < bounds[number + 1]]
 
 
 def log_probabilities(p: dict[str, np.ndarray], around: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """The log-probability of each token between the tokens around it."""
+    order, classes = _by_class(tokens)
+    around, tokens = around[order], tokens[order]
     hidden = np.tanh(p["embed"][around].reshape(len(around), -1) @ p["mix"] + p["mix_bias"])
-    result = _log_softmax(hidden @ p["of_class"] + p["class_bias"])[np.arange(len(tokens)), tokens % CLASSES].astype(np.float64)
-    for number, at in _by_class(tokens):
-        result[at] += _log_softmax(hidden[at] @ p["inside"][number] + p["inside_bias"][number])[np.arange(len(at)), tokens[at] // CLASSES]
+    found = _log_chance(hidden @ p["of_class"] + p["class_bias"], tokens % CLASSES).astype(np.float64)
+    for number, at in classes:
+        found[at] += _log_chance(hidden[at] @ p["inside"][number] + p["inside_bias"][number], tokens[at] // CLASSES)
+    result = np.empty(len(found))
+    result[order] = found
     return result
 
 
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    odds = np.exp(logits - logits.max(axis=1, keepdims=True))
+    odds /= odds.sum(axis=1, keepdims=True)
+    return odds
+
+
 def gradients(p: dict[str, np.ndarray], around: np.ndarray, tokens: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean negative log-probability. That of the embeddings is given as rows in the order of ``around``."""
+    """Of the mean negative log-probability. That of the embeddings is given as rows in the order of ``around``.
+
+    Positions are put in the order of their classes first, so that each class is a slice.
+    """
     size = len(tokens)
+    order, classes = _by_class(tokens)
+    around, tokens = around[order], tokens[order]
     seen = p["embed"][around].reshape(size, -1)
     hidden = np.tanh(seen @ p["mix"] + p["mix_bias"])
-    out = np.exp(_log_softmax(hidden @ p["of_class"] + p["class_bias"]))
+    out = _softmax(hidden @ p["of_class"] + p["class_bias"])
     out[np.arange(size), tokens % CLASSES] -= 1
     out /= size
     back = out @ p["of_class"].T
     found = {"of_class": hidden.T @ out, "class_bias": out.sum(0), "inside": np.zeros_like(p["inside"]), "inside_bias": np.zeros_like(p["inside_bias"])}
-    for number, at in _by_class(tokens):
-        out = np.exp(_log_softmax(hidden[at] @ p["inside"][number] + p["inside_bias"][number]))
-        out[np.arange(len(at)), tokens[at] // CLASSES] -= 1
+    for number, at in classes:
+        out = _softmax(hidden[at] @ p["inside"][number] + p["inside_bias"][number])
+        out[np.arange(len(out)), tokens[at] // CLASSES] -= 1
         out /= size
         found["inside"][number], found["inside_bias"][number] = hidden[at].T @ out, out.sum(0)
         back[at] += out @ p["inside"][number].T
     back *= 1 - hidden * hidden
-    found |= {"mix": seen.T @ back, "mix_bias": back.sum(0), "embed": (back @ p["mix"].T).reshape(-1, WIDTH)}
+    rows = np.empty((size, 2 * SIDE * WIDTH), back.dtype)
+    rows[order] = back @ p["mix"].T
+    found |= {"mix": seen.T @ back, "mix_bias": back.sum(0), "embed": rows.reshape(-1, WIDTH)}
     return found
 
 
@@ -128,14 +157,10 @@ class Trainer:
     def step(self, around: np.ndarray, tokens: np.ndarray) -> None:
         for name, slope in gradients(self.p, around, tokens).items():
             if name == "embed":
-                which, inverse = np.unique(around.ravel(), return_inverse=True)
-                total = np.zeros((len(which), WIDTH), np.float32)
-                np.add.at(total, inverse, slope)
-                self.squares[name][which] += total * total
-                self.p[name][which] -= self.rate * total / np.sqrt(self.squares[name][which])
-            else:
-                self.squares[name] += slope * slope
-                self.p[name] -= self.rate * slope / np.sqrt(self.squares[name])
+                places = around.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+                slope = np.bincount(places.ravel(), slope.ravel(), self.p[name].size).astype(np.float32).reshape(self.p[name].shape)
+            self.squares[name] += slope * slope
+            self.p[name] -= self.rate * slope / np.sqrt(self.squares[name])
         self.seen += len(tokens)
 
 
@@ -196,12 +221,10 @@ def train(docs: DataFrame, *, rounds: int = 3, rate: float = 0.1, seed: int = 11
 
 def _descend(known, shared, rate: float):
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, part = Trainer(unpacked(shared.value), rate), None
+        trainer, part, tokens = Trainer(unpacked(shared.value), rate), None, _Tokens(known.value)
         for batch in slices(batches):
             part = batch["part"][0].as_py() if part is None else part
-            row, at, owner = _padded([encode(text, known.value) for text in batch["text"].to_pylist()])
-            offsets = np.mod(batch["draw"].to_numpy() >> 8, EVERY)
-            at = at[np.mod(at + offsets[owner], EVERY) == 0]
+            row, at, _ = _padded([encode(text, tokens) for text in batch["text"].to_pylist()])
             at = np.random.default_rng(len(row)).permutation(at)
             for begin in range(0, len(at), BATCH):
                 some = at[begin : begin + BATCH]
@@ -228,7 +251,7 @@ def score(docs: DataFrame, vocabulary: dict[str, int], parameters: dict[str, np.
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = arrow_schema(schema)
-        words_, p = shared.value[0], unpacked(shared.value[1])
+        words_, p = _Tokens(shared.value[0]), unpacked(shared.value[1])
         for batch in slices(batches):
             coded = [encode(text or "", words_) for text in batch["text"].to_pylist()]
             row, at, owner = _padded(coded)

@@ -4,6 +4,8 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow as pa
 import pytest
 
 from quillframe.llm import pseudo_likelihood as pl
@@ -104,3 +106,14 @@ def test_scores_against_a_plain_loop(spark, odd, none):
     got = pl.score(spark.createDataFrame([(1, text)], "doc_id long, text string"), vocabulary, p).first()
     assert math.isclose(got.log_likelihood, plain, rel_tol=1e-4)
     assert pl.pseudo_likelihood(none).count() == 0
+
+
+def test_every_position_is_trained_on():
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    texts = ["one two three four five six seven", "", "a", " ".join(map(str, range(1001)))]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "draw": pa.array([5, 6, 7, 8], pa.int64()), "part": pa.array([0] * 4, pa.int32())})
+    done = list(pl._descend(Held({"one": 0, "a": 1}), Held(pl.packed(pl.initial(1))), 0.1)(iter([batch])))
+    assert [row["seen"] for found in done for row in found.to_pylist()] == [7 + 1 + 1001]
