@@ -3,7 +3,7 @@
 Whether a line break ends a record depends on whether the quotes before it are even in number, from the beginning of the file on.
 So the work goes in three steps, as for any prefix sum:
 
-1. Spark splits the files at line breaks as it likes. Each task writes the lines of its share as chunks of some megabytes, with the
+1. Spark splits the files at line breaks as it likes. Each task writes the lines of its share as chunks of about a megabyte, with the
    parity of their quotes. They are stored, so that chunks stay the same however the files are split when read again.
 2. A running sum over the chunks of each file, one small row per chunk and without their text, says which of them begin
    inside a quoted field.
@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from quillframe.functions.sizing import broadcast_if_small, settle, store
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
+_HANDED_ON = 10_000  # records
 _WHOLE, _HEAD, _TAIL, _THROUGH = "whole", "head", "tail", "through"
 
 _CHUNKS = T.StructType([
@@ -94,13 +95,18 @@ def cut_records(text: str, inside: bool) -> list[tuple[str, str]]:
 def _cutter(fragments: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                start = row["block"] == 0 and row["chunk"] == 0
-                found = [(kind, start and i == 0, text.removeprefix("﻿") if start and i == 0 else text) for i, (kind, text) in enumerate(cut_records(row["text"], row["inside"]))]
+            for at in range(batch.num_rows):  # a batch may hold all chunks of a task, so only one of them is cut at a time
+                file, block, chunk, inside, text = (batch[name][at].as_py() for name in ("file", "block", "chunk", "inside", "text"))
+                start = block == 0 and chunk == 0
+                found = [(kind, start and i == 0, text.removeprefix("﻿") if start and i == 0 else text) for i, (kind, text) in enumerate(cut_records(text, inside))]
                 found = [piece for piece in found if (piece[0] != _WHOLE) == fragments]
-                columns = [[row["file"]] * len(found), [row["block"]] * len(found), [row["chunk"]] * len(found), *([piece[i] for piece in found] for i in range(3))]
                 types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_PIECES.names)
+                for begin in range(0, len(found), _HANDED_ON):
+                    part = found[begin : begin + _HANDED_ON]
+                    columns = [[file] * len(part), [block] * len(part), [chunk] * len(part), *([piece[i] for piece in part] for i in range(3))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_PIECES.names)
+                del text, found
+                pa.default_memory_pool().release_unused()
 
     return cut
 

@@ -6,10 +6,11 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 
 from quillframe import TableError, read_csv
-from quillframe.sources.records import cut_records, quoted_records
+from quillframe.sources.records import _cutter, cut_records, quoted_records
 
 FIELDS = ["", "x", "two words", 'say "no"', "a,b", "line\nbreak", "\n", '"\n"', "\r\n", "é\n\nü", "1.5"]
 
@@ -99,3 +100,12 @@ def test_short_rows_blank_lines_and_open_quotes(spark, tmp_path):
     (tmp_path / "c.csv").write_text("a,c\n1,2\n")
     with pytest.raises(TableError, match="different headers"):
         read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "c.csv")], multiline=True)
+
+
+def test_chunks_of_one_batch_are_cut_one_at_a_time():
+    """The batches of records stay small however many chunks come in one batch."""
+    text = "\n".join(f'{i},"a b"' for i in range(25_000))
+    rows = {"file": ["f"] * 4, "block": [0] * 4, "chunk": [0, 1, 2, 3], "inside": [False] * 4, "text": [text] * 4}
+    cut = list(_cutter(fragments=False)(iter([pa.RecordBatch.from_pydict(rows)])))
+    assert max(batch.num_rows for batch in cut) <= 10_000 and sum(batch.num_rows for batch in cut) == 100_000
+    assert [row["heading"] for batch in cut[:1] for row in batch.slice(0, 2).to_pylist()] == [True, False]
