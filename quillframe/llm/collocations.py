@@ -3,8 +3,8 @@
 1. *Shards.* Each task turns its texts into shards of one language and a bounded number of words: numbers into the shard's own
    list of words, with breaks between pieces. They are written once, so that shards stay the same in all later steps.
 2. *Mining.* For phrases of one word, then two, three and four, each shard is mined completely at the support ``ceil(min_count * its
-   share of the language's words)``. A phrase with ``min_count`` occurrences reaches that in some shard. Spark adds up hashed
-   local counts, bucket by bucket; where a shard does not report a phrase it can hold at most its local support less one. Phrases whose sum and this
+   share of the language's words)``. A phrase with ``min_count`` occurrences reaches that in some shard. Tasks add up the hashed
+   local counts of their shards, and Spark those of all tasks, bucket by bucket; where a shard does not report a phrase it can hold at most its local support less one. Phrases whose sum and this
    slack stay below ``min_count`` are out. The hashes of the others, the union of the locally frequent, go into a bit table of fixed
    size. A longer phrase is mined only where both its shorter parts are in the table. Collisions let in too many, never too few.
 3. *Counting.* All candidates are counted in all shards by their words, exactly; those below ``min_count`` go.
@@ -29,6 +29,7 @@ LONGEST = 4  # words of a phrase
 _BREAK = -1
 _TABLE_BITS = 27  # of the table of candidates: 16 MB, at every size of the input
 _SEGMENT_BITS = 19
+_HELD = 1 << 21  # local counts that a task adds up before it hands them on
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 
 
@@ -146,6 +147,18 @@ def _mine(shards: DataFrame, length: int, table, totals, min_count: int, bits: i
     """Locally frequent phrases of one length, hashes and counts, in buckets by the leading ``bits`` of their hash."""
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def written() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                hashes, counts = _added(parts)
+                buckets, starts = np.unique((hashes >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
+                cuts = np.r_[starts, len(hashes)].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(buckets), pa.array([lang] * len(buckets), pa.string()), _slices(hashes, cuts), _slices(counts.astype(np.uint32), cuts),
+                ], schema=arrow_schema(_MINED))
+
         for lang, words, ids, vocabulary in _rows(batches):
             phrases = _Phrases(lang, ids, vocabulary)
             for _ in range(1, length):
@@ -153,16 +166,28 @@ def _mine(shards: DataFrame, length: int, table, totals, min_count: int, bits: i
                 phrases.lengthen()
             hashes, counts = np.unique(phrases.hashes, return_counts=True)
             frequent = counts >= _support(words, totals.value[lang][0], min_count)
-            hashes, counts = hashes[frequent], counts[frequent].astype(np.uint32)
-            buckets, starts = np.unique((hashes >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
-            cuts = np.r_[starts, len(hashes)].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(buckets), pa.array([lang] * len(buckets), pa.string()), _slices(hashes, cuts), _slices(counts, cuts),
-            ], schema=arrow_schema(_MINED))
+            held.setdefault(lang, []).append((hashes[frequent], counts[frequent]))
+            size += len(held[lang][-1][0])
+            if size > _HELD:
+                held = {lang: [_added(parts)] for lang, parts in held.items()}
+                size = sum(len(parts[0][0]) for parts in held.values())
+                if size > _HELD // 2:
+                    yield from written()
+                    held, size = {}, 0
+        yield from written()
 
     return shards.mapInArrow(mine, _MINED)
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different hashes in order, with their counts added up as far as 32 bits go."""
+    hashes, counts = (np.concatenate(arrays) for arrays in zip(*parts))
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order].astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+    return hashes[starts], np.minimum(np.add.reduceat(counts, starts) if len(starts) else counts, 0xFFFFFFFF)
+
+
 def _slices(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """The bytes of neighbouring parts of an array, one value each."""
     offsets = pa.py_buffer((cuts * values.itemsize).astype(np.int32))
@@ -172,7 +197,7 @@ def _slices(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
 def _union(mined: DataFrame, totals, min_count: int) -> np.ndarray:
     """The bit table of phrases that may be frequent: local counts and the slack of their language reach ``min_count``.
 
-    A bucket holds some hundred thousand hashes at every size of the input. Bits are put together per segment in Spark; what arrives
+    A bucket holds those of about a million words at every size of the input. Bits are put together per segment in Spark; what arrives
     here has a fixed size.
     """
     schema = T.StructType([T.StructField("segment", T.LongType()), T.StructField("places", T.BinaryType())])
@@ -260,7 +285,7 @@ def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int =
     support = F.ceil(F.lit(min_count).cast("decimal(38,0)") * F.col("words") / F.col("n")).cast("bigint")
     slack = shards.select("lang", "words").join(F.broadcast(totals), "lang").groupBy("lang").agg(F.first("n").alias("n"), F.sum(support - 1).alias("slack"))
     known = {row["lang"]: (row["n"], row["slack"]) for row in slack.collect()}  # two numbers per language
-    bits = max(_TABLE_BITS - _SEGMENT_BITS, (sum(n for n, _ in known.values()) >> 18).bit_length())
+    bits = max(_TABLE_BITS - _SEGMENT_BITS, (sum(n for n, _ in known.values()) >> 20).bit_length())
     shipped = spark.sparkContext.broadcast(known)
     flags, table = np.zeros(1 << (_TABLE_BITS - 3), np.uint8), None
     for length in range(1, LONGEST + 1):

@@ -100,3 +100,14 @@ def test_query_agrees_with_sql(spark, folder):
     expected = db.sql(sql)
     rows = sorted(tuple(row) for row in run(spark, folder).select(*expected.columns).collect())
     assert rows and rows == sorted(expected.fetchall())
+
+
+def test_a_task_adds_up_the_counts_of_its_shards(spark):
+    """Rows handed on by mining must grow with tasks, not with shards times buckets."""
+    docs = spark.createDataFrame([(i, "a b c d e f g h " * 20, "en") for i in range(200)], "doc_id long, text string, lang string").coalesce(1)
+    shards = collocations._shards(docs, 160).cache()
+    totals = spark.sparkContext.broadcast({"en": (32_000, 1000)})
+    mined = collocations._mine(shards, 1, None, totals, 30, 8).collect()
+    found = {h: n for r in mined for h, n in zip(np.frombuffer(r["hashes"], np.uint64).tolist(), np.frombuffer(r["counts"], np.uint32).tolist())}
+    assert shards.count() == 200 and len(mined) <= 8 and sorted(found.values()) == [4000] * 8
+    shards.unpersist()
