@@ -29,7 +29,7 @@ LONGEST = 4  # words of a phrase
 _BREAK = -1
 _TABLE_BITS = 27  # of the table of candidates: 16 MB, at every size of the input
 _SEGMENT_BITS = 19
-_HELD = 1 << 21  # local counts that a task adds up before it hands them on
+_HELD = 1 << 19  # local counts that a task adds up before it hands them on
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 
 
