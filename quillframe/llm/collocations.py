@@ -7,7 +7,10 @@
    local counts of their shards, and Spark those of all tasks, bucket by bucket; where a shard does not report a phrase it can hold at most its local support less one. Phrases whose sum and this
    slack stay below ``min_count`` are out. The hashes of the others, the union of the locally frequent, go into a bit table of fixed
    size. A longer phrase is mined only where both its shorter parts are in the table. Collisions let in too many, never too few.
-3. *Counting.* All candidates are counted in all shards by their words, exactly; those below ``min_count`` go.
+3. *Counting.* All candidates are counted in all shards by their words, exactly; those below ``min_count`` go. Here as well tasks add up what
+   their shards hold and hand it on by bucket.
+
+What is handed on is packed: hashes as steps between 24 bits each below those of their bucket, counts up to ``min_count``, phrases in order.
 
 With few shards the lowered support does most of the pruning. With many it falls to one, and the bit table does: the sum over all
 shards is then complete, and only phrases made of frequent parts are counted at the next length.
@@ -29,7 +32,9 @@ LONGEST = 4  # words of a phrase
 _BREAK = -1
 _TABLE_BITS = 27  # of the table of candidates: 16 MB, at every size of the input
 _SEGMENT_BITS = 19
+_SLOT_BITS = 24  # of a hash below those of its bucket, which holds the phrases of at most two million words
 _HELD = 1 << 19  # local counts that a task adds up before it hands them on
+_HELD_PHRASES = 1 << 18  # the same for phrases with their words
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 
 
@@ -57,10 +62,28 @@ class _Shard:
         self.words += len(words)
 
     def row(self, lang: str) -> dict:
-        return {"lang": lang, "words": self.words, "ids": np.concatenate(self.parts).tobytes(), "vocabulary": b"\n".join(self.numbers)}
+        return {"lang": lang, "words": self.words, "ids": _packed(np.concatenate(self.parts) + np.int32(1)), "vocabulary": b"\n".join(self.numbers)}
+
+
+def _squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _raw(squeezed: bytes) -> bytes:
+    return pa.decompress(squeezed[8:], decompressed_size=int.from_bytes(squeezed[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers, compressed with their bytes of equal weight side by side."""
+    return _squeezed(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def _unpacked(squeezed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(_raw(squeezed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-# Numbers (32 bits each) and words (one a line) are bytes to Spark, which only hands them on.
+# Numbers (packed) and words (one a line) are bytes to Spark, which only hands them on.
 _SHARDS = T.StructType([
     T.StructField("lang", T.StringType()), T.StructField("words", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("vocabulary", T.BinaryType()),
 ])
@@ -143,8 +166,12 @@ _MINED = T.StructType([
 ])
 
 
-def _mine(shards: DataFrame, length: int, table, totals, min_count: int, bits: int) -> DataFrame:
-    """Locally frequent phrases of one length, hashes and counts, in buckets by the leading ``bits`` of their hash."""
+def _mine(shards: DataFrame, length: int, table, totals, min_count: int, bits: int, short: bool = False) -> DataFrame:
+    """Locally frequent phrases of one length, hashes and counts, in buckets by the leading ``bits`` of their hash.
+
+    If ``short``, hashes are the steps between their slots (the ``_SLOT_BITS`` bits after those of the bucket) and counts end at ``min_count``,
+    both packed. Phrases that share a slot are then counted as one, which only lets in more.
+    """
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -155,9 +182,14 @@ def _mine(shards: DataFrame, length: int, table, totals, min_count: int, bits: i
                 hashes, counts = _added(parts)
                 buckets, starts = np.unique((hashes >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
                 cuts = np.r_[starts, len(hashes)].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(buckets), pa.array([lang] * len(buckets), pa.string()), _slices(hashes, cuts), _slices(counts.astype(np.uint32), cuts),
-                ], schema=arrow_schema(_MINED))
+                if short:
+                    slots = ((hashes >> np.uint64(64 - bits - _SLOT_BITS)) & np.uint64((1 << _SLOT_BITS) - 1)).astype(np.int64)
+                    steps = np.diff(slots, prepend=0)
+                    steps[starts] = slots[starts]
+                    packs = [pa.array([_packed(part) for part in np.split(values.astype(np.uint32), starts[1:])][: len(buckets)], pa.binary()) for values in (steps, np.minimum(counts, min_count))]
+                else:
+                    packs = [_slices(hashes, cuts), _slices(counts.astype(np.uint32), cuts)]
+                yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array([lang] * len(buckets), pa.string()), *packs], schema=arrow_schema(_MINED))
 
         for lang, words, ids, vocabulary in _rows(batches):
             phrases = _Phrases(lang, ids, vocabulary)
@@ -194,10 +226,10 @@ def _slices(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(values)])
 
 
-def _union(mined: DataFrame, totals, min_count: int) -> np.ndarray:
+def _union(mined: DataFrame, totals, min_count: int, bits: int) -> np.ndarray:
     """The bit table of phrases that may be frequent: local counts and the slack of their language reach ``min_count``.
 
-    A bucket holds those of about a million words at every size of the input. Bits are put together per segment in Spark; what arrives
+    ``mined`` is short. A bucket holds the phrases of at most two million words at every size of the input. Bits are put together per segment in Spark; what arrives
     here has a fixed size.
     """
     schema = T.StructType([T.StructField("segment", T.LongType()), T.StructField("places", T.BinaryType())])
@@ -206,13 +238,10 @@ def _union(mined: DataFrame, totals, min_count: int) -> np.ndarray:
         found = []
         for lang in pc.unique(rows["lang"]).to_pylist():
             of = rows.filter(pc.equal(rows["lang"], lang))
-            hashes = np.concatenate([np.frombuffer(part.as_buffer(), np.uint64) for part in of["hashes"]])
-            counts = np.concatenate([np.frombuffer(part.as_buffer(), np.uint32) for part in of["counts"]])
-            different, numbers = np.unique(hashes, return_inverse=True)
-            sums = np.zeros(len(different), np.int64)
-            np.add.at(sums, numbers, counts.astype(np.int64))
-            found.append(different[sums + totals.value[lang][1] >= min_count])
-        places = np.unique(np.concatenate(found) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+            slots, sums = _added([(np.cumsum(_unpacked(steps, np.uint32)), _unpacked(counts, np.uint32)) for steps, counts in zip(of["hashes"].to_pylist(), of["counts"].to_pylist())])
+            found.append(slots[sums + totals.value[lang][1] >= min_count])
+        # the table has at most as many bits as bucket and slot together
+        places = np.unique((rows["bucket"][0].as_py() << _SLOT_BITS | np.concatenate(found).astype(np.int64)) >> (bits + _SLOT_BITS - _TABLE_BITS))
         if not len(places):
             return pa.table({"segment": pa.array([], pa.int64()), "places": pa.array([], pa.binary())})
         # the leading bits of a bucket name its segment
@@ -235,7 +264,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.ndar
     for batch in batches:
         for i in range(batch.num_rows):
             lang, words, ids, vocabulary = (batch[name][i] for name in ("lang", "words", "ids", "vocabulary"))
-            yield lang.as_py(), words.as_py(), np.frombuffer(ids.as_buffer(), np.int32), vocabulary.as_py().split(b"\n")
+            yield lang.as_py(), words.as_py(), _unpacked(ids.as_py(), np.int32) - np.int32(1), vocabulary.as_py().split(b"\n")
             pa.default_memory_pool().release_unused()
 
 
@@ -246,32 +275,82 @@ def _support(words: int, total: int, min_count: int) -> int:
 _PHRASES = T.StructType([T.StructField("lang", T.StringType()), T.StructField("words", T.ByteType()), T.StructField("phrase", T.StringType()), T.StructField("n", T.LongType())])
 
 
-def _counted(shards: DataFrame, table) -> DataFrame:
-    """Exact counts of all candidates in each shard, by their words."""
+_HANDED = T.StructType([
+    T.StructField("bucket", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("phrases", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+])
+
+
+def _counted(shards: DataFrame, table, min_count: int, bits: int) -> DataFrame:
+    """``lang, words, phrase, n`` of the candidates with ``min_count`` occurrences, counted in all shards by their words, exactly."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, _, ids, vocabulary in _rows(batches):
-            phrases = _Phrases(lang, ids, vocabulary)
-            words = np.array([word.decode() for word in vocabulary], object)
-            # of each place: the number of the phrase that begins there, among the different phrases of this length
-            for length in range(1, LONGEST + 1):
-                if length > 1:
-                    phrases.lengthen()
-                phrases.keep(table.value)
-                if not len(phrases.starts):
-                    break
-                last = ids[phrases.starts + length - 1].astype(np.int64)
-                key = last if length == 1 else number[phrases.starts] << 32 | last
-                different, numbers, counts = np.unique(key, return_inverse=True, return_counts=True)
-                texts = words[different] if length == 1 else texts[different >> 32] + " " + words[different & 0xFFFFFFFF]
-                number = np.zeros(len(ids), np.int64)
-                number[phrases.starts] = numbers
-                for at in range(0, len(texts), 1 << 16):
-                    part = texts[at : at + (1 << 16)]
-                    columns = [[lang] * len(part), [length] * len(part), part.tolist(), counts[at : at + (1 << 16)]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow_schema(_PHRASES).types)], schema=arrow_schema(_PHRASES))
-
-    return shards.mapInArrow(count, _PHRASES)
+        held: dict[str, list[pa.Table]] = {}
+        size = 0
+
+        def written() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                rows = _summed(parts).sort_by([("bucket", "ascending"), ("phrase", "ascending")])
+                buckets, starts = np.unique(rows["bucket"].to_numpy(), return_index=True)
+                ends = [*starts.tolist(), rows.num_rows][1:]
+                parts = [rows.slice(at, end - at) for at, end in zip(starts.tolist(), ends)]
+                # no word has a line break
+                phrases = [_squeezed("\n".join(part["phrase"].to_pylist()).encode()) for part in parts]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(buckets), pa.array([lang] * len(buckets), pa.string()), pa.array(phrases, pa.binary()),
+                    pa.array([_packed(part["n"].to_numpy()) for part in parts], pa.binary()),
+                ], schema=arrow_schema(_HANDED))
+
+        for lang, found in _occurring(batches, table, bits):
+            held.setdefault(lang, []).append(found)
+            size += found.num_rows
+            if size > _HELD_PHRASES:
+                held = {lang: [_summed(parts)] for lang, parts in held.items()}
+                size = sum(parts[0].num_rows for parts in held.values())
+                if size > _HELD_PHRASES // 2:
+                    yield from written()
+                    held, size = {}, 0
+        yield from written()
+
+    def add(rows: pa.Table) -> pa.Table:
+        found = []
+        for lang in pc.unique(rows["lang"]).to_pylist():
+            of = rows.filter(pc.equal(rows["lang"], lang))
+            phrases = [pa.array(_raw(squeezed).decode().split("\n"), pa.string()) for squeezed in of["phrases"].to_pylist()]
+            counts = [pa.array(_unpacked(squeezed, np.int64)) for squeezed in of["counts"].to_pylist()]
+            summed = pa.table({"phrase": pa.chunked_array(phrases), "n": pa.chunked_array(counts)}).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+            kept = summed.filter(pc.greater_equal(summed["n_sum"], min_count))
+            words = pc.add(pc.count_substring(kept["phrase"], " "), 1)
+            found.append(pa.table([pa.array([lang] * kept.num_rows, pa.string()), words.cast(pa.int8()), kept["phrase"], kept["n_sum"]], schema=arrow_schema(_PHRASES)))
+        return pa.concat_tables(found)
+
+    return shards.mapInArrow(count, _HANDED).groupBy("bucket").applyInArrow(add, _PHRASES)
+
+
+def _occurring(batches: Iterator[pa.RecordBatch], table, bits: int) -> Iterator[tuple[str, pa.Table]]:
+    """``bucket, phrase, n`` of the candidates of each length in each shard."""
+    for lang, _, ids, vocabulary in _rows(batches):
+        phrases = _Phrases(lang, ids, vocabulary)
+        words = np.array([word.decode() for word in vocabulary], object)
+        # of each place: the number of the phrase that begins there, among the different phrases of this length
+        for length in range(1, LONGEST + 1):
+            if length > 1:
+                phrases.lengthen()
+            phrases.keep(table.value)
+            if not len(phrases.starts):
+                break
+            last = ids[phrases.starts + length - 1].astype(np.int64)
+            key = last if length == 1 else number[phrases.starts] << 32 | last
+            different, firsts, numbers, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            texts = words[different] if length == 1 else texts[different >> 32] + " " + words[different & 0xFFFFFFFF]
+            number = np.zeros(len(ids), np.int64)
+            number[phrases.starts] = numbers
+            buckets = (phrases.hashes[firsts] >> np.uint64(64 - bits)).astype(np.int64)
+            yield lang, pa.table({"bucket": buckets, "phrase": pa.array(texts.tolist(), pa.string()), "n": counts})
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    summed = pa.concat_tables(parts).group_by(["bucket", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    return summed.select(["bucket", "phrase", "n_sum"]).rename_columns(["bucket", "phrase", "n"])
 
 
 def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
@@ -285,17 +364,16 @@ def frequent_phrases(docs: DataFrame, *, min_count: int = 30, shard_words: int =
     support = F.ceil(F.lit(min_count).cast("decimal(38,0)") * F.col("words") / F.col("n")).cast("bigint")
     slack = shards.select("lang", "words").join(F.broadcast(totals), "lang").groupBy("lang").agg(F.first("n").alias("n"), F.sum(support - 1).alias("slack"))
     known = {row["lang"]: (row["n"], row["slack"]) for row in slack.collect()}  # two numbers per language
-    bits = max(_TABLE_BITS - _SEGMENT_BITS, (sum(n for n, _ in known.values()) >> 20).bit_length())
+    bits = max(_TABLE_BITS - _SEGMENT_BITS, (sum(n for n, _ in known.values()) >> 21).bit_length())
     shipped = spark.sparkContext.broadcast(known)
     flags, table = np.zeros(1 << (_TABLE_BITS - 3), np.uint8), None
     for length in range(1, LONGEST + 1):
-        mined = _mine(shards, length, table, shipped, min_count, bits)
-        flags |= _union(mined, shipped, min_count)  # the hash of a phrase depends on its length, so one table serves all
+        mined = _mine(shards, length, table, shipped, min_count, bits, short=True)
+        flags |= _union(mined, shipped, min_count, bits)  # the hash of a phrase depends on its length, so one table serves all
         if table is not None:
             table.unpersist()
         table = spark.sparkContext.broadcast(flags)
-    counted = _counted(shards, table).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    return store(counted), totals
+    return store(_counted(shards, table, min_count, bits)), totals
 
 
 def mine_collocations(docs: DataFrame, *, min_count: int = 30, covered_percent: int = 80, top: int = 2000, shard_words: int = 1 << 18) -> DataFrame:
