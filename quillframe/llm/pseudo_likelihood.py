@@ -68,7 +68,8 @@ class _Tokens(dict):
 def encode(text: str, vocabulary: dict[str, int]) -> np.ndarray:
     """The tokens of a text. Class and place within the class are the token's remainder and quotient by ``CLASSES``."""
     tokens = vocabulary if isinstance(vocabulary, _Tokens) else _Tokens(vocabulary)
-    return np.array([tokens[w] for w in words(text)], dtype=np.int64)
+    found = words(text)
+    return np.fromiter(map(tokens.__getitem__, found), np.int64, len(found))
 
 
 def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,9 +85,14 @@ def _around(row: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([row[at + step] for step in range(-SIDE, SIDE + 1) if step], axis=1)
 
 
+def _less_highest(logits: np.ndarray) -> None:
+    """Take the highest of each row off it. Rows are short, so it is found faster down the columns of a transposed copy."""
+    logits -= np.ascontiguousarray(logits.T).max(axis=0)[:, None]
+
+
 def _log_chance(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """The logarithm of the softmax, at one place of each row."""
-    logits = logits - logits.max(axis=1, keepdims=True)
+    """The logarithm of the softmax, at one place of each row. The logits are used up."""
+    _less_highest(logits)
     found = logits[np.arange(len(chosen)), chosen]
     return found - np.log(np.exp(logits, out=logits).sum(axis=1))
 
@@ -103,17 +109,27 @@ def log_probabilities(p: dict[str, np.ndarray], around: np.ndarray, tokens: np.n
     """The log-probability of each token between the tokens around it."""
     order, classes = _by_class(tokens)
     around, tokens = around[order], tokens[order]
-    hidden = np.tanh(p["embed"][around].reshape(len(around), -1) @ p["mix"] + p["mix_bias"])
+    hidden = np.tanh(p["embed"].take(around, axis=0).reshape(len(around), -1) @ p["mix"] + p["mix_bias"])
     found = _log_chance(hidden @ p["of_class"] + p["class_bias"], tokens % CLASSES).astype(np.float64)
-    for number, at in classes:
-        found[at] += _log_chance(hidden[at] @ p["inside"][number] + p["inside_bias"][number], tokens[at] // CLASSES)
+    found += _log_chance(_inside(p, hidden, classes), tokens // CLASSES)
     result = np.empty(len(found))
     result[order] = found
     return result
 
 
+def _inside(p: dict[str, np.ndarray], hidden: np.ndarray, classes: list[tuple[int, slice]]) -> np.ndarray:
+    """The logits of the places within the class of each row."""
+    logits = np.empty((len(hidden), TOKENS // CLASSES), hidden.dtype)
+    for number, at in classes:
+        part = np.matmul(hidden[at], p["inside"][number], out=logits[at])
+        part += p["inside_bias"][number]
+    return logits
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    odds = np.exp(logits - logits.max(axis=1, keepdims=True))
+    """The logits are used up."""
+    _less_highest(logits)
+    odds = np.exp(logits, out=logits)
     odds /= odds.sum(axis=1, keepdims=True)
     return odds
 
@@ -126,19 +142,19 @@ def gradients(p: dict[str, np.ndarray], around: np.ndarray, tokens: np.ndarray)
     size = len(tokens)
     order, classes = _by_class(tokens)
     around, tokens = around[order], tokens[order]
-    seen = p["embed"][around].reshape(size, -1)
+    seen = p["embed"].take(around, axis=0).reshape(size, -1)
     hidden = np.tanh(seen @ p["mix"] + p["mix_bias"])
     out = _softmax(hidden @ p["of_class"] + p["class_bias"])
     out[np.arange(size), tokens % CLASSES] -= 1
     out /= size
     back = out @ p["of_class"].T
     found = {"of_class": hidden.T @ out, "class_bias": out.sum(0), "inside": np.zeros_like(p["inside"]), "inside_bias": np.zeros_like(p["inside_bias"])}
+    out = _softmax(_inside(p, hidden, classes))
+    out[np.arange(size), tokens // CLASSES] -= 1
+    out /= size
     for number, at in classes:
-        out = _softmax(hidden[at] @ p["inside"][number] + p["inside_bias"][number])
-        out[np.arange(len(out)), tokens[at] // CLASSES] -= 1
-        out /= size
-        found["inside"][number], found["inside_bias"][number] = hidden[at].T @ out, out.sum(0)
-        back[at] += out @ p["inside"][number].T
+        found["inside"][number], found["inside_bias"][number] = hidden[at].T @ out[at], out[at].sum(0)
+        back[at] += out[at] @ p["inside"][number].T
     back *= 1 - hidden * hidden
     rows = np.empty((size, 2 * SIDE * WIDTH), back.dtype)
     rows[order] = back @ p["mix"].T
@@ -157,8 +173,7 @@ class Trainer:
     def step(self, around: np.ndarray, tokens: np.ndarray) -> None:
         for name, slope in gradients(self.p, around, tokens).items():
             if name == "embed":
-                places = around.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
-                slope = np.bincount(places.ravel(), slope.ravel(), self.p[name].size).astype(np.float32).reshape(self.p[name].shape)
+                slope = np.stack([np.bincount(around.ravel(), part, TOKENS + 1) for part in np.ascontiguousarray(slope.T)], axis=1).astype(np.float32)
             self.squares[name] += slope * slope
             self.p[name] -= self.rate * slope / np.sqrt(self.squares[name])
         self.seen += len(tokens)

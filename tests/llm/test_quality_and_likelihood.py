@@ -117,3 +117,13 @@ def test_every_position_is_trained_on():
     batch = pa.RecordBatch.from_pydict({"text": texts, "draw": pa.array([5, 6, 7, 8], pa.int64()), "part": pa.array([0] * 4, pa.int32())})
     done = list(pl._descend(Held({"one": 0, "a": 1}), Held(pl.packed(pl.initial(1))), 0.1)(iter([batch])))
     assert [row["seen"] for found in done for row in found.to_pylist()] == [7 + 1 + 1001]
+
+
+def test_places_of_all_classes_are_weighed_at_once(monkeypatch):
+    """A softmax for the classes and one for the places in them, not one more for each class."""
+    p, draw = pl.initial(4), np.random.default_rng(4)
+    around, tokens = draw.integers(0, pl.TOKENS + 1, (500, 4)), draw.integers(0, pl.TOKENS, 500)
+    calls, plain = [], pl._softmax
+    monkeypatch.setattr(pl, "_softmax", lambda logits: calls.append(logits.shape) or plain(logits))
+    pl.gradients(p, around, tokens)
+    assert calls == [(500, pl.CLASSES), (500, pl.TOKENS // pl.CLASSES)]
