@@ -3,13 +3,15 @@
 A row's silhouette compares its mean distance to its own cluster with the least mean distance to another one. Rows are stored in
 blocks of neighbours, sorted by cluster. For each block the moments of the clusters tell which of them can be nearest at all: the
 mean distance from a row to a cluster is at least the distance to its centre, and at most the root of that, squared, plus the
-cluster's variance. Only blocks with rows of such clusters, and of the rows' own, are measured against it. A pair of blocks yields, for
+cluster's variance. Only blocks with rows of such clusters, and of the rows' own, are measured against it. Blocks meet in groups of up to
+32 neighbours on either side, so that each is shuffled once for each group that it meets and not for each block. A pair of blocks yields, for
 each row asked about, a sum of distances to its own cluster, the least mean of the clusters that lie wholly in the block, and a sum
-for those that do not. These add up in any order, in tasks first and then in two rounds of groups.
+for those that do not. These add up in any order, in the two groups first and then in two rounds over all.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quillframe.errors import TableError
-from quillframe.functions.sizing import BROADCAST_BYTES, broadcast_if_small, settle, store
+from quillframe.functions.sizing import BROADCAST_BYTES, settle, store
 
 BLOCK_ROWS = 2048
 _STRIPE = 256  # rows of a block that are measured at once
-_OPEN = 64  # blocks asked about that a task adds up at the same time
+_TOGETHER, _TOGETHER_BYTES = 32, 32 << 20  # most blocks on one side of two groups that meet, and their most bytes unless it is one block
+_IN_PARTITION = 8  # blocks that are written by one task
 
 _BLOCK = T.StructType([
     T.StructField("block", T.LongType()), T.StructField("codes", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("x", T.BinaryType()),
@@ -46,14 +49,18 @@ def euclidean_silhouette(points: DataFrame, moments: DataFrame, rows: int | None
     if held["codes"] < held["k"] or held["k"] * (held["width"] + 4) * 8 > BROADCAST_BYTES:
         raise TableError(f"The centres of {held['k']} clusters take more than {BROADCAST_BYTES >> 20} MB; use squared_silhouette.")
     coded = points.join(F.broadcast(clusters.select("label", "code", F.col("n").alias("size"))), "label").select("code", "size", "x")
-    data = store(_blocks(coded, max(1, held["n"] // (8 * block_rows)), block_rows))
-    asked = data if rows is None or held["n"] <= rows else store(_blocks(coded.orderBy(F.xxhash64("code", "x"), "x").limit(rows), 1 + rows // block_rows, block_rows))
+    data = store(_blocks(coded, max(1, held["n"] // (_IN_PARTITION * block_rows)), block_rows))
+    drawn = rows is not None and held["n"] > rows
+    asked = store(_blocks(coded.orderBy(F.xxhash64("code", "x"), "x").limit(rows), 1 + rows // block_rows, block_rows)) if drawn else data
     centres = spark.sparkContext.broadcast(_centres(clusters))
     near = asked.mapInArrow(_candidates(centres), "q long, code long")
     index = data.select("block", F.explode(F.array_distinct("codes")).alias("code"))
     pairs = store(near.join(index, "code").groupBy("q", "block").agg(F.collect_set("code").alias("wanted")))
-    questions = broadcast_if_small(asked.select(F.col("block").alias("q"), F.col("codes").alias("q_codes"), F.col("sizes").alias("q_sizes"), F.col("x").alias("q_x")))
-    measured = pairs.join(data, "block").join(questions, "q").mapInArrow(_measure(held["width"]), _PARTIAL)
+    # groups of blocks large enough to spare the shuffle, small enough to give every core some
+    even = math.isqrt(asked.count() * data.count() // (4 * spark.sparkContext.defaultParallelism))
+    together = max(1, min(_TOGETHER, even, _TOGETHER_BYTES // (block_rows * held["width"] * 8)))
+    questions, answers = _gathered(pairs, asked, data, together, 1 if drawn else _IN_PARTITION)
+    measured = questions.groupBy("g", "s").cogroup(answers.groupBy("g", "s")).applyInArrow(_measure(held["width"]), _PARTIAL)
     first = measured.groupBy("q", F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(32)).alias("part")).applyInArrow(_add_parts, _PARTIAL)
     scores = first.groupBy("q").applyInArrow(_score, "total double, n long")
     return scores.agg(F.sum("total") / F.sum("n")).scalar()
@@ -140,20 +147,38 @@ class _Partial:
         return {"q": q, "size": self.size, "own": self.own, "least": self.least, "sums": sums}
 
 
+def _group(number: Column, together: int, in_partition: int) -> Column:
+    """The group of a block: neighbouring partitions as far as they make up ``together`` blocks, cut where a partition alone holds more."""
+    partition, place = F.shiftright(number, 32), number.bitwiseAND(0xFFFFFFFF)
+    return F.floor(partition / max(1, together // in_partition)) * (1 << 24) + F.floor(place / together)
+
+
+def _gathered(pairs: DataFrame, asked: DataFrame, data: DataFrame, together: int, in_partition: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks asked about, with those to compare them with, and these, each once for every group of the other side, by ``g`` and ``s``."""
+    grouped = pairs.select("*", _group(F.col("q"), together, in_partition).alias("g"), _group(F.col("block"), together, _IN_PARTITION).alias("s"))
+    asks = grouped.groupBy("q", "g", "s").agg(F.collect_list(F.struct("block", "wanted")).alias("asks"))
+    questions = asks.join(asked.withColumnsRenamed({"block": "q", "codes": "q_codes", "sizes": "q_sizes", "x": "q_x"}), "q")
+    meets = grouped.select(*[F.col(name).alias(name) for name in ("g", "s", "block")]).distinct()  # columns apart from those of the other side
+    return questions, meets.join(data, "block")
+
+
 def _measure(width: int):
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, _Partial] = {}
-        for batch in batches:
-            columns = (batch[name] for name in ("q", "q_codes", "q_sizes", "q_x", "wanted", "codes", "sizes", "x"))
-            for q, q_codes, q_sizes, q_x, wanted, codes, sizes, x in zip(*columns):
-                q_codes, q_sizes, wanted, codes, sizes = (c.values.to_numpy() for c in (q_codes, q_sizes, wanted, codes, sizes))
-                q_x, x = (np.frombuffer(b.as_buffer()).reshape(-1, width) for b in (q_x, x))
-                if q.as_py() not in held and len(held) == _OPEN:
-                    yield _rows([part.row(number) for number, part in held.items()])
-                    held.clear()
-                held.setdefault(q.as_py(), _Partial(q_sizes)).add(*_compared(q_codes, q_x, wanted, codes, sizes, x))
-        if held:
-            yield _rows([part.row(number) for number, part in held.items()])
+    def measure(questions: pa.Table, answers: pa.Table) -> pa.Table:
+        places = {block: i for i, block in enumerate(answers["block"].to_pylist())}
+
+        def points(column: pa.ChunkedArray, i: int) -> np.ndarray:
+            return np.frombuffer(column[i].as_buffer()).reshape(-1, width)
+
+        rows = []
+        for i in range(questions.num_rows):
+            q_codes, q_sizes = (questions[name][i].values.to_numpy() for name in ("q_codes", "q_sizes"))
+            part, q_x = _Partial(q_sizes), points(questions["q_x"], i)
+            for ask in questions["asks"][i]:
+                at = places[ask["block"].as_py()]
+                codes, sizes = (answers[name][at].values.to_numpy() for name in ("codes", "sizes"))
+                part.add(*_compared(q_codes, q_x, ask["wanted"].values.to_numpy(), codes, sizes, points(answers["x"], at)))
+            rows.append(part.row(questions["q"][i].as_py()))
+        return pa.Table.from_batches([_rows(rows)])
 
     return measure
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillframe import CustomModel, ModelRequest, TableError, compare_models
 from quillframe.operators import metrics as M, models as MO
+from quillframe.operators import silhouette as silhouette_blocks
 from quillframe.operators.silhouette import euclidean_silhouette
 from quillframe.operators.agglomerative import Agglomerative, merge
 from quillframe.operators.comparison import mark_best, relative_bars
@@ -429,3 +430,15 @@ def test_row_local_steps_run_on_a_stream(spark, folder, tmp_path):
     assert spark.table("cleaned").exceptAll(expected).count() == 0 and spark.table("cleaned").count() == expected.count()
     with pytest.raises(TableError):
         clean_stream(stream, [("normalize", {"columns": ["c_acctbal"]})])
+
+
+def test_blocks_are_shuffled_once_for_each_group_they_meet(spark):
+    """Not once for each block: with 60 blocks against 60, 3,600 times."""
+    blocks = spark.range(60).select(((F.col("id") / 8).cast("long") * (1 << 32) + F.col("id") % 8).alias("block"))
+    data = blocks.select("block", *[F.array(F.lit(1)).alias(name) for name in ("codes", "sizes", "x")])
+    pairs = blocks.withColumnRenamed("block", "q").crossJoin(blocks).withColumn("wanted", F.array(F.lit(1)))
+    for together, most in ((16, 4), (3, 23)):
+        sides = silhouette_blocks._gathered(pairs, data, data, together, 8)
+        assert [side.count() for side in sides] == [60 * most, 60 * most]
+        sizes = [side.groupBy("g", "s").count().agg(F.max("count")).first()[0] for side in sides]
+        assert max(sizes) <= together and sides[0].select(F.sum(F.size("asks"))).first()[0] == 3600
