@@ -113,9 +113,12 @@ def _for_training(train: DataFrame) -> DataFrame:
     A new table even if the given one is cached: the estimators of ``pyspark.ml`` then keep their own decoded form
     of the rows between iterations, instead of decoding the cached columns in each of them.
     """
-    slim = train.select(*[name for name in (FEATURES, LABEL) if name in train.columns])
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return slim.repartition(cores) if slim.rdd.getNumPartitions() < cores else slim
+    return _over_cores(train.select(*[name for name in (FEATURES, LABEL) if name in train.columns]))
+
+
+def _over_cores(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def fit_custom(model: CustomModel, params: Mapping[str, Any] | None, train: DataFrame) -> tuple[Fitted, dict[str, Any]]:
@@ -279,12 +282,12 @@ def _fit_forest(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     _refuse(params, "min_samples_split", (2,))
     model = RandomForestRegressor(
         featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION, seed=seed, maxBins=MAX_BINS,
-        maxMemoryInMB=NODE_MEMORY,
+        maxMemoryInMB=NODE_MEMORY, cacheNodeIds=True,  # rows stay at their nodes instead of going down each tree again
         numTrees=int(params["n_estimators"]), maxDepth=_depth(params),
         minInstancesPerNode=int(params["min_samples_leaf"]), bootstrap=bool(params["bootstrap"]),
         featureSubsetStrategy=_feature_share(params["max_features"]),
-    )
-    return Fitted(model.fit(train).transform)
+    ).fit(train)
+    return Fitted(lambda df: model.transform(_over_cores(df)))  # a row goes down every tree: more work than to hand it on
 
 
 def _check_clusters(params, rows: int) -> int:

@@ -442,3 +442,13 @@ def test_blocks_are_shuffled_once_for_each_group_they_meet(spark):
         assert [side.count() for side in sides] == [60 * most, 60 * most]
         sizes = [side.groupBy("g", "s").count().agg(F.max("count")).first()[0] for side in sides]
         assert max(sizes) <= together and sides[0].select(F.sum(F.size("asks"))).first()[0] == 3600
+
+
+def test_a_forest_answers_on_all_cores(spark):
+    rows = spark.range(200).select((F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20).cast("double").alias("label")).coalesce(1)
+    plan = fit_features(rows, ["x"])
+    ready = plan.apply(rows, training=True)
+    fitted = MO.fit_model("random_forest", MO.parameters("random_forest", {"n_estimators": 3, "max_depth": 5}), ready, 200, 42)
+    answers = fitted.predict(ready)
+    assert answers.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert answers.count() == 200 and answers.agg(F.max(F.abs(F.col("label") - F.col("prediction")))).first()[0] < 2
