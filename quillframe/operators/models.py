@@ -297,6 +297,14 @@ def _check_clusters(params, rows: int) -> int:
     return clusters
 
 
+def _not_cached_itself(kept: DataFrame) -> DataFrame:
+    """The same rows, with a column more, as a table that is not the cached one: k-means then keeps their decoded form.
+
+    It has a dozen passes, and would decode a cached table in each. A mere choice of its columns still counts as cached.
+    """
+    return kept.withColumn(WEIGHT, F.lit(1.0))
+
+
 def _fit_kmeans(params, train: DataFrame, rows: int, seed: int) -> Fitted:
     """The best of ``n_init`` starts by training cost."""
     _refuse(params, "init", ("k-means++", "random"))
@@ -310,7 +318,7 @@ def _fit_kmeans(params, train: DataFrame, rows: int, seed: int) -> Fitted:
                 featuresCol=FEATURES, predictionCol=PREDICTION, k=clusters, seed=seed + start,
                 maxIter=int(params["max_iter"]), tol=float(params["tol"]),
                 initMode="random" if params["init"] == "random" else "k-means||",
-            ).fit(kept)
+            ).fit(_not_cached_itself(kept))
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
     finally:

@@ -22,7 +22,10 @@ from quillframe.errors import TableError
 from quillframe.functions.sizing import BROADCAST_BYTES, settle, store
 
 BLOCK_ROWS = 2048
+_FINER = 8  # blocks of drawn rows are smaller by this: their rows then agree better on the clusters that can be nearest
 _STRIPE = 256  # rows of a block that are measured at once
+_NARROW, _CELLS = 8, 1 << 16  # up to so many features differences are taken, for so many pairs at once: they stay in a core's cache
+_TASKS = 4  # tasks for each core that groups of blocks are dealt over
 _TOGETHER, _TOGETHER_BYTES = 32, 32 << 20  # most blocks on one side of two groups that meet, and their most bytes unless it is one block
 _IN_PARTITION = 8  # blocks that are written by one task
 
@@ -51,16 +54,20 @@ def euclidean_silhouette(points: DataFrame, moments: DataFrame, rows: int | None
     coded = points.join(F.broadcast(clusters.select("label", "code", F.col("n").alias("size"))), "label").select("code", "size", "x")
     data = store(_blocks(coded, max(1, held["n"] // (_IN_PARTITION * block_rows)), block_rows))
     drawn = rows is not None and held["n"] > rows
-    asked = store(_blocks(coded.orderBy(F.xxhash64("code", "x"), "x").limit(rows), 1 + rows // block_rows, block_rows)) if drawn else data
+    finer = min(_FINER, block_rows) if drawn else 1
+    few = block_rows // finer
+    asked = store(_blocks(coded.orderBy(F.xxhash64("code", "x"), "x").limit(rows), 1 + rows // few, few)) if drawn else data
     centres = spark.sparkContext.broadcast(_centres(clusters))
     near = asked.mapInArrow(_candidates(centres), "q long, code long")
     index = data.select("block", F.explode(F.array_distinct("codes")).alias("code"))
     pairs = store(near.join(index, "code").groupBy("q", "block").agg(F.collect_set("code").alias("wanted")))
     # groups of blocks large enough to spare the shuffle, small enough to give every core some
-    even = math.isqrt(asked.count() * data.count() // (4 * spark.sparkContext.defaultParallelism))
-    together = max(1, min(_TOGETHER, even, _TOGETHER_BYTES // (block_rows * held["width"] * 8)))
-    questions, answers = _gathered(pairs, asked, data, together, 1 if drawn else _IN_PARTITION)
-    measured = questions.groupBy("g", "s").cogroup(answers.groupBy("g", "s")).applyInArrow(_measure(held["width"]), _PARTIAL)
+    met, spread = math.ceil(asked.count() / finer) * data.count(), _TASKS * spark.sparkContext.defaultParallelism
+    together = max(1, min(_TOGETHER, math.isqrt(met // spread), _TOGETHER_BYTES // (block_rows * held["width"] * 8)))
+    questions, answers = _gathered(pairs, asked, data, together, 1 if drawn else _IN_PARTITION, finer)
+    # A group takes long for the few bytes that it has, so Spark is told over how many tasks to deal them.
+    dealt = [side.repartition(max(1, min(spread, met // together**2)), "g", "s").groupBy("g", "s") for side in (questions, answers)]
+    measured = dealt[0].cogroup(dealt[1]).applyInArrow(_measure(held["width"]), _PARTIAL)
     first = measured.groupBy("q", F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(32)).alias("part")).applyInArrow(_add_parts, _PARTIAL)
     scores = first.groupBy("q").applyInArrow(_score, "total double, n long")
     return scores.agg(F.sum("total") / F.sum("n")).scalar()
@@ -121,8 +128,24 @@ def _candidates(centres):
     return near
 
 
+def _totals(a: np.ndarray, b: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Distances from each row of ``a`` to the rows of ``b``, added up over the runs of these."""
+    if a.shape[1] > _NARROW:
+        return np.concatenate([np.add.reduceat(_distances(a[at : at + _STRIPE], b), starts, axis=1) for at in range(0, len(a), _STRIPE)])
+    totals, stripe = np.empty((len(a), len(starts))), max(1, _CELLS // len(b))
+    room, columns = np.empty((2, stripe, len(b))), np.ascontiguousarray(b.T)
+    for at in range(0, len(a), stripe):
+        part = a[at : at + stripe]
+        squares, more = room[0, : len(part)], room[1, : len(part)]
+        np.square(np.subtract(part[:, :1], columns[0], out=squares), out=squares)
+        for j in range(1, a.shape[1]):
+            squares += np.square(np.subtract(part[:, j, None], columns[j], out=more), out=more)
+        np.add.reduceat(np.sqrt(squares, out=squares), starts, axis=1, out=totals[at : at + stripe])
+    return totals
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    if a.shape[1] <= 8:
+    if a.shape[1] <= _NARROW:
         return np.sqrt(sum((a[:, j, None] - b[None, :, j]) ** 2 for j in range(a.shape[1])))
     middle = b.mean(axis=0)
     a, b = a - middle, b - middle
@@ -153,9 +176,9 @@ def _group(number: Column, together: int, in_partition: int) -> Column:
     return F.floor(partition / max(1, together // in_partition)) * (1 << 24) + F.floor(place / together)
 
 
-def _gathered(pairs: DataFrame, asked: DataFrame, data: DataFrame, together: int, in_partition: int) -> tuple[DataFrame, DataFrame]:
+def _gathered(pairs: DataFrame, asked: DataFrame, data: DataFrame, together: int, in_partition: int, finer: int = 1) -> tuple[DataFrame, DataFrame]:
     """Blocks asked about, with those to compare them with, and these, each once for every group of the other side, by ``g`` and ``s``."""
-    grouped = pairs.select("*", _group(F.col("q"), together, in_partition).alias("g"), _group(F.col("block"), together, _IN_PARTITION).alias("s"))
+    grouped = pairs.select("*", _group(F.col("q"), together * finer, in_partition).alias("g"), _group(F.col("block"), together, _IN_PARTITION).alias("s"))
     asks = grouped.groupBy("q", "g", "s").agg(F.collect_list(F.struct("block", "wanted")).alias("asks"))
     questions = asks.join(asked.withColumnsRenamed({"block": "q", "codes": "q_codes", "sizes": "q_sizes", "x": "q_x"}), "q")
     meets = grouped.select(*[F.col(name).alias(name) for name in ("g", "s", "block")]).distinct()  # columns apart from those of the other side
@@ -193,7 +216,7 @@ def _compared(q_codes: np.ndarray, q_x: np.ndarray, wanted: np.ndarray, codes: n
     starts = np.r_[0, np.flatnonzero(np.diff(codes)) + 1]
     there = np.diff(np.r_[starts, len(codes)])
     whole = there == sizes[starts]
-    totals = np.concatenate([np.add.reduceat(_distances(q_x[at : at + _STRIPE], x), starts, axis=1) for at in range(0, len(q_x), _STRIPE)])
+    totals = _totals(q_x, x, starts)
     own = q_codes[:, None] == codes[starts][None, :]
     least = np.where(own | ~whole, np.inf, totals / sizes[starts]).min(axis=1)
     sums = {(int(codes[starts[j]]), int(sizes[starts[j]])): np.where(own[:, j], np.inf, totals[:, j]) for j in np.flatnonzero(~whole)}

@@ -452,3 +452,50 @@ def test_a_forest_answers_on_all_cores(spark):
     answers = fitted.predict(ready)
     assert answers.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert answers.count() == 200 and answers.agg(F.max(F.abs(F.col("label") - F.col("prediction")))).first()[0] < 2
+
+
+def test_starts_of_kmeans_keep_the_decoded_rows(spark, monkeypatch):
+    """The rows are cached once, and what each start is given is not itself a cached table, so that k-means keeps them decoded."""
+    rows = spark.range(300).select((F.col("id") % 3 * 100 + F.col("id") % 7).cast("double").alias("x"))
+    ready = fit_features(rows, ["x"]).apply(rows, training=True)
+    given, fit = [], MO.KMeans.fit
+
+    def watched(model, table, *rest):
+        below = table.select(FEATURES)._jdf.queryExecution().withCachedData().toString()
+        given.append((table.storageLevel.useMemory, "InMemoryRelation" in below))
+        return fit(model, table, *rest)
+
+    monkeypatch.setattr(MO.KMeans, "fit", watched)
+    fitted = MO.fit_model("kmeans", MO.parameters("kmeans", {"n_init": 2}), ready, 300, 42)
+    assert given == [(False, True)] * 2
+    sizes = fitted.predict(ready).groupBy("prediction").count().collect()
+    assert sorted(row["count"] for row in sizes) == [100] * 3
+
+
+def test_groups_of_blocks_are_dealt_over_the_cores(spark):
+    """Not over as few tasks as their bytes call for: what takes long are the distances."""
+    rows = spark.range(4000).select((F.col("id") % 2).alias("label"), F.array(F.hash("id") % 1000 / 10 + F.col("id") % 2 * 500).alias("x"))
+    dealt, repartition = [], type(rows).repartition
+
+    def watched(table, number, *columns):
+        dealt.append((number, columns))
+        return repartition(table, number, *columns)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(rows), "repartition", watched)
+        score = euclidean_silhouette(rows, M._cluster_moments(rows), 1000, block_rows=64)
+    cores = spark.sparkContext.defaultParallelism
+    assert [columns for _, columns in dealt] == [("g", "s")] * 2 and {number for number, _ in dealt} == {4 * cores}
+    x, k = (np.array(c) for c in zip(*[(row["x"], row["label"]) for row in rows.collect()]))
+    assert abs(spark.range(1).select(score).first()[0] - block_silhouette(x, k)) < 0.01
+
+
+@pytest.mark.parametrize("width", [1, 3, 8, 12])
+def test_sums_of_distances_against_numpy(width):
+    """Also where rows are cut into stripes, and the same to the last bit as the differences of all pairs."""
+    chance = np.random.default_rng(width)
+    a, b, starts = chance.normal(size=(100, width)), chance.normal(size=(2048, width)), np.array([0, 1, 700])
+    expected = np.add.reduceat(np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)), starts, axis=1)
+    assert np.allclose(silhouette_blocks._totals(a, b, starts), expected, rtol=1e-9)
+    if width <= 8:
+        assert np.array_equal(silhouette_blocks._totals(a, b, starts), np.add.reduceat(silhouette_blocks._distances(a, b), starts, axis=1))
