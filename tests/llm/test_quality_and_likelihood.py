@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -127,3 +129,50 @@ def test_places_of_all_classes_are_weighed_at_once(monkeypatch):
     monkeypatch.setattr(pl, "_softmax", lambda logits: calls.append(logits.shape) or plain(logits))
     pl.gradients(p, around, tokens)
     assert calls == [(500, pl.CLASSES), (500, pl.TOKENS // pl.CLASSES)]
+
+
+def test_words_are_those_of_python():
+    every = [f"{chr(i)}a{chr(i)}{chr(i)}B{chr(i)}" for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    found, sizes = pl.words(["", "  ", *every, "ΟΔΟΣ ΟΔΟΣ\x1cx", "one"])
+    plain = [text.lower().split() for text in ["", "  ", *every, "ΟΔΟΣ ΟΔΟΣ\x1cx", "one"]]
+    assert sizes.tolist() == [len(part) for part in plain]
+    assert found.to_pylist() == [word for part in plain for word in part]
+
+
+def test_tokens_of_all_texts_at_once():
+    vocabulary = {"the": 0, "été": 2, "x": 1}
+    texts = ["The x ÉTÉ of", "", "unseen \U0001f600\U0001f601\U0001f602\U0001f603 ab é", "\t"]
+    for known in (vocabulary, {}):
+        plain = [[known.get(word, pl.FREQUENT + zlib.crc32(word[-3:].encode()) % pl.RARE) for word in text.lower().split()] for text in texts]
+        tokens, sizes = pl.encode_all(texts, known)
+        assert tokens.tolist() == [t for part in plain for t in part] and sizes.tolist() == [4, 0, 4, 0]
+        assert [pl.encode(text, known).tolist() for text in texts] == plain
+
+
+def test_counts_of_words(spark, odd):
+    plain = Counter(word for r in odd.collect() for word in (r.text or "").lower().split())
+    texts = odd.selectExpr("coalesce(text, '') AS text")
+    assert {r.word: r.n for r in pl.count_words(texts).collect()} == plain
+
+
+def test_steps_use_their_arrays_again():
+    """After the first batch, less is taken anew than three arrays of a batch by the hidden layer."""
+    draw = np.random.default_rng(6)
+    around, tokens = draw.integers(0, pl.TOKENS + 1, (pl.BATCH, 4)), np.sort(draw.integers(0, pl.TOKENS, pl.BATCH) % pl.CLASSES)
+    trainer = pl.Trainer(pl.initial(6), 0.1)
+    trainer.step(around, tokens)
+    tracemalloc.start()
+    trainer.step(around, tokens)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 * pl.BATCH * pl.HIDDEN * 4
+
+
+def test_blocks_that_are_scored_hold_few_classes(monkeypatch):
+    draw, weighed, plain = np.random.default_rng(7), [], pl._inside
+    p, sizes = pl.initial(7), np.array([3000, 0, 1, 9000])
+    row, at, _ = pl._padded(tokens := draw.integers(0, pl.TOKENS, sizes.sum()), sizes)
+    whole = pl.log_probabilities(p, pl._around(row, at), tokens)
+    monkeypatch.setattr(pl, "_inside", lambda p, hidden, classes, *rest: weighed.append(len(classes)) or plain(p, hidden, classes, *rest))
+    assert np.allclose(pl._in_blocks(p, row, at, pl._Room()), whole, rtol=1e-5)
+    assert sum(weighed) < len(tokens) / pl.BLOCK + 1 + pl.CLASSES
