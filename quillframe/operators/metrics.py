@@ -18,7 +18,6 @@ from quillframe.errors import TableError
 from quillframe.functions.types import quoted
 from quillframe.operators.silhouette import euclidean_silhouette
 
-SCORE_ROWS = 10_000  # fixed value: rows whose silhouette a comparison takes, each against all rows
 SAMPLE_PAIRS = 80  # fixed value: actual-against-predicted pairs kept for a chart
 MAX_LABELS = 10_000  # of a matrix that lists all pairs
 MAX_CLUSTERS = 10_000  # that are compared in pairs

@@ -7,6 +7,11 @@ cluster's variance. Only blocks with rows of such clusters, and of the rows' own
 32 neighbours on either side, so that each is shuffled once for each group that it meets and not for each block. A pair of blocks yields, for
 each row asked about, a sum of distances to its own cluster, the least mean of the clusters that lie wholly in the block, and a sum
 for those that do not. These add up in any order, in the two groups first and then in two rounds over all.
+
+With up to three features the distances of all pairs are not taken one by one: rows far from each other meet by the boxes that they are in, see
+:mod:`quillframe.operators.boxes`, and the work is no longer that of the square of the rows. Equal rows of a cluster are counted once, with their
+number. Rows are stored in chunks of neighbours of one cluster, cut into leaves; the trees over all leaves are broadcast, and a task has a chunk
+and the leaves near it.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from quillframe.errors import TableError
 from quillframe.functions.sizing import BROADCAST_BYTES, settle, store
+from quillframe.operators import boxes
 
 BLOCK_ROWS = 2048
 _FINER = 8  # blocks of drawn rows are smaller by this: their rows then agree better on the clusters that can be nearest
@@ -28,6 +34,10 @@ _NARROW, _CELLS = 8, 1 << 16  # up to so many features differences are taken, fo
 _TASKS = 4  # tasks for each core that groups of blocks are dealt over
 _TOGETHER, _TOGETHER_BYTES = 32, 32 << 20  # most blocks on one side of two groups that meet, and their most bytes unless it is one block
 _IN_PARTITION = 8  # blocks that are written by one task
+_TREES = 10_000  # most clusters that get a tree each
+_FOREST_BYTES = 128 << 20  # of the trees; for more rows than that the leaves are larger
+_CHUNK_ROWS, _PART_ROWS, _FEW_ROWS = 1 << 14, 1 << 16, 1 << 12  # different rows of a chunk, and of a task that cuts chunks, unless few tasks have some
+_LEAVES = 15  # bits for the number of a leaf in its chunk
 
 _BLOCK = T.StructType([
     T.StructField("block", T.LongType()), T.StructField("codes", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("x", T.BinaryType()),
@@ -37,6 +47,10 @@ _PARTIAL = T.StructType([
     T.StructField("q", T.LongType()), T.StructField("size", T.ArrayType(T.LongType())), T.StructField("own", T.ArrayType(T.DoubleType())),
     T.StructField("least", T.ArrayType(T.DoubleType())), T.StructField("sums", T.ArrayType(_SUM)),
 ])
+_CHUNK = T.StructType([
+    T.StructField("g", T.LongType()), T.StructField("code", T.LongType()),
+    *[T.StructField(name, T.BinaryType()) for name in ("x", "weight", "starts", "low", "high", "grid")],
+])
 
 
 def euclidean_silhouette(points: DataFrame, moments: DataFrame, rows: int | None, block_rows: int = BLOCK_ROWS) -> Column | None:
@@ -52,8 +66,12 @@ def euclidean_silhouette(points: DataFrame, moments: DataFrame, rows: int | None
     if held["codes"] < held["k"] or held["k"] * (held["width"] + 4) * 8 > BROADCAST_BYTES:
         raise TableError(f"The centres of {held['k']} clusters take more than {BROADCAST_BYTES >> 20} MB; use squared_silhouette.")
     coded = points.join(F.broadcast(clusters.select("label", "code", F.col("n").alias("size"))), "label").select("code", "size", "x")
-    data = store(_blocks(coded, max(1, held["n"] // (_IN_PARTITION * block_rows)), block_rows))
     drawn = rows is not None and held["n"] > rows
+    if not drawn and held["width"] in boxes.GRID and held["k"] <= _TREES:
+        bounds = _bounds(coded, held["width"])
+        if all(np.isfinite(side).all() for side in bounds[1:]):
+            return _by_boxes(coded, clusters, bounds, held["n"], block_rows)
+    data = store(_blocks(coded, max(1, held["n"] // (_IN_PARTITION * block_rows)), block_rows))
     finer = min(_FINER, block_rows) if drawn else 1
     few = block_rows // finer
     asked = store(_blocks(coded.orderBy(F.xxhash64("code", "x"), "x").limit(rows), 1 + rows // few, few)) if drawn else data
@@ -111,23 +129,26 @@ def _centres(clusters: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _candidates(centres):
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, middle, variance = centres.value
         for batch in batches:
             for block, own, raw in zip(*(batch[name].to_pylist() for name in ("block", "codes", "x"))):
-                x = np.frombuffer(raw).reshape(len(own), -1)
-                wanted = np.isin(codes, own)
-                place = np.searchsorted(codes, own)
-                for at in range(0, len(x), _STRIPE):
-                    low = _distances(x[at : at + _STRIPE], middle)
-                    high = np.sqrt(low**2 + variance)
-                    high[np.arange(len(high)), place[at : at + _STRIPE]] = np.inf
-                    wanted |= (low <= high.min(axis=1, keepdims=True) * (1 + 1e-9) + 1e-9).any(axis=0)
-                found = codes[wanted]
+                found = _wanted(np.frombuffer(raw).reshape(len(own), -1), own, *centres.value)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block)), pa.array(found)], ["q", "code"])
 
     return near
 
 
+def _wanted(x: np.ndarray, own: Sequence[int], codes: np.ndarray, middle: np.ndarray, variance: np.ndarray) -> np.ndarray:
+    """The clusters of the rows, and those that can be nearest to one of them."""
+    wanted = np.isin(codes, own)
+    place = np.searchsorted(codes, own)
+    for at in range(0, len(x), _STRIPE):
+        low = _distances(x[at : at + _STRIPE], middle)
+        high = np.sqrt(low**2 + variance)
+        high[np.arange(len(high)), place[at : at + _STRIPE]] = np.inf
+        wanted |= (low <= high.min(axis=1, keepdims=True) * (1 + 1e-9) + 1e-9).any(axis=0)
+    return codes[wanted]
+
+
 def _totals(a: np.ndarray, b: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Distances from each row of ``a`` to the rows of ``b``, added up over the runs of these."""
     if a.shape[1] > _NARROW:
@@ -251,7 +272,162 @@ def _score(rows: pa.Table) -> pa.Table:
     outer = part.least
     for (_, size), total in part.sums.items():
         outer = np.minimum(outer, total / size)
-    inner = part.own / np.maximum(part.size - 1, 1)
+    values = _values(part.own, part.size, outer)
+    return pa.table({"total": [float(values.sum())], "n": pa.array([len(values)], pa.int64())})
+
+
+def _values(own: np.ndarray, size: np.ndarray, outer: np.ndarray) -> np.ndarray:
+    """Silhouettes by the distances to the own cluster added up, its size, and the mean distance to the nearest other one."""
+    inner = own / np.maximum(size - 1, 1)
     widest = np.maximum(inner, outer)
     values = np.divide(outer - inner, widest, out=np.zeros(len(inner)), where=widest > 0)
-    return pa.table({"total": [float(np.where(part.size == 1, 0.0, values).sum())], "n": pa.array([len(values)], pa.int64())})
+    return np.where(size == 1, 0.0, values)
+
+
+def _bounds(coded: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code, least and greatest coordinates of each cluster; not a number where one is missing."""
+    sides = [F.coalesce(F.col("x")[j], F.lit(float("nan"))) for j in range(width)]
+    found = coded.groupBy("code").agg(F.array(*map(F.min, sides)).alias("low"), F.array(*map(F.max, sides)).alias("high")).orderBy("code").collect()
+    return np.array([r["code"] for r in found], np.int64), *(np.array([r[side] for r in found], float) for side in ("low", "high"))
+
+
+def _by_boxes(coded: DataFrame, clusters: DataFrame, bounds: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, leaf: int) -> Column:
+    """The mean silhouette of all rows, where there are few features."""
+    context, width = coded.sparkSession.sparkContext, bounds[1].shape[1]
+    cores, axes = context.defaultParallelism, [f"x{j}" for j in range(width)]
+    leaf = max(min(boxes.LEAF[width], leaf), -(-3 * n * boxes.GRID[width] ** width * 8 // _FOREST_BYTES))
+    rows = max(leaf, min(_CHUNK_ROWS, n // (_TASKS * cores)))
+    alike = coded.groupBy("code", *[F.col("x")[j].alias(axis) for j, axis in enumerate(axes)]).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    keyed = alike.mapInArrow(_placed(context.broadcast(bounds)), T.StructType([*alike.schema, T.StructField("key", T.LongType())]))
+    ordered = keyed.repartitionByRange(max(1, n // _PART_ROWS, min(cores, n // _FEW_ROWS)), "code", "key").sortWithinPartitions("code", "key", *axes)
+    data = store(ordered.mapInArrow(_chunks(width, leaf, rows), _CHUNK))
+    forest = context.broadcast((*_forest(data, width), leaf))
+    middle = context.broadcast((*_centres(clusters), dict(clusters.select("code", "n").collect())))
+    near = data.select("g", "code", "x").mapInArrow(_near(forest, middle), "g long, block long")
+    points = data.select("g", "x", "weight", "starts").mapInArrow(_leaves(width), "block long, x binary, weight binary")
+    # A chunk takes long for the few bytes that it has, so Spark is told over how many tasks to deal them.
+    tasks = max(1, min(_TASKS * cores, n // leaf), n // (_IN_PARTITION * rows))
+    sides = [side.repartition(tasks, "g").groupBy("g") for side in (data.select("g", "code", "x", "weight"), near.join(points, "block"))]
+    scores = sides[0].cogroup(sides[1]).applyInArrow(_met(forest, middle), "total double, n double")
+    return scores.agg(F.sum("total") / F.sum("n")).scalar()
+
+
+def _placed(bounds):
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, low, high = bounds.value
+        room = (high - low).max(axis=1)
+        for batch in batches:
+            at = np.searchsorted(codes, batch["code"].to_numpy())
+            x = np.column_stack([batch[f"x{j}"].to_numpy() for j in range(low.shape[1])])
+            key = boxes.order((x - low[at]) / np.where(room > 0, room, 1)[at, None], min(31, 62 // x.shape[1]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], [*batch.schema.names, "key"])
+
+    return placed
+
+
+def _chunks(width: int, leaf: int, most: int):
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 24
+
+        def written(code: int, x: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+            nonlocal number
+            at, starts = boxes.leaves(x, leaf)
+            x, weight = x[at], weight[at]
+            parts = list(zip(np.split(x, starts[1:]), np.split(weight, starts[1:])))
+            low, high = (np.array([side(part, axis=0) for part, _ in parts]) for side in (np.min, np.max))
+            grid = np.array([boxes.grid_weights(*part, *box) for part, *box in zip(parts, low, high)])
+            row = {"g": number, "code": code} | {k: v.tobytes() for k, v in (("x", x), ("weight", weight), ("starts", starts), ("low", low), ("high", high), ("grid", grid))}
+            number += 1
+            types = {name: pa.int64() if name in ("g", "code") else pa.binary() for name in row}
+            return pa.RecordBatch.from_pylist([row], schema=pa.schema(types))
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= most:
+                table = pa.Table.from_batches(held)
+                done = 0
+                for code, x, weight, last in _runs(table, width, most):
+                    if not last or len(x) == most:
+                        yield written(code, x, weight)
+                        done += len(x)
+                held, size = table.slice(done).to_batches(), size - done
+        if size:
+            for code, x, weight, _ in _runs(pa.Table.from_batches(held), width, most):
+                yield written(code, x, weight)
+
+    return chunks
+
+
+def _runs(table: pa.Table, width: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+    """Rows of one code, at most so many, of a table in the order of codes; the last ones may go on behind it."""
+    code, weight = table["code"].to_numpy(), table["weight"].to_numpy()
+    x = np.column_stack([table[f"x{j}"].to_numpy() for j in range(width)])
+    at = 0
+    while at < len(code):
+        end = min(at + most, int(np.searchsorted(code, code[at], "right")))
+        yield int(code[at]), x[at:end], weight[at:end], end == len(code)
+        at = end
+
+
+def _forest(data: DataFrame, width: int) -> tuple[boxes.Forest, np.ndarray]:
+    """The trees over all leaves, whose size has been limited, and the number of each leaf in the table."""
+    found = data.select("g", "code", "low", "high", "grid").collect()
+    low, high = (np.concatenate([np.frombuffer(r[side]) for r in found]).reshape(-1, width) for side in ("low", "high"))
+    grid = np.concatenate([np.frombuffer(r["grid"]) for r in found]).reshape(len(low), -1)
+    counts = [len(r["low"]) // (8 * width) for r in found]
+    number = np.concatenate([(r["g"] << _LEAVES) + np.arange(count) for r, count in zip(found, counts)])
+    return boxes.forest(np.repeat([r["code"] for r in found], counts), low, high, grid), number
+
+
+def _roots(forest: boxes.Forest, x: np.ndarray, code: int, centres: Sequence[np.ndarray]) -> np.ndarray:
+    return np.array([forest.roots[c] for c in _wanted(x, np.full(len(x), code), *centres).tolist()])
+
+
+def _near(forest, middle):
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (trees, number, leaf), (*centres, _) = forest.value, middle.value
+        for batch in batches:
+            for g, code, raw in zip(*(batch[name].to_pylist() for name in ("g", "code", "x"))):
+                x = np.frombuffer(raw).reshape(-1, centres[1].shape[1])
+                met = [found for _, _, found in boxes.walk(trees, x, _roots(trees, x, code, centres), leaf)]
+                block = number[trees.leaf[np.unique(np.concatenate(met))]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(block), g)), pa.array(block)], ["g", "block"])
+
+    return near
+
+
+def _leaves(width: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g, *raw in zip(*(batch[name].to_pylist() for name in ("g", "x", "weight", "starts"))):
+                x, weight, starts = np.frombuffer(raw[0]).reshape(-1, width), np.frombuffer(raw[1]), np.frombuffer(raw[2], np.int64)
+                parts = [[part.tobytes() for part in np.split(whole, starts[1:])] for whole in (x, weight)]
+                yield pa.RecordBatch.from_arrays([pa.array((g << _LEAVES) + np.arange(len(starts))), *(pa.array(part, pa.binary()) for part in parts)], ["block", "x", "weight"])
+
+    return cut
+
+
+def _met(forest, middle):
+    def met(chunks: pa.Table, near: pa.Table) -> pa.Table:
+        (trees, number, leaf), (*centres, sizes) = forest.value, middle.value
+        width = centres[1].shape[1]
+        places = {block: i for i, block in enumerate(near["block"].to_pylist())}
+
+        def points_of(i: int) -> tuple[np.ndarray, np.ndarray]:
+            x, weight = (np.frombuffer(near[name][places[number[i]]].as_buffer()) for name in ("x", "weight"))
+            return x.reshape(-1, width), weight
+
+        total, n = 0.0, 0.0
+        for code, x, weight in zip(chunks["code"].to_pylist(), *(map(np.frombuffer, chunks[name].to_pylist()) for name in ("x", "weight"))):
+            x = x.reshape(-1, width)
+            sums = boxes.distances_to(trees, x, _roots(trees, x, code, centres), leaf, points_of)
+            outer = np.min([found / sizes[c] for c, found in sums.items() if c != code], axis=0)
+            total += float(_values(sums[code], np.full(len(x), sizes[code]), outer) @ weight)
+            n += float(weight.sum())
+        return pa.table({"total": [total], "n": [n]})
+
+    return met

@@ -339,8 +339,7 @@ def _run_clustering(
 def _clustering_figures(
     labelled: DataFrame, target: str, fitted: Fitted, custom: bool
 ) -> dict[str, float]:
-    """Scores are taken on all rows. The Euclidean silhouette is that of at most :data:`~quillframe.operators.metrics.SCORE_ROWS` rows, each against all;
-    it and the Davies-Bouldin score are left out where there are too many clusters for them."""
+    """Scores are taken on all rows. The Euclidean silhouette and the Davies-Bouldin score are left out where there are too many clusters for them."""
     figures: dict[str, float] = {}
     sizes = M.cluster_count(labelled, PREDICTION).first()
     if custom:
@@ -351,7 +350,7 @@ def _clustering_figures(
             scores.append(M.davies_bouldin)
         tables = [score(labelled, FEATURES, PREDICTION) for score in scores]
         if sizes["clusters"] <= M.MAX_CLUSTERS:
-            tables.append(M.silhouette(labelled, FEATURES, PREDICTION, rows=M.SCORE_ROWS))
+            tables.append(M.silhouette(labelled, FEATURES, PREDICTION))
         figures.update(_figures(*tables))
     if not custom:
         kinds = labelled.agg(F.min(quoted(target)), F.max(quoted(target))).first()

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 
 from quillframe import CustomModel, ModelRequest, TableError, compare_models
 from quillframe.operators import metrics as M, models as MO
-from quillframe.operators import silhouette as silhouette_blocks
+from quillframe.operators import boxes, silhouette as silhouette_blocks
 from quillframe.operators.silhouette import euclidean_silhouette
 from quillframe.operators.agglomerative import Agglomerative, merge
 from quillframe.operators.comparison import mark_best, relative_bars
 from quillframe.operators.features import FEATURES, RARE, decode_label, encode_label, fit_features, label_order
+from quillframe.plans import compare
 from quillframe.plans.compare import check_requests
 from quillframe.plans.pipeline import run_steps
 from quillframe.sources.workspace import Workspace
@@ -499,3 +501,83 @@ def test_sums_of_distances_against_numpy(width):
     assert np.allclose(silhouette_blocks._totals(a, b, starts), expected, rtol=1e-9)
     if width <= 8:
         assert np.array_equal(silhouette_blocks._totals(a, b, starts), np.add.reduceat(silhouette_blocks._distances(a, b), starts, axis=1))
+
+
+def test_compared_clusterings_take_the_silhouette_of_all_rows(spark):
+    """Not that of 10,000 drawn ones."""
+    draw = np.random.default_rng(6)
+    k = draw.integers(0, 3, 11_000)
+    x = draw.normal(size=(11_000, 2)) + 2.5 * np.array([[0, 0], [1, 1], [0, 2]])[k]
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "prediction": k}))
+    labelled = df.select(array_to_vector(F.array("a", "b")).alias(FEATURES), "prediction", F.lit(None).cast("string").alias("target"))
+    figures = compare._clustering_figures(labelled, "target", MO.Fitted(lambda table: table), custom=True)
+    assert abs(figures["silhouette_score"] - block_silhouette(x, k)) <= 0.51e-5
+
+
+def _cut(x, code, weight, most):
+    """Leaves of each code, and the trees over them."""
+    parts = []
+    for c in np.unique(code):
+        own = np.flatnonzero(code == c)
+        at, starts = boxes.leaves(x[own], most)
+        parts += [(c, x[own[rows]], weight[own[rows]]) for rows in np.split(at, starts[1:])]
+    low, high = (np.array([side(part, axis=0) for _, part, _ in parts]) for side in (np.min, np.max))
+    grid = np.array([boxes.grid_weights(part, share, *box) for (_, part, share), *box in zip(parts, low, high)])
+    return parts, boxes.forest(np.array([c for c, _, _ in parts]), low, high, grid)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+@pytest.mark.parametrize("kind", ["even", "stretched", "outliers", "rounded"])
+def test_sums_of_distances_by_boxes_against_numpy(width, kind):
+    chance = np.random.default_rng(width)
+    n = 6000
+    code, weight, x = chance.integers(0, 3, n), chance.integers(1, 5, n).astype(float), chance.normal(size=(n, width))
+    if kind == "stretched":
+        x *= np.exp(4 * chance.normal(size=(n, 1)))
+    elif kind == "outliers":
+        x[:5] = 1e6 * chance.normal(size=(5, width))
+    elif kind == "rounded":
+        x = np.round(3 * x)
+    x += 2.0 * code[:, None]
+    parts, trees = _cut(x, code, weight, 40)
+    some = np.r_[:5, chance.integers(0, n, 800)]
+    found = boxes.distances_to(trees, x[some], np.array(list(trees.roots.values())), 40, lambda i: parts[i][1:])
+    gaps = np.sqrt(((x[some][:, None] - x[None]) ** 2).sum(axis=2))
+    for c in range(3):
+        assert np.allclose(found[c], gaps[:, code == c] @ weight[code == c], rtol=1e-12 if width == 1 else 1e-7)
+
+
+def test_few_distances_are_taken_point_by_point():
+    chance = np.random.default_rng(8)
+    n = 200_000
+    x = chance.normal(size=(n, 2)) * np.exp(chance.normal(size=(n, 1)))
+    parts, trees = _cut(x, np.zeros(n, int), np.ones(n), 256)
+    asked = x[boxes.leaves(x, 10_000)[0][:10_000]]
+    sizes = np.array([len(part) for _, part, _ in parts])
+    met = [(len(rows) * sizes[trees.leaf[near]].sum(), len(rows) * len(far)) for rows, far, near in boxes.walk(trees, asked, np.array([0]), 256)]
+    assert sum(points for points, _ in met) < 0.1 * n * len(asked) and sum(far for _, far in met) < 300 * len(asked)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_silhouette_by_boxes_counts_equal_rows(spark, width):
+    chance = np.random.default_rng(width)
+    n = 1500
+    k = chance.integers(0, 4, n)
+    x = np.round(chance.normal(size=(n, width)) * 3 + k[:, None] * 4)
+    x[k == 3] = 50.0  # a cluster of equal rows
+    k[0] = 9
+    df = spark.createDataFrame([(row.tolist(), str(c)) for row, c in zip(x, k)], "x array<double>, label string")
+    score = euclidean_silhouette(df, M._cluster_moments(df), None, block_rows=32)
+    assert math.isclose(spark.range(1).select(score).first()[0], block_silhouette(x, k), rel_tol=1e-6)
+
+
+def test_chunks_hold_rows_of_one_cluster():
+    """Also those of a cluster that goes on in the next batch; none is lost."""
+    code = np.repeat([-5, 2, 3, 7], [3, 250, 1, 90])
+    table = pa.table({"code": code, "x0": np.arange(len(code)) * 1.0, "weight": np.ones(len(code)), "key": code})
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 2})())
+        written = [b.to_pylist()[0] for b in silhouette_blocks._chunks(1, 8, 64)(iter(table.to_batches(max_chunksize=50)))]
+    assert [(row["g"] - (2 << 24), row["code"]) for row in written] == [*enumerate([-5, 2, 2, 2, 2, 3, 7, 7])]
+    assert sorted(v for row in written for v in np.frombuffer(row["x"])) == list(range(len(code)))
+    assert all(len(row["x"]) <= 64 * 8 and len(np.frombuffer(row["starts"], np.int64)) == len(row["low"]) // 8 for row in written)
